@@ -1,0 +1,150 @@
+"""A whole run: stages, classifier pass, optional refinement, merged labels and reports."""
+
+from __future__ import annotations
+
+import math
+import uuid
+from dataclasses import dataclass
+from decimal import Decimal
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from convroute.config import TriageConfig
+from convroute.operators import audits, merge, requests, responses, rollup, stages
+from convroute.operators.numbering import assign_batches
+from convroute.operators.requests import ClassifierFactory
+from convroute.operators.stages import ScorerFactory
+from convroute.sinks.result_log import append_slice
+from convroute.sources.result_log import read_log
+from convroute.workspace import Workspace
+
+
+@dataclass(frozen=True)
+class TriageRun:
+    labelled: DataFrame
+    cost_meter: DataFrame | None
+    config: TriageConfig
+    workspace: Workspace
+
+    @property
+    def labels(self) -> DataFrame:
+        return merge.labels_output(self.labelled)
+
+    @property
+    def thread_summary(self) -> DataFrame:
+        return rollup.thread_summary(self.labelled, self.config.precedence)
+
+    @property
+    def label_distribution(self) -> DataFrame:
+        return audits.label_distribution(self.labelled)
+
+    @property
+    def stage_coverage(self) -> DataFrame:
+        return audits.stage_coverage(self.labelled)
+
+
+def local_stages(
+    messages: DataFrame,
+    config: TriageConfig = TriageConfig(),
+    scorer: ScorerFactory | None = None,
+    scores: DataFrame | None = None,
+) -> DataFrame:
+    """Stage 1 and, with a scorer or a table of scores, stage 2.  One pass; signals are dropped."""
+    staged = stages.route(messages, config)
+    if scores is not None:
+        staged = stages.join_scores(staged, scores)
+    elif scorer is not None:
+        staged = stages.score_texts(staged, scorer)
+    if "sentiment" in staged.columns:
+        staged = stages.apply_sentiment(staged, config)
+    return stages.without_signals(staged)
+
+
+def model_pass(
+    todo: DataFrame,
+    classifier: ClassifierFactory,
+    model: str,
+    source: str,
+    log_path: str,
+    config: TriageConfig,
+    workspace: Workspace,
+    spent_usd: Decimal = Decimal(0),
+    batches_per_slice: int = 1_000_000,
+) -> tuple[DataFrame, DataFrame | None, Decimal]:
+    """Classify messages in batches; returns their rows, the replies and the money spent so far.
+
+    Rows already logged under the same settings are not asked again.  Calls run in slices of batches and
+    each slice is logged before the next starts, so a lost job repeats one slice at most.  Batches beyond
+    the planned budget do not run, nor do later slices once real costs have reached it.
+    """
+    spark = todo.sparkSession
+    fingerprint = config.fingerprint(model)
+    name = f"{source}-{uuid.uuid4().hex[:8]}"
+    open_rows = merge.pending(todo, read_log(spark, log_path), fingerprint)
+    batched = assign_batches(open_rows, config.batch_size, workspace, f"{name}-batched")
+    asked = workspace.save(
+        requests.build_requests(batched, config).sortWithinPartitions("batch"), f"{name}-requests"
+    )
+    n_batches = asked.count()
+    calls = requests.estimate_tokens(asked).select(
+        "batch", F.lit(model).alias("model"), "prompt_tokens", "output_tokens", "thinking_tokens"
+    )
+    planned = requests.budget_plan(calls, config, str(spent_usd)).where("runs").select("batch")
+
+    replies = None
+    for number in range(math.ceil(n_batches / batches_per_slice)):
+        if spent_usd >= Decimal(config.budget_usd):
+            break
+        first = number * batches_per_slice
+        in_slice = F.col("batch").between(first, first + batches_per_slice - 1)
+        part = asked.where(in_slice).join(planned.where(in_slice), "batch", "left_semi")
+        called = requests.classify_requests(part, classifier, config.max_concurrency)
+        stored = workspace.save(called.withColumn("model", F.lit(model)), f"{name}-replies-{number}")
+        rows = responses.merge_replies(responses.parse_replies(stored), source)
+        append_slice(rows, log_path, fingerprint, f"{name}-{number}")
+        replies = stored if replies is None else replies.unionByName(stored)
+        cost = requests.with_cost(stored, config).agg(F.sum("cost")).first()[0]
+        spent_usd += cost or Decimal(0)
+
+    logged = read_log(spark, log_path).where(F.col("fingerprint") == fingerprint)
+    rows = merge.last_wins(logged, "slice").withColumnRenamed("frm", "author")
+    return rows, replies, spent_usd
+
+
+def run_triage(
+    messages: DataFrame,
+    classifier: ClassifierFactory,
+    log_path: str,
+    config: TriageConfig = TriageConfig(),
+    scorer: ScorerFactory | None = None,
+    scores: DataFrame | None = None,
+    refine: bool = False,
+    batches_per_slice: int = 1_000_000,
+) -> TriageRun:
+    """Label every message.  ``messages`` carry their ``context`` (see ``flatten_threads``/``with_context``).
+
+    Local stages are stored before the classifier pass reads them, so scoring is not repeated.  Context is
+    kept only on rows that may still be sent to a classifier.  Drop ``workspace`` when done with the result.
+    """
+    spark = messages.sparkSession
+    workspace = Workspace(spark, "triage")
+    staged = local_stages(messages, config, scorer, scores)
+    may_ask = stages.is_undecided() | (F.col("confidence") == "low")
+    staged = workspace.save(staged.withColumn("context", F.when(may_ask, F.col("context"))), "staged")
+
+    rows, replies, spent = model_pass(
+        merge.undecided(staged), classifier, config.first_pass_model, "api", log_path, config, workspace,
+        batches_per_slice=batches_per_slice,
+    )
+    labelled = merge.attach_labels(staged, rows)
+    if refine:
+        again, more, spent = model_pass(
+            merge.refine_candidates(labelled), classifier, config.refine_model, "api_refine", log_path, config,
+            workspace, spent, batches_per_slice,
+        )
+        labelled = merge.attach_labels(labelled, again)
+        if more is not None:
+            replies = more if replies is None else replies.unionByName(more)
+    meter = None if replies is None else requests.cost_meter(replies, config)
+    return TriageRun(labelled.drop("context"), meter, config, workspace)
