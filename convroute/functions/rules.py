@@ -132,9 +132,9 @@ def sentiment_rules(sentiment: Column, score: Column, config: TriageConfig) -> C
     )
 
 
-def standin_label(text: Column) -> Column:
-    """Offline stand-in for the batch classifier: a label from four word tests."""
-    lower = F.lower(text)
+def standin_label(text: str = "text") -> Column:
+    """Offline stand-in for the batch classifier: a label from two term tests on the named column."""
+    lower = f"lower({text})"
     ascii_text = tx.is_ascii(lower)
     return (
         F.when(tx.any_term(lower, lx.STANDIN_REFUND_TERMS, ascii_text), "refund_request")

@@ -13,33 +13,33 @@ _ASCII = "__ascii"
 _ORDER_NUMBER = "__order_number"
 
 
-def with_signals(df: DataFrame, text: Column | str = "text") -> DataFrame:
-    """Add the signal columns of ``lexicon.SIGNALS``.
+def with_signals(df: DataFrame, text: str = "text") -> DataFrame:
+    """Add the signal columns of ``lexicon.SIGNALS``, read from the column named ``text``.
 
     Values that several signals read are computed in projections of their own.  The signals come out of a
     one-row generator: a filter on a label would otherwise be pushed below the projection with all signals
     copied into it, and every text searched twice.  Measured: 4 % slower without a filter, a third faster
     with one.
     """
-    raw = F.col(text) if isinstance(text, str) else text
-    lower, ascii_text, order_number = F.col(_LOWER), F.col(_ASCII), F.col(_ORDER_NUMBER)
 
     def has(terms) -> Column:
-        return tx.any_term(lower, terms, ascii_text)
+        return tx.any_term(_LOWER, terms, _ASCII)
 
     def has_written(terms) -> Column:
-        return tx.any_term(raw, terms, ascii_text)
+        return tx.any_term(text, terms, _ASCII)
 
+    raw = F.col(text)
+    order_number = F.col(_ORDER_NUMBER)
     declining = has(lx.DECLINING_TERMS)
     signals = {
         "is_risk": has(lx.RISK_TERMS),
         "is_spam_pattern": has(lx.SPAM_TERMS),
         "has_bare_url": has(lx.URL_TERMS) & ~(order_number | has(lx.PHOTO_TERMS)),
         "has_refund": has(lx.REFUND_TERMS),
-        "has_negative_keyword": tx.any_unnegated_term(lower, lx.NEGATIVE_TERMS, ascii_text)
+        "has_negative_keyword": tx.any_unnegated_term(_LOWER, lx.NEGATIVE_TERMS, _ASCII)
         | has_written(lx.NEGATIVE_EMOJI),
         "has_positive_keyword": (
-            tx.any_unnegated_term(lower, lx.POSITIVE_TERMS, ascii_text) | has_written(lx.POSITIVE_EMOJI)
+            tx.any_unnegated_term(_LOWER, lx.POSITIVE_TERMS, _ASCII) | has_written(lx.POSITIVE_EMOJI)
         )
         & ~declining,
         "is_declining": declining,
@@ -49,7 +49,7 @@ def with_signals(df: DataFrame, text: Column | str = "text") -> DataFrame:
         "has_question": has_written(lx.QUESTION_MARKS),
         "has_booking_detail": raw.rlike(lx.PHONE) | (F.contains(raw, F.lit("@")) & raw.rlike(lx.EMAIL)),
     }
-    prepared = df.withColumn(_LOWER, F.lower(raw)).withColumn(_ASCII, tx.is_ascii(lower))
+    prepared = df.withColumn(_LOWER, F.lower(raw)).withColumn(_ASCII, F.expr(tx.is_ascii(_LOWER)))
     # Few texts hold a part of an order number, so most skip the pattern.
     prepared = prepared.withColumn(_ORDER_NUMBER, has(lx.ORDER_NUMBER_TERMS) & raw.rlike(lx.ORDER_NUMBER))
     packed = F.struct(*[column.alias(name) for name, column in signals.items()])

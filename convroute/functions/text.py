@@ -21,8 +21,13 @@ def strings(values: Sequence[str]) -> Column:
     return F.split(F.lit("\n".join(values)), "\n")
 
 
-def is_ascii(text: Column) -> Column:
-    return F.octet_length(text) == F.length(text)
+def _array(values: Sequence[str]) -> str:
+    quoted = (v.replace("\\", "\\\\").replace("'", "\\'") for v in values)
+    return "array(" + ", ".join(f"'{v}'" for v in quoted) + ")"
+
+
+def is_ascii(text: str) -> str:
+    return f"octet_length({text}) = length({text})"
 
 
 def is_blank(text: Column) -> Column:
@@ -35,42 +40,36 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"^[{lx.SPACE_CLASS}]+|[{lx.SPACE_CLASS}]+\z", "")
 
 
-def _by_script(terms: Sequence[str], ascii_text: Column, test) -> Column:
-    """Apply ``test`` to the terms, leaving out non-ASCII terms where the text is all ASCII."""
+def _exists(terms: Sequence[str], ascii_text: str, test: str) -> Column:
+    """Does ``test`` hold for any term ``t``?  Non-ASCII terms are left out for text that is all ASCII."""
     plain = [t for t in terms if t.isascii()]
     other = [t for t in terms if not t.isascii()]
     parts = []
     if plain:
-        parts.append(test(plain))
+        parts.append(f"exists({_array(plain)}, t -> {test})")
     if other:
-        parts.append(~ascii_text & test(other))
-    return parts[0] if len(parts) == 1 else parts[0] | parts[1]
+        parts.append(f"(NOT ({ascii_text}) AND exists({_array(other)}, t -> {test}))")
+    return F.expr("(" + " OR ".join(parts) + ")")
 
 
-def any_term(text: Column, terms: Sequence[str], ascii_text: Column) -> Column:
-    """Does any term occur anywhere in ``text``?  Substring test, no word boundaries."""
-    return _by_script(terms, ascii_text, lambda ts: F.exists(strings(ts), lambda t: F.contains(text, t)))
+def any_term(text: str, terms: Sequence[str], ascii_text: str) -> Column:
+    """Does any term occur anywhere in ``text``?  Substring test, no word boundaries.
 
+    ``text`` and ``ascii_text`` (is the text all ASCII?) are SQL expressions, usually column names.
+    """
+    return _exists(terms, ascii_text, f"contains({text}, t)")
 
-def any_unnegated_term(text: Column, terms: Sequence[str], ascii_text: Column) -> Column:
+
+def any_unnegated_term(text: str, terms: Sequence[str], ascii_text: str) -> Column:
     """Does any term occur whose *first* occurrence has no negation marker closely before it?
 
     The marker must lie wholly within the ``NEGATION_WINDOW`` characters before the term.
     """
     window = lx.NEGATION_WINDOW
-
-    def negated(term: Column) -> Column:
-        at = F.instr(text, term)
-        before = F.substring(
-            text, F.greatest(F.lit(1), at - F.lit(window)), F.least(F.lit(window), at - F.lit(1))
-        )
-        return F.exists(strings(lx.NEGATION_MARKERS), lambda m: F.contains(before, m))
-
-    return _by_script(
-        terms,
-        ascii_text,
-        lambda ts: F.exists(strings(ts), lambda t: F.contains(text, t) & ~negated(t)),
-    )
+    at = f"instr({text}, t)"
+    before = f"substring({text}, greatest(1, {at} - {window}), least({window}, {at} - 1))"
+    negated = f"exists({_array(lx.NEGATION_MARKERS)}, m -> contains({before}, m))"
+    return _exists(terms, ascii_text, f"contains({text}, t) AND NOT {negated}")
 
 
 def two_decimals(score: Column) -> Column:

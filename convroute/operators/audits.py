@@ -65,7 +65,8 @@ def seed_collision_audit(messages: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.col("__rows") - 1), F.lit(0)).alias("rows_lost_by_seed_key"),
         F.count_if(F.col("__rows") > 1).alias("colliding_keys"),
     )
-    # Both sides are a single row.
-    one = F.lit(1).alias("__one")
-    joined = by_seed.select("*", one).join(by_key.select("*", one), "__one").drop("__one")
-    return joined.withColumn("reused", F.col("threads") - F.col("distinct_seeds"))
+    # Two single rows, laid over each other.
+    both = by_seed.unionByName(by_key, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns]).withColumn(
+        "reused", F.col("threads") - F.col("distinct_seeds")
+    )

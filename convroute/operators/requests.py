@@ -18,6 +18,9 @@ EMPTY_MESSAGE = "(empty message)"
 OUTPUT_TOKENS_PER_MESSAGE = 10
 CHARS_PER_TOKEN = 4
 
+# Requests in one Arrow batch.
+ARROW_ROWS = 64
+
 MEMBER_COLUMNS = ("id", "thread_idx", "seed_id", "turn_index", "platform", "author")
 
 
@@ -84,8 +87,8 @@ def with_cost(calls: DataFrame, config: TriageConfig = TriageConfig()) -> DataFr
     The price table has one row per model name known to the configuration, so it is broadcast; other
     models take the default price.
     """
-    spark = calls.sparkSession
-    prices = spark.createDataFrame(list(config.prices), "model string, price_in string, price_out string")
+    rows = ", ".join(f"('{model}', '{price_in}', '{price_out}')" for model, price_in, price_out in config.prices)
+    prices = calls.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS prices(model, price_in, price_out)")
     default_in, default_out = config.default_price
 
     def per_token(column: str, default: str) -> Column:
@@ -156,7 +159,8 @@ def classify_requests(
     """Call the classifier once per batch and add its reply.
 
     Only prompt and texts go to Python.  A call that raises leaves a null body and its error, and the rest
-    of the run goes on.  Store the result before using it twice: calls cost money and may vary.
+    of the run goes on.  Store the result before using it twice: calls cost money and may vary.  Store it
+    with few ``arrow_rows``, since a request carries the text of a whole batch and its context.
     """
 
     @F.pandas_udf(REPLY_TYPE)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from convroute.config import CUSTOMER, Precedence
 
 THREAD_COLUMNS = ("thread_idx", "seed_id", "platform", "customer_name")
-_STATE = ("n_customer_messages", "label_bits", "low")
 
 
 def label_bit(label: Column, precedence: Precedence) -> Column:
@@ -28,12 +27,13 @@ def partial_summary(labelled: DataFrame, precedence: Precedence = Precedence.DOC
     same on all its messages and serve as keys.
     """
     bit = label_bit(F.col("label"), precedence)
-    counted = labelled.where((F.col("author") == CUSTOMER) & bit.isNotNull())
-    return counted.groupBy(*THREAD_COLUMNS).agg(
-        F.count("*").alias("n_customer_messages"),
+    low = bit.isNotNull() & (F.col("confidence") == "low")
+    state = labelled.where(F.col("author") == CUSTOMER).groupBy(*THREAD_COLUMNS).agg(
+        F.count(bit).alias("n_customer_messages"),
         F.bit_or(bit).alias("label_bits"),
-        F.max(F.coalesce(F.col("confidence") == "low", F.lit(False))).alias("low"),
+        F.max(F.coalesce(low, F.lit(False))).alias("low"),
     )
+    return state.where(F.col("n_customer_messages") > 0)
 
 
 def merge_partials(partials: DataFrame) -> DataFrame:

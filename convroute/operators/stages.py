@@ -18,6 +18,9 @@ from convroute.functions import rules
 from convroute.functions import text as tx
 from convroute.functions.signals import with_signals
 
+# Messages in one Arrow batch to a scorer.
+ARROW_ROWS = 2048
+
 LABEL_COLUMNS = ("label", "confidence", "source", "reason")
 
 # Called once per Python worker; returns a function from texts to (raw label, score) pairs.

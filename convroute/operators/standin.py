@@ -37,7 +37,7 @@ def fill_with_standin(staged: DataFrame) -> DataFrame:
     """Label what is still undecided by the stand-in's rules, in place and without batches."""
     open_row = is_undecided()
     filled = {
-        "label": F.when(open_row, standin_label(F.col("text"))).otherwise(F.col("label")),
+        "label": F.when(open_row, standin_label()).otherwise(F.col("label")),
         "confidence": F.when(open_row, "low").otherwise(F.col("confidence")),
         "source": F.when(open_row, "api").otherwise(F.col("source")),
         "reason": F.when(open_row, "api_classified").otherwise(F.col("reason")),

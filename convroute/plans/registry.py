@@ -52,8 +52,14 @@ def _open_with_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.undecided(staged)
 
 
+def _number(open_rows: DataFrame, workspace: Workspace) -> DataFrame:
+    """Store, then number: range partitioning samples its input, which would run the stages twice."""
+    stored = workspace.save(open_rows, "open")
+    return numbering.assign_batches(stored, CONFIG.batch_size, workspace)
+
+
 def _batched(spark: SparkSession, sf_dir: str, workspace: Workspace) -> DataFrame:
-    return numbering.assign_batches(_open_with_context(spark, sf_dir), CONFIG.batch_size, workspace)
+    return _number(_open_with_context(spark, sf_dir), workspace)
 
 
 def _requests(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,7 +78,7 @@ def _broken_replies(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Replies of all kinds to the batches of a run without the sentiment stage."""
     with_context = context.with_context(sample.messages(spark, sf_dir), CONFIG)
     undecided = merge.undecided(local_stages(with_context, CONFIG))
-    batched = numbering.assign_batches(undecided, CONFIG.batch_size, Workspace(spark, name))
+    batched = _number(undecided, Workspace(spark, name))
     return responses.parse_replies(sample.replies(requests.build_requests(batched, CONFIG)))
 
 
@@ -81,7 +87,7 @@ def _refined(labelled: DataFrame) -> DataFrame:
         merge.refine_candidates(labelled)
         .withColumns(
             {
-                "label": standin_label(F.col("text")),
+                "label": standin_label(),
                 "confidence": F.lit("low"),
                 "source": F.lit("api_refine"),
                 "reason": F.lit("api_classified"),
@@ -113,7 +119,7 @@ def flatten_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_result_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     workspace = Workspace(spark, "log")
     path = workspace.folder("json")
-    labelled = _labelled(spark, sf_dir)
+    labelled = workspace.save(_labelled(spark, sf_dir), "labelled")
     write_json_log(log_rows(merge.results(labelled)), path)
     # What an interrupted writer leaves behind: a cut-off line and a blank one.
     unlabelled = labelled.where(F.col("label").isNull())
@@ -146,8 +152,8 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def signals_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return with_signals(docs, F.coalesce("text", F.lit(""))).select("doc_id", *lx.SIGNALS)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return with_signals(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))).drop("text")
 
 
 def router_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +200,7 @@ def offline_model_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def assign_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = merge.undecided(_staged(spark, sf_dir)).select("id", "thread_idx", "turn_index")
-    batched = numbering.assign_batches(staged, CONFIG.batch_size, Workspace(spark, "batches"))
+    batched = _number(staged, Workspace(spark, "batches"))
     return batched.select("id", "batch", "local_i")
 
 
@@ -213,7 +219,7 @@ def batch_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     )
-    batched = numbering.assign_batches(refine, CONFIG.batch_size, Workspace(spark, "refine"))
+    batched = _number(refine, Workspace(spark, "refine"))
     second = requests.estimate_tokens(requests.build_requests(batched, CONFIG)).select(
         "batch", F.lit(REFINE_MODEL).alias("model"), "prompt_tokens", "output_tokens", "thinking_tokens"
     )
@@ -231,9 +237,8 @@ def budget_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     workspace = Workspace(spark, "model")
     built = requests.build_requests(_batched(spark, sf_dir, workspace), CONFIG)
-    stored = workspace.save(
-        requests.classify_requests(built, offline_classifier, CONFIG.max_concurrency), "replies"
-    )
+    called = requests.classify_requests(built, offline_classifier, CONFIG.max_concurrency)
+    stored = workspace.save(called, "replies", requests.ARROW_ROWS)
     rows = responses.merge_replies(responses.parse_replies(stored))
     return rows.select("id", "batch", "label", "confidence", "source", "reason")
 
@@ -277,20 +282,20 @@ def refine_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _staged(spark, sf_dir)
+    staged = Workspace(spark, "results").save(_staged(spark, sf_dir), "staged")
     model_rows = fill_with_standin(merge.undecided(staged))
     rows = merge.union_results(merge.results(staged), merge.results(model_rows))
     return rows.select("id", "label", "confidence", "source", "reason", "pass_no")
 
 
 def merge_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = _labelled(spark, sf_dir)
+    labelled = Workspace(spark, "merge").save(_labelled(spark, sf_dir), "labelled")
     rows = merge.union_results(merge.results(labelled), merge.results(_refined(labelled)))
     return merge.last_wins(rows).select("id", "label", "confidence", "source", "reason")
 
 
 def labels_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _staged(spark, sf_dir)
+    staged = Workspace(spark, "labels").save(_staged(spark, sf_dir), "staged")
     model_rows = fill_with_standin(merge.undecided(staged))
     return tables.in_corpus_order(merge.labels_output(merge.attach_labels(staged, model_rows)))
 

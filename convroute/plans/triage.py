@@ -100,7 +100,8 @@ def model_pass(
         in_slice = F.col("batch").between(first, first + batches_per_slice - 1)
         part = asked.where(in_slice).join(planned.where(in_slice), "batch", "left_semi")
         called = requests.classify_requests(part, classifier, config.max_concurrency)
-        stored = workspace.save(called.withColumn("model", F.lit(model)), f"{name}-replies-{number}")
+        called = called.withColumn("model", F.lit(model))
+        stored = workspace.save(called, f"{name}-replies-{number}", requests.ARROW_ROWS)
         rows = responses.merge_replies(responses.parse_replies(stored), source)
         append_slice(rows, log_path, fingerprint, f"{name}-{number}")
         replies = stored if replies is None else replies.unionByName(stored)
@@ -131,7 +132,8 @@ def run_triage(
     workspace = Workspace(spark, "triage")
     staged = local_stages(messages, config, scorer, scores)
     may_ask = stages.is_undecided() | (F.col("confidence") == "low")
-    staged = workspace.save(staged.withColumn("context", F.when(may_ask, F.col("context"))), "staged")
+    staged = staged.withColumn("context", F.when(may_ask, F.col("context")))
+    staged = workspace.save(staged, "staged", stages.ARROW_ROWS)
 
     rows, replies, spent = model_pass(
         merge.undecided(staged), classifier, config.first_pass_model, "api", log_path, config, workspace,

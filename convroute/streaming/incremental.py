@@ -71,7 +71,7 @@ def start_model_stage(
         called = requests.classify_requests(
             requests.build_requests(batched, config), classifier, config.max_concurrency
         )
-        stored = workspace.save(called, "replies")
+        stored = workspace.save(called, "replies", requests.ARROW_ROWS)
         append_slice(
             responses.merge_replies(responses.parse_replies(stored)), log_path, fingerprint, slice_name
         )

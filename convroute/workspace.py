@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,20 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_fallback[app]
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    if rows is None:
+        yield
+        return
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Workspace:
     """A uniquely named subfolder of the shared folder."""
 
@@ -38,10 +54,14 @@ class Workspace:
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` once and return the stored table; readers prune its columns."""
+    def save(self, df: DataFrame, name: str, arrow_rows: int | None = None) -> DataFrame:
+        """Write ``df`` once and return the stored table; readers prune its columns.
+
+        ``arrow_rows`` bounds the rows of one Arrow batch sent to Python while writing.
+        """
         path = self.folder(name)
-        df.write.parquet(path)
+        with arrow_batches(self.spark, arrow_rows):
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
