@@ -134,11 +134,10 @@ def sentiment_rules(sentiment: Column, score: Column, config: TriageConfig) -> C
 
 def standin_label(text: str = "text") -> Column:
     """Offline stand-in for the batch classifier: a label from two term tests on the named column."""
-    lower = f"lower({text})"
-    ascii_text = tx.is_ascii(lower)
+    lower = tx.Searched.inline(f"lower({text})")
     return (
-        F.when(tx.any_term(lower, lx.STANDIN_REFUND_TERMS, ascii_text), "refund_request")
-        .when(tx.any_term(lower, lx.STANDIN_COMPLAINT_TERMS, ascii_text), "complaint")
+        F.when(tx.any_term(lower, lx.STANDIN_REFUND_TERMS), "refund_request")
+        .when(tx.any_term(lower, lx.STANDIN_COMPLAINT_TERMS), "complaint")
         .otherwise("order_inquiry")
     )
 

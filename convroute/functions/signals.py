@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from convroute import lexicon as lx
 from convroute.functions import text as tx
 
-_LOWER = "__lower"
-_ASCII = "__ascii"
+_SEARCHED = tx.Searched("__lower", "__latin", "__arabic", "__beyond_ascii")
 _ORDER_NUMBER = "__order_number"
 
 
@@ -23,10 +24,13 @@ def with_signals(df: DataFrame, text: str = "text") -> DataFrame:
     """
 
     def has(terms) -> Column:
-        return tx.any_term(_LOWER, terms, _ASCII)
+        return tx.any_term(_SEARCHED, terms)
+
+    def has_unnegated(terms) -> Column:
+        return tx.any_unnegated_term(_SEARCHED, terms)
 
-    def has_written(terms) -> Column:
-        return tx.any_term(text, terms, _ASCII)
+    def has_as_written(terms) -> Column:
+        return tx.any_term(replace(_SEARCHED, text=text), terms)
 
     raw = F.col(text)
     order_number = F.col(_ORDER_NUMBER)
@@ -36,21 +40,24 @@ def with_signals(df: DataFrame, text: str = "text") -> DataFrame:
         "is_spam_pattern": has(lx.SPAM_TERMS),
         "has_bare_url": has(lx.URL_TERMS) & ~(order_number | has(lx.PHOTO_TERMS)),
         "has_refund": has(lx.REFUND_TERMS),
-        "has_negative_keyword": tx.any_unnegated_term(_LOWER, lx.NEGATIVE_TERMS, _ASCII)
-        | has_written(lx.NEGATIVE_EMOJI),
-        "has_positive_keyword": (
-            tx.any_unnegated_term(_LOWER, lx.POSITIVE_TERMS, _ASCII) | has_written(lx.POSITIVE_EMOJI)
-        )
-        & ~declining,
+        "has_negative_keyword": has_unnegated(lx.NEGATIVE_TERMS) | has_as_written(lx.NEGATIVE_EMOJI),
+        "has_positive_keyword": (has_unnegated(lx.POSITIVE_TERMS) | has_as_written(lx.POSITIVE_EMOJI)) & ~declining,
         "is_declining": declining,
         "has_tracking": order_number | has(lx.TRACKING_TERMS),
         "has_reservation": has(lx.RESERVATION_TERMS),
         "has_cancel": has(lx.CANCEL_TERMS),
-        "has_question": has_written(lx.QUESTION_MARKS),
+        "has_question": has_as_written(lx.QUESTION_MARKS),
         "has_booking_detail": raw.rlike(lx.PHONE) | (F.contains(raw, F.lit("@")) & raw.rlike(lx.EMAIL)),
     }
-    prepared = df.withColumn(_LOWER, F.lower(raw)).withColumn(_ASCII, F.expr(tx.is_ascii(_LOWER)))
+    tests = tx.Searched.inline(_SEARCHED.text)
+    helpers = {
+        _SEARCHED.latin: F.expr(tests.latin),
+        _SEARCHED.arabic: F.expr(tests.arabic),
+        _SEARCHED.beyond_ascii: F.expr(tests.beyond_ascii),
+    }
+    prepared = df.withColumn(_SEARCHED.text, F.lower(raw)).withColumns(helpers)
     # Few texts hold a part of an order number, so most skip the pattern.
     prepared = prepared.withColumn(_ORDER_NUMBER, has(lx.ORDER_NUMBER_TERMS) & raw.rlike(lx.ORDER_NUMBER))
     packed = F.struct(*[column.alias(name) for name, column in signals.items()])
-    return prepared.select("*", F.inline(F.array(packed))).drop(_LOWER, _ASCII, _ORDER_NUMBER)
+    out = prepared.select("*", F.inline(F.array(packed)))
+    return out.drop(_SEARCHED.text, *helpers, _ORDER_NUMBER)

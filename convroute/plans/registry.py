@@ -152,8 +152,8 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def signals_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return with_signals(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))).drop("text")
+    docs = stages.spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return with_signals(docs.withColumn("text", F.coalesce("text", F.lit("")))).drop("text")
 
 
 def router_stage(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,7 +55,7 @@ def test_texts_are_searched_once(plans):
 
 
 def test_no_shuffle_in_the_local_stages(plans):
-    for name in ("signals", "signals_documents", "router_stage", "residual_after_router", "brand_rows"):
+    for name in ("signals", "router_stage", "residual_after_router", "brand_rows"):
         assert "Exchange" not in plans[name], name
 
 
