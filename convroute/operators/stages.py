@@ -41,11 +41,13 @@ def route(messages: DataFrame, config: TriageConfig = TriageConfig()) -> DataFra
     """Stage 1.  Adds the signals, the four label columns and ``router_reason``.
 
     Brand rows get their constant label, customer rows the router's outcome or, while undecided, a null
-    label; any other author stays without one.  Text of other authors is not searched.
+    label; any other author stays without one.  Text of other authors is not searched.  A null text counts
+    as '', so attach context before.
     """
     customer = F.col("author") == CUSTOMER
     brand = F.col("author") == BRAND
-    searched = messages.withColumn("__text", F.when(customer, F.col("text")))
+    filled = messages.withColumn("text", F.coalesce("text", F.lit("")))
+    searched = filled.withColumn("__text", F.when(customer, F.col("text")))
     cascade = rules.router_rules(F.col("__text"), config)
     number = F.col("__rule")
     numbered = with_signals(searched, "__text").withColumn("__rule", F.when(customer, cascade.number()))

@@ -17,6 +17,7 @@ from convroute.operators.requests import ClassifierFactory
 from convroute.operators.stages import ScorerFactory
 from convroute.sinks.result_log import append_slice
 from convroute.sources.result_log import read_log
+from convroute.sources.threads import first_threads
 from convroute.workspace import Workspace
 
 
@@ -121,16 +122,17 @@ def run_triage(
     scorer: ScorerFactory | None = None,
     scores: DataFrame | None = None,
     refine: bool = False,
+    limit: int | None = None,
     batches_per_slice: int = 1_000_000,
 ) -> TriageRun:
-    """Label every message.  ``messages`` carry their ``context`` (see ``flatten_threads``/``with_context``).
+    """Label every message, or those of the first ``limit`` threads.  ``messages`` carry their ``context`` (see ``flatten_threads``/``with_context``).
 
     Local stages are stored before the classifier pass reads them, so scoring is not repeated.  Context is
     kept only on rows that may still be sent to a classifier.  Drop ``workspace`` when done with the result.
     """
     spark = messages.sparkSession
     workspace = Workspace(spark, "triage")
-    staged = local_stages(messages, config, scorer, scores)
+    staged = local_stages(first_threads(messages, limit), config, scorer, scores)
     may_ask = stages.is_undecided() | (F.col("confidence") == "low")
     staged = staged.withColumn("context", F.when(may_ask, F.col("context")))
     staged = workspace.save(staged, "staged", stages.ARROW_ROWS)

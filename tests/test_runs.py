@@ -166,3 +166,18 @@ def test_summary_matches_plain_python(spark, inputs):
         assert (r["n_customer_messages"], r["primary_label"], r["all_labels_seen"]) == (len(seen), names[0], ", ".join(names))
         assert r["has_low_confidence_turn"] == ("yes" if any(c == "low" for _, c in seen) else "")
     assert not by_thread
+
+
+def test_limit_keeps_whole_threads(spark, inputs, tmp_path):
+    messages, scores, expected = inputs
+    run = run_triage(messages, offline_classifier, str(tmp_path / "log"), CONFIG, scores=scores, limit=10)
+    assert output(run) == [r for r in expected if r[1] < 10]
+
+
+def test_null_text_is_empty_but_reads_none_as_context(spark):
+    rows = [(0, 0, "customer", None), (0, 1, "customer", "hi"), (0, 2, "brand", None)]
+    flat = spark.createDataFrame(rows, "thread_idx long, turn_index long, author string, text string")
+    staged = local_stages(context.with_context(flat, CONFIG), CONFIG).orderBy("turn_index").collect()
+    assert [r["text"] for r in staged] == ["", "hi", ""]
+    assert [r["router_reason"] for r in staged] == ["empty_message", "no_confident_signal", None]
+    assert staged[2]["context"] == ["customer: None", "customer: hi"]
