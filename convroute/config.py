@@ -54,7 +54,7 @@ class Precedence(Enum):
 
 
 @dataclass(frozen=True)
-class TriageConfig:
+class RoutingConfig:
     precedence: Precedence = Precedence.DOCUMENTED
     positive_threshold: float = 0.70
     negative_threshold: float = 0.70

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from convroute import lexicon as lx
-from convroute.config import TriageConfig
+from convroute.config import RoutingConfig
 from convroute.functions import text as tx
 
 @dataclass(frozen=True)
@@ -67,7 +67,7 @@ class Cascade:
         return F.get(tx.strings(values), number)
 
 
-def router_rules(text: Column, config: TriageConfig) -> Cascade:
+def router_rules(text: Column, config: RoutingConfig) -> Cascade:
     """Stage 1: rules over the signal columns and the text alone."""
     risk, spam, bare_url, refund, negative, positive, _, tracking, reservation, cancel, question, booking = (
         F.col(name) for name in lx.SIGNALS
@@ -101,7 +101,7 @@ def router_rules(text: Column, config: TriageConfig) -> Cascade:
     )
 
 
-def sentiment_rules(sentiment: Column, score: Column, config: TriageConfig) -> Cascade:
+def sentiment_rules(sentiment: Column, score: Column, config: RoutingConfig) -> Cascade:
     """Stage 2: rules over the signal columns and a sentiment score.
 
     A refund word decides here even next to a positive one, which stage 1 leaves open as a conflict.

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from convroute.config import TriageConfig
+from convroute.config import RoutingConfig
 
 FIRST_MESSAGE = "(first message in thread)"
 
 
-def with_context(messages: DataFrame, config: TriageConfig = TriageConfig()) -> DataFrame:
+def with_context(messages: DataFrame, config: RoutingConfig = RoutingConfig()) -> DataFrame:
     """Add ``context``: the up to ``context_turns`` turns before each message, oldest first, any author.
 
     Run it before any filter on author.  One shuffle.  Window tasks hold ``chunk_turns`` turns of a

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from convroute.config import TriageConfig
+from convroute.config import RoutingConfig
 from convroute.functions import text as tx
 from convroute.operators.context import context_block
 
@@ -38,7 +38,7 @@ class Reply:
 ClassifierFactory = Callable[[], Callable[[str, Sequence[str]], Reply]]
 
 
-def prompt_line(config: TriageConfig) -> Column:
+def prompt_line(config: RoutingConfig) -> Column:
     """The lines of one message.  Only the message is cut to length, never its context."""
     message = F.substring(
         F.regexp_replace(tx.strip(F.col("text")), "\n", " "), 1, config.max_message_chars
@@ -50,7 +50,7 @@ def prompt_line(config: TriageConfig) -> Column:
     )
 
 
-def build_requests(batched: DataFrame, config: TriageConfig = TriageConfig()) -> DataFrame:
+def build_requests(batched: DataFrame, config: RoutingConfig = RoutingConfig()) -> DataFrame:
     """One row per batch: ``batch, n_messages, prompt, texts, members``.
 
     A batch holds at most ``batch_size`` messages, which bounds what a group collects.
@@ -81,7 +81,7 @@ def estimate_tokens(requests: DataFrame) -> DataFrame:
     )
 
 
-def with_cost(calls: DataFrame, config: TriageConfig = TriageConfig()) -> DataFrame:
+def with_cost(calls: DataFrame, config: RoutingConfig = RoutingConfig()) -> DataFrame:
     """Add ``cost`` in USD from ``model`` and the token counts, as an exact decimal.
 
     The price table has one row per model name known to the configuration, so it is broadcast; other
@@ -105,7 +105,7 @@ def with_cost(calls: DataFrame, config: TriageConfig = TriageConfig()) -> DataFr
     )
 
 
-def cost_meter(calls: DataFrame, config: TriageConfig = TriageConfig()) -> DataFrame:
+def cost_meter(calls: DataFrame, config: RoutingConfig = RoutingConfig()) -> DataFrame:
     """Calls, tokens and cost per model."""
     return (
         with_cost(calls, config)
@@ -123,7 +123,7 @@ _PLAN_BLOCK = 65_536
 
 
 def budget_plan(
-    calls: DataFrame, config: TriageConfig = TriageConfig(), spent_usd: str = "0", block: int = _PLAN_BLOCK
+    calls: DataFrame, config: RoutingConfig = RoutingConfig(), spent_usd: str = "0", block: int = _PLAN_BLOCK
 ) -> DataFrame:
     """Add ``spent_before`` and ``runs``: a batch runs while spending before it is under the budget.
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from convroute import lexicon as lx
-from convroute.config import BRAND, BRAND_LABEL, CUSTOMER, TriageConfig
+from convroute.config import BRAND, BRAND_LABEL, CUSTOMER, RoutingConfig
 from convroute.functions import rules
 from convroute.functions import text as tx
 from convroute.functions.signals import with_signals
@@ -37,7 +37,7 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def route(messages: DataFrame, config: TriageConfig = TriageConfig()) -> DataFrame:
+def route(messages: DataFrame, config: RoutingConfig = RoutingConfig()) -> DataFrame:
     """Stage 1.  Adds the signals, the four label columns and ``router_reason``.
 
     Brand rows get their constant label, customer rows the router's outcome or, while undecided, a null
@@ -67,7 +67,7 @@ def is_undecided() -> Column:
     return (F.col("author") == CUSTOMER) & F.col("label").isNull()
 
 
-def apply_sentiment(routed: DataFrame, config: TriageConfig = TriageConfig()) -> DataFrame:
+def apply_sentiment(routed: DataFrame, config: RoutingConfig = RoutingConfig()) -> DataFrame:
     """Stage 2, on rows that carry ``sentiment`` and ``score``.  Adds ``sentiment_reason``.
 
     An undecided row without a score stays undecided.

@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convroute import lexicon as lx
-from convroute.config import FIRST_PASS_MODEL, REFINE_MODEL, Precedence, TriageConfig
+from convroute.config import FIRST_PASS_MODEL, REFINE_MODEL, Precedence, RoutingConfig
 from convroute.functions.rules import normalised_sentiment, standin_label
 from convroute.functions.signals import with_signals
 from convroute.operators import audits, authors, context, merge, numbering, requests, responses, rollup, stages
 from convroute.operators.standin import fill_with_standin, offline_classifier
 from convroute.plans import sample
-from convroute.plans.triage import local_stages
+from convroute.plans.run import local_stages
 from convroute.sinks import tables
 from convroute.sinks.result_log import append_slice, log_rows, write_json_log
 from convroute.sources import threads as thread_source
@@ -23,7 +23,7 @@ from convroute.sources.result_log import read_json_log, read_log
 from convroute.streaming import incremental
 from convroute.workspace import Workspace
 
-CONFIG = TriageConfig()
+CONFIG = RoutingConfig()
 FIRST_N_THREADS = 50
 # A budget small enough that both sides of the stop occur on the test tables.
 SMALL_BUDGET = replace(CONFIG, budget_usd="0.003")
@@ -338,10 +338,10 @@ def seed_collision_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    workspace = Workspace(spark, "stream-triage")
+    workspace = Workspace(spark, "stream-routing")
     out = workspace.folder("labels")
     arriving = incremental.read_stream(spark, f"{sf_dir}/conversations.parquet*", sample.CONVERSATION_SCHEMA)
-    query = incremental.start_triage(
+    query = incremental.start_routing(
         sample.as_messages(arriving), out, workspace.folder("checkpoint"), CONFIG, sample.scores(spark, sf_dir)
     )
     query.awaitTermination()

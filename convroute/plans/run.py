@@ -10,7 +10,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convroute.config import TriageConfig
+from convroute.config import RoutingConfig
 from convroute.operators import audits, merge, requests, responses, rollup, stages
 from convroute.operators.numbering import assign_batches
 from convroute.operators.requests import ClassifierFactory
@@ -22,10 +22,10 @@ from convroute.workspace import Workspace
 
 
 @dataclass(frozen=True)
-class TriageRun:
+class RoutingRun:
     labelled: DataFrame
     cost_meter: DataFrame | None
-    config: TriageConfig
+    config: RoutingConfig
     workspace: Workspace
 
     @property
@@ -47,7 +47,7 @@ class TriageRun:
 
 def local_stages(
     messages: DataFrame,
-    config: TriageConfig = TriageConfig(),
+    config: RoutingConfig = RoutingConfig(),
     scorer: ScorerFactory | None = None,
     scores: DataFrame | None = None,
 ) -> DataFrame:
@@ -68,7 +68,7 @@ def model_pass(
     model: str,
     source: str,
     log_path: str,
-    config: TriageConfig,
+    config: RoutingConfig,
     workspace: Workspace,
     spent_usd: Decimal = Decimal(0),
     batches_per_slice: int = 1_000_000,
@@ -114,24 +114,24 @@ def model_pass(
     return rows, replies, spent_usd
 
 
-def run_triage(
+def run_routing(
     messages: DataFrame,
     classifier: ClassifierFactory,
     log_path: str,
-    config: TriageConfig = TriageConfig(),
+    config: RoutingConfig = RoutingConfig(),
     scorer: ScorerFactory | None = None,
     scores: DataFrame | None = None,
     refine: bool = False,
     limit: int | None = None,
     batches_per_slice: int = 1_000_000,
-) -> TriageRun:
+) -> RoutingRun:
     """Label every message, or those of the first ``limit`` threads.  ``messages`` carry their ``context`` (see ``flatten_threads``/``with_context``).
 
     Local stages are stored before the classifier pass reads them, so scoring is not repeated.  Context is
     kept only on rows that may still be sent to a classifier.  Drop ``workspace`` when done with the result.
     """
     spark = messages.sparkSession
-    workspace = Workspace(spark, "triage")
+    workspace = Workspace(spark, "run")
     staged = local_stages(first_threads(messages, limit), config, scorer, scores)
     may_ask = stages.is_undecided() | (F.col("confidence") == "low")
     staged = staged.withColumn("context", F.when(may_ask, F.col("context")))
@@ -151,4 +151,4 @@ def run_triage(
         if more is not None:
             replies = more if replies is None else replies.unionByName(more)
     meter = None if replies is None else requests.cost_meter(replies, config)
-    return TriageRun(labelled.drop("context"), meter, config, workspace)
+    return RoutingRun(labelled.drop("context"), meter, config, workspace)

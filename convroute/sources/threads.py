@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from convroute.config import TriageConfig
+from convroute.config import RoutingConfig
 from convroute.operators.numbering import dense_positions
 from convroute.workspace import Workspace
 
@@ -59,7 +59,7 @@ def number_threads(threads: DataFrame, workspace: Workspace) -> DataFrame:
     return numbered.select("thread_idx", "seed_id", "platform", "customer_name", "messages")
 
 
-def flatten_threads(threads: DataFrame, config: TriageConfig = TriageConfig()) -> DataFrame:
+def flatten_threads(threads: DataFrame, config: RoutingConfig = RoutingConfig()) -> DataFrame:
     """One row per message, with its context taken from the thread's own array: no shuffle.
 
     Threads without messages give no rows.  A null text reads '' in its own row and ``None`` where it

@@ -1,4 +1,4 @@
-"""Incremental triage with Structured Streaming.
+"""Incremental routing with Structured Streaming.
 
 All three jobs run with ``availableNow`` by default: start them again whenever new files have arrived and
 they continue from their checkpoint.
@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from convroute.config import Precedence, TriageConfig
+from convroute.config import Precedence, RoutingConfig
 from convroute.operators import merge, requests, responses, rollup
 from convroute.operators.numbering import assign_batches
 from convroute.operators.requests import ClassifierFactory
-from convroute.plans.triage import local_stages
+from convroute.plans.run import local_stages
 from convroute.sinks.result_log import append_slice
 from convroute.sources.result_log import read_log
 from convroute.workspace import Workspace
@@ -28,11 +28,11 @@ def read_stream(
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).format(format).load(path)
 
 
-def start_triage(
+def start_routing(
     messages: DataFrame,
     out_path: str,
     checkpoint: str,
-    config: TriageConfig = TriageConfig(),
+    config: RoutingConfig = RoutingConfig(),
     scores: DataFrame | None = None,
 ) -> StreamingQuery:
     """Label arriving messages by the local stages.  Stateless: each message is judged by itself."""
@@ -51,7 +51,7 @@ def start_model_stage(
     classifier: ClassifierFactory,
     log_path: str,
     checkpoint: str,
-    config: TriageConfig = TriageConfig(),
+    config: RoutingConfig = RoutingConfig(),
 ) -> StreamingQuery:
     """Classify arriving undecided messages, which carry their context, and append to the result log.
 

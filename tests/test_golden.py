@@ -8,13 +8,13 @@ from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 from convroute import lexicon as lx
-from convroute.config import Precedence, TriageConfig
+from convroute.config import Precedence, RoutingConfig
 from convroute.operators import merge, rollup, stages
 from convroute.operators.standin import fill_with_standin
 from convroute.plans import sample
-from convroute.plans.triage import local_stages
+from convroute.plans.run import local_stages
 
-CONFIG = TriageConfig()
+CONFIG = RoutingConfig()
 SENTIMENTS = (("negative", 0.9), ("positive", 0.9), ("neutral", 0.9), ("negative", 0.5))
 
 

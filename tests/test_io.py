@@ -6,11 +6,11 @@ from pathlib import Path
 
 import pytest
 
-from convroute.config import TriageConfig
+from convroute.config import RoutingConfig
 from convroute.operators import merge
 from convroute.operators.standin import fill_with_standin
 from convroute.plans import sample
-from convroute.plans.triage import local_stages
+from convroute.plans.run import local_stages
 from convroute.sinks import tables
 from convroute.sources import result_log
 from convroute.sources import threads as src
@@ -82,7 +82,7 @@ def test_first_threads(spark, sf_small):
 
 
 def test_csv_has_bom_and_reads_back(spark, sf_small, tmp_path):
-    labelled = fill_with_standin(local_stages(sample.messages(spark, sf_small), TriageConfig()))
+    labelled = fill_with_standin(local_stages(sample.messages(spark, sf_small), RoutingConfig()))
     nasty = [("9:0", 'a "b", c\nd \\ e'), ("9:1", "  spaces  "), ("9:2", ""), ("9:3", '"'), ("9:4", "عربي\tx"), ("9:5", "\\")]
     output = merge.labels_output(labelled)
     extra = spark.createDataFrame(

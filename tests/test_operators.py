@@ -7,13 +7,13 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from convroute.config import TriageConfig
+from convroute.config import RoutingConfig
 from convroute.operators import audits, context, merge, numbering, requests, responses, rollup
 from convroute.operators.standin import offline_classifier
 from convroute.plans import sample
 from convroute.workspace import Workspace
 
-CONFIG = TriageConfig()
+CONFIG = RoutingConfig()
 
 
 def hot_messages(spark, hot=500, others=60):
@@ -35,7 +35,7 @@ def hot_messages(spark, hot=500, others=60):
 @pytest.mark.parametrize("chunk", (2, 3, 64, 4096))
 def test_context_is_the_same_however_threads_are_split(spark, chunk):
     df = hot_messages(spark)
-    config = TriageConfig(chunk_turns=chunk)
+    config = RoutingConfig(chunk_turns=chunk)
     by_key = {(r["thread_idx"], r["turn_index"]): r for r in df.collect()}
     got = context.with_context(df, config).collect()
     assert len(got) == len(by_key)
@@ -188,7 +188,7 @@ def test_budget_plan(spark, block, spent):
     df = spark.createDataFrame(
         rows, "batch long, model string, prompt_tokens long, output_tokens long, thinking_tokens long"
     ).repartition(4)
-    config = TriageConfig(budget_usd="0.02")
+    config = RoutingConfig(budget_usd="0.02")
     got = {r["batch"]: r for r in requests.budget_plan(df, config, spent, block).collect()}
     before = Decimal(spent)
     for b, _, tin, tout, _ in rows:

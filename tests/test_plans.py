@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from convroute.config import TriageConfig
+from convroute.config import RoutingConfig
 from convroute.operators import requests
 from convroute.plans import registry
 
@@ -69,4 +69,4 @@ def test_prices_are_broadcast(spark):
     calls = spark.range(5).selectExpr(
         "id AS batch", "concat('m', id) AS model", "id AS prompt_tokens", "id AS output_tokens", "id AS thinking_tokens"
     )
-    assert "BroadcastHashJoin" in plan(requests.with_cost(calls, TriageConfig()))
+    assert "BroadcastHashJoin" in plan(requests.with_cost(calls, RoutingConfig()))

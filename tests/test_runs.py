@@ -6,15 +6,15 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from convroute.config import TriageConfig
+from convroute.config import RoutingConfig
 from convroute.operators import context, merge, rollup, stages
 from convroute.operators.standin import fill_with_standin, offline_classifier
 from convroute.plans import sample
-from convroute.plans.triage import local_stages, run_triage
+from convroute.plans.run import local_stages, run_routing
 from convroute.sinks import tables
 from convroute.sources.result_log import read_log
 
-CONFIG = TriageConfig()
+CONFIG = RoutingConfig()
 
 
 def counting(path, fail_size=None):
@@ -58,7 +58,7 @@ def output(run):
 def test_run_equals_stages_in_place(spark, inputs, tmp_path):
     messages, scores, expected = inputs
     calls = str(tmp_path / "calls")
-    run = run_triage(messages, counting(calls), str(tmp_path / "log"), CONFIG, scores=scores)
+    run = run_routing(messages, counting(calls), str(tmp_path / "log"), CONFIG, scores=scores)
     assert output(run) == expected
     assert sorted(asked(calls)) == [21, 25, 25, 25, 25]
     meter = run.cost_meter.first()
@@ -73,11 +73,11 @@ def test_run_equals_stages_in_place(spark, inputs, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "thread_summary")).count() == 100
 
     # The same run again asks nothing and says the same.
-    again = run_triage(messages, counting(calls), str(tmp_path / "log"), CONFIG, scores=scores)
+    again = run_routing(messages, counting(calls), str(tmp_path / "log"), CONFIG, scores=scores)
     assert output(again) == expected and len(asked(calls)) == 5
     # Another batch size is another question.
     other = replace(CONFIG, batch_size=50)
-    run_triage(messages, counting(calls), str(tmp_path / "log"), other, scores=scores)
+    run_routing(messages, counting(calls), str(tmp_path / "log"), other, scores=scores)
     assert sorted(asked(calls)[5:]) == [21, 50, 50]
     run.workspace.drop()
 
@@ -86,29 +86,29 @@ def test_slices_and_budget_stop_then_resume(spark, inputs, tmp_path):
     messages, scores, expected = inputs
     calls, log = str(tmp_path / "calls"), str(tmp_path / "log")
     poor = replace(CONFIG, budget_usd="0.003")
-    stopped = run_triage(messages, counting(calls), log, poor, scores=scores, batches_per_slice=1)
+    stopped = run_routing(messages, counting(calls), log, poor, scores=scores, batches_per_slice=1)
     done = sum(asked(calls))
     assert 0 < done < 121 and stopped.labelled.where("source = 'api'").count() == done
     blanks = [r for r in output(stopped) if r[5] == "customer" and r[7] == ""]
     assert len(blanks) == 121 - done and all(r[7:] == ("", "", "", "") for r in blanks)
-    resumed = run_triage(messages, counting(calls), log, CONFIG, scores=scores, batches_per_slice=2)
+    resumed = run_routing(messages, counting(calls), log, CONFIG, scores=scores, batches_per_slice=2)
     assert output(resumed) == expected and sum(asked(calls)) == 121
 
 
 def test_failed_batches_stay_blank_and_are_asked_again(spark, inputs, tmp_path):
     messages, scores, expected = inputs
     calls, log = str(tmp_path / "calls"), str(tmp_path / "log")
-    run = run_triage(messages, counting(calls, fail_size=21), log, CONFIG, scores=scores)
+    run = run_routing(messages, counting(calls, fail_size=21), log, CONFIG, scores=scores)
     missing = run.labelled.where("author = 'customer' and label is null").count()
     assert missing == 21
-    later = run_triage(messages, counting(calls), log, CONFIG, scores=scores)
+    later = run_routing(messages, counting(calls), log, CONFIG, scores=scores)
     assert output(later) == expected
     assert sum(asked(calls)) == 121 + missing
 
 
 def test_refine_changes_only_low_confidence_rows(spark, inputs, tmp_path):
     messages, scores, expected = inputs
-    run = run_triage(messages, offline_classifier, str(tmp_path / "log"), CONFIG, scores=scores, refine=True)
+    run = run_routing(messages, offline_classifier, str(tmp_path / "log"), CONFIG, scores=scores, refine=True)
     before = {r[0]: r for r in expected}
     sources = Counter()
     for r in output(run):
@@ -123,9 +123,9 @@ def test_refine_changes_only_low_confidence_rows(spark, inputs, tmp_path):
 
 def test_without_sentiment_and_with_a_scorer(spark, inputs, tmp_path, sf_check):
     messages, _, _ = inputs
-    plain = run_triage(messages, offline_classifier, str(tmp_path / "a"), CONFIG)
+    plain = run_routing(messages, offline_classifier, str(tmp_path / "a"), CONFIG)
     assert plain.stage_coverage.first()["to_model"] == 145
-    scored = run_triage(messages, offline_classifier, str(tmp_path / "b"), CONFIG, scorer=sample.length_scorer)
+    scored = run_routing(messages, offline_classifier, str(tmp_path / "b"), CONFIG, scorer=sample.length_scorer)
     table = stages.score_texts(stages.route(sample.messages(spark, sf_check)), sample.length_scorer)
     by_table = local_stages(
         sample.messages(spark, sf_check), CONFIG, scores=table.where(F.col("sentiment").isNotNull())
@@ -135,7 +135,7 @@ def test_without_sentiment_and_with_a_scorer(spark, inputs, tmp_path, sf_check):
 
 def test_empty_corpus(spark, inputs, tmp_path):
     messages, _, _ = inputs
-    run = run_triage(messages.where("thread_idx < 0"), offline_classifier, str(tmp_path / "log"), CONFIG)
+    run = run_routing(messages.where("thread_idx < 0"), offline_classifier, str(tmp_path / "log"), CONFIG)
     assert run.labels.count() == 0 and run.thread_summary.count() == 0
     assert run.stage_coverage.first()["router_percent"] == 0
 
@@ -143,7 +143,7 @@ def test_empty_corpus(spark, inputs, tmp_path):
 def test_log_is_partitioned_by_fingerprint(spark, inputs, tmp_path):
     messages, scores, _ = inputs
     log = str(tmp_path / "log")
-    run_triage(messages, offline_classifier, log, CONFIG, scores=scores)
+    run_routing(messages, offline_classifier, log, CONFIG, scores=scores)
     rows = read_log(spark, log)
     assert rows.select("fingerprint").distinct().count() == 1
     assert rows.count() == rows.select("id").distinct().count() == 121
@@ -170,7 +170,7 @@ def test_summary_matches_plain_python(spark, inputs):
 
 def test_limit_keeps_whole_threads(spark, inputs, tmp_path):
     messages, scores, expected = inputs
-    run = run_triage(messages, offline_classifier, str(tmp_path / "log"), CONFIG, scores=scores, limit=10)
+    run = run_routing(messages, offline_classifier, str(tmp_path / "log"), CONFIG, scores=scores, limit=10)
     assert output(run) == [r for r in expected if r[1] < 10]
 
 

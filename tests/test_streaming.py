@@ -5,15 +5,15 @@ from pathlib import Path
 import pytest
 from pyspark.errors import StreamingQueryException
 
-from convroute.config import TriageConfig
+from convroute.config import RoutingConfig
 from convroute.operators import context, merge, rollup
 from convroute.operators.standin import fill_with_standin, offline_classifier
 from convroute.plans import sample
-from convroute.plans.triage import local_stages
+from convroute.plans.run import local_stages
 from convroute.sources.result_log import read_log
 from convroute.streaming import incremental
 
-CONFIG = TriageConfig()
+CONFIG = RoutingConfig()
 COLUMNS = ("id", "label", "confidence", "source", "reason")
 
 
@@ -34,14 +34,14 @@ def open_messages(spark, sf_check):
     return merge.undecided(local_stages(with_context, CONFIG, scores=sample.scores(spark, sf_check)))
 
 
-def test_triage_of_arriving_files(spark, sf_check, tmp_path):
+def test_routing_of_arriving_files(spark, sf_check, tmp_path):
     conv = sample.conversations(spark, sf_check)
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
     conv.where("conv_id < 40").write.parquet(source)
 
     def advance():
         stream = incremental.read_stream(spark, source, sample.CONVERSATION_SCHEMA)
-        incremental.start_triage(
+        incremental.start_routing(
             sample.as_messages(stream), out, checkpoint, CONFIG, sample.scores(spark, sf_check)
         ).awaitTermination()
         return spark.read.parquet(out)
