@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convroute.llm import packing, token_counts
+from convroute.llm import packing, quality, token_counts, toxicity
+from convroute.llm.ngrams import remainder
 from convroute.llm.tables import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 512
+TOXIC_FROM = 0.5
+GOOD_FROM = 0.7
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +23,35 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def toxicity_scores(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, score) of ``documents``, fitted on the labelled rows that are not held out."""
+    learn = table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0)
+    model = toxicity.fit(table(spark, sf_dir, "documents"), learn.select("doc_id", "toxic"), "toxic")
+    return toxicity.score(documents, model)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = toxicity_scores(spark, table(spark, sf_dir, "documents"), sf_dir)
+    return scores.select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    learn = table(spark, sf_dir, "labels").where(remainder("doc_id", 4) != 2)
+    scores = quality.score(documents, quality.fit(documents, learn.select("doc_id", "quality"), "quality"))
+    return scores.select(
+        "doc_id",
+        (remainder("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"),
+    )
+
+
 def piece_rows(pieces: DataFrame) -> DataFrame:
     """Pieces with a checksum in place of their ids."""
     return pieces.select(
@@ -33,6 +65,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
+    "op4_toxicity": op4_toxicity,
+    "op8_quality": op8_quality,
     "op9_packing": op9_packing,
 }
 

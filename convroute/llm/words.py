@@ -73,13 +73,29 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def split_words(texts: pa.Array, table: np.ndarray) -> Words:
+    raw, offsets = utf8(texts)
+    return split_mapped(table[raw], offsets)
+
+
+def split_shapes(texts: pa.Array) -> Words:
+    """Words by shape: A for a run of capitals, a for other letters, 0 for digits; other signs once per run."""
+    table = blank_separated(lower=False)
+    table[0x41:0x5B], table[0x61:0x7B], table[0x30:0x3A], table[0x80:] = 0x41, 0x61, 0x30, 0x61
     raw, offsets = utf8(texts)
     mapped = table[raw]
+    keep = np.ones(len(mapped), bool)
+    keep[1:] = mapped[1:] != mapped[:-1]
+    keep[offsets[:-1][offsets[:-1] < len(mapped)]] = True
+    return split_mapped(mapped[keep], np.concatenate([[0], np.cumsum(keep)])[offsets])
+
+
+def split_mapped(mapped: np.ndarray, offsets: np.ndarray) -> Words:
+    """Words of texts whose bytes are mapped already; text ``i`` is between offsets ``i`` and ``i + 1``."""
     solid = mapped != BLANK
     before, after = np.zeros_like(solid), np.zeros_like(solid)
     before[1:], after[:-1] = solid[:-1], solid[1:]
     bounds = offsets[1:-1]
-    before[bounds[bounds < len(raw)]] = False
+    before[bounds[bounds < len(mapped)]] = False
     after[bounds[bounds > 0] - 1] = False
     begins = solid & ~before
     starts, ends = np.flatnonzero(begins), np.flatnonzero(solid & ~after) + 1
