@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convroute.llm import decontaminate, packing, quality, token_counts, toxicity
+from convroute.llm import decontaminate, packing, quality, substrings, token_counts, toxicity
 from convroute.llm.ngrams import remainder
 from convroute.llm.tables import table
 
@@ -18,6 +18,11 @@ TOXIC_FROM = 0.5
 GOOD_FROM = 0.7
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.prefix_counts(table(spark, sf_dir, "documents"), VOCABULARY)
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
@@ -81,6 +86,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op8_quality": op8_quality,
@@ -88,6 +94,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
+OP1_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (
+  SELECT r, i, array_to_string(w[i:i + 34], ' ') AS x
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+), gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 35)) AS p
+  FROM (SELECT r, i, count(*) OVER (PARTITION BY x) AS n FROM places) WHERE n > 1
+), removed AS (
+  SELECT r, count(*) AS n, list(p) AS ps FROM gone GROUP BY r
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) AS t
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN gone USING (r, p)
+  GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN removed USING (r) LEFT JOIN kept USING (r)
+"""
+
 # Windows of 13 words are compared as text, one row per place.
 OP10_SQL = r"""
 WITH d AS (
@@ -121,4 +149,4 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op10_decontamination": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op10_decontamination": OP10_SQL}
