@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convroute.llm import decontaminate, packing, quality, substrings, token_counts, toxicity
+from convroute.llm import decontaminate, packing, quality, simhash, substrings, token_counts, toxicity
 from convroute.llm.ngrams import remainder
 from convroute.llm.tables import table
 
@@ -45,6 +45,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), "component_id")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     learn = table(spark, sf_dir, "labels").where(remainder("doc_id", 4) != 2)
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
+    "op6_simhash": op6_simhash,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
