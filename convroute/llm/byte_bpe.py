@@ -87,7 +87,7 @@ class UnitValues:
         return b"".join(parts)
 
 
-def _bytes_of_symbols() -> dict[str, int]:
+def bytes_of_symbols() -> dict[str, int]:
     """The printable stand-in of each byte in the vocabulary file: itself if printable, else counted from 256."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in plain]
@@ -108,7 +108,7 @@ class PrefixCounts:
         self._pre_tokens = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
-        byte = _bytes_of_symbols()
+        byte = bytes_of_symbols()
         raw = {token: bytes(byte[c] for c in token).decode("latin-1") for token in model["vocab"]}
         self._automaton = ahocorasick.Automaton()
         for token, number in model["vocab"].items():

@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convroute.llm import decontaminate, packing, quality, simhash, substrings, token_counts, toxicity
+from convroute.llm import chat, decontaminate, packing, quality, simhash, substrings, token_counts, toxicity
 from convroute.llm.ngrams import remainder
 from convroute.llm.tables import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+CHAT = chat.ChatConfig(VOCABULARY)
 TOKEN_LIMIT = 512
 TOXIC_FROM = 0.5
 GOOD_FROM = 0.7
@@ -45,6 +46,15 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.digests(chat.format_conversations(conversations, CHAT), CHAT)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), "component_id")
@@ -94,12 +104,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
+    "op5_chat_formatting": op5_chat_formatting,
     "op6_simhash": op6_simhash,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
 }
 
+# The texts here hold no control strings but those of conversation -1, of which each is escaped by one character.
+OP5_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(3 + sum(length(text) + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 4
+                    ELSE 23 + length(role) END
+                    + CASE WHEN conv_id = -1 THEN 3 ELSE 0 END) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
 OP1_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -155,4 +182,4 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op10_decontamination": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op5_chat_formatting": OP5_SQL, "op10_decontamination": OP10_SQL}
