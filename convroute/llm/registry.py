@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convroute.llm import chat, decontaminate, packing, quality, simhash, substrings, token_counts, toxicity
+from convroute.llm import chat, decontaminate, embeddings, packing, quality, simhash, substrings, token_counts, toxicity
 from convroute.llm.ngrams import remainder
 from convroute.llm.tables import table
 
@@ -24,6 +24,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.prefix_counts(table(spark, sf_dir, "documents"), VOCABULARY)
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
@@ -102,6 +107,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_chat_formatting": op5_chat_formatting,
@@ -111,6 +117,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
+OP2_SQL = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reach(a, b) AS (
+  SELECT vec_id, vec_id FROM e UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+degrees AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM e JOIN least USING (vec_id) LEFT JOIN degrees USING (vec_id)
+"""
+
 # The texts here hold no control strings but those of conversation -1, of which each is escaped by one character.
 OP5_SQL = r"""
 WITH c AS (
@@ -182,4 +202,4 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op5_chat_formatting": OP5_SQL, "op10_decontamination": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_embedding_dedup": OP2_SQL, "op5_chat_formatting": OP5_SQL, "op10_decontamination": OP10_SQL}
