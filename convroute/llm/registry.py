@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convroute.llm import chat, decontaminate, embeddings, packing, quality, simhash, substrings, token_counts, toxicity
+from convroute.llm import chat, decontaminate, embeddings, packing, quality, simhash, substrings, token_counts, toxicity, warc
 from convroute.llm.ngrams import remainder
 from convroute.llm.tables import table
 
@@ -65,6 +65,59 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), "component_id")
 
 
+def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures of every page: a response, and revisits that agree by tag, by date, by nothing, or come too early."""
+    tag = F.concat(F.lit('"'), F.md5("html"), F.lit('"'))
+    modified = F.concat(F.lit("day "), F.floor(F.col("page_id") / 7).cast("string"))
+
+    def named(**values: Column | str) -> Column:
+        return F.array(
+            *[
+                F.struct(F.lit(name.replace("_", "-")).alias("name"), (F.lit(v) if isinstance(v, str) else v).alias("value"))
+                for name, v in values.items()
+            ]
+        )
+
+    stored = named(
+        ETag=tag, Last_Modified=modified, Content_Type="text/html", Content_Length=F.length("html").cast("string"),
+        Cache_Control="max-age=60", Age="1",
+    )
+    by_tag = named(etag=F.concat(F.lit("W/"), tag), cache_control="max-age=600", content_length="0", connection="x-hop",
+                   x_hop="1", x_served="cache")
+    by_date = named(Last_Modified=modified, Date="later", Content_Type="none")
+    other = named(ETag='"other"', Last_Modified=modified)
+    bare = named(Date="later")
+    captures = [
+        (0, 0, "response", 200, stored), (1, 40, "revisit", 304, by_tag), (2, 90_000, "revisit", 304, by_date),
+        (3, 50, "revisit", 304, other), (4, 60, "revisit", 304, bare), (5, -1, "revisit", 304, by_tag),
+    ]
+    each = F.explode(
+        F.array(
+            *[
+                F.struct(
+                    (F.col("page_id") * 8 + k).alias("record_id"), (F.col("page_id") * 10 + after).alias("date"),
+                    F.lit(kind).alias("record_type"), F.lit(status).alias("status"), headers.alias("headers"),
+                )
+                for k, after, kind, status, headers in captures
+            ]
+        )
+    )
+    pages = table(spark, sf_dir, "pages").select("url", "html", each.alias("c"))
+    return pages.select(
+        "url", "c.*", F.when(F.col("c.record_type") == "response", F.col("html")).alias("payload")
+    )
+
+
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve_revisits(warc_records(spark, sf_dir))
+    lines = F.transform("headers", lambda h: F.concat(F.lower(h["name"]), F.lit(": "), h["value"]))
+    return found.select(
+        "record_id", "canonical", "date", "state", "response_id",
+        F.array_join(F.array_sort(lines), "; ").alias("headers"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+    )
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     learn = table(spark, sf_dir, "labels").where(remainder("doc_id", 4) != 2)
@@ -112,6 +165,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_simhash": op6_simhash,
+    "op7_warc_revisits": op7_warc_revisits,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
@@ -147,6 +201,39 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
+OP7_SQL = r"""
+WITH p AS (
+  SELECT page_id, html, '"' || md5(html) || '"' AS tag, 'day ' || (page_id // 7) AS modified,
+         regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS u
+  FROM pages
+), c AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(u, '^[^/?]*')), '^www\.', ''), ':(80|443)$', '')
+            || regexp_replace(regexp_extract(u, '^[^/?]*(.*)$', 1), '^([^?]*)/(\?|$)', '\1\2') AS canonical
+  FROM p
+), r AS (
+  SELECT page_id * 8 + k AS record_id, canonical, page_id * 10 + dt AS date, k, tag, modified, html
+  FROM c, (VALUES (0, 0), (1, 40), (2, 90000), (3, 50), (4, 60), (5, -1)) AS x(k, dt)
+), m AS (
+  SELECT v.record_id, v.canonical, v.date, v.k, v.tag, v.modified,
+         arg_max(f, (f.date, f.record_id)) FILTER (f.record_id IS NOT NULL) AS f
+  FROM r v LEFT JOIN r f ON f.k = 0 AND f.canonical = v.canonical AND f.date < v.date
+  WHERE v.k > 0 GROUP BY ALL
+), s AS (
+  SELECT *, CASE WHEN f IS NULL THEN 'no_response' WHEN k = 3 THEN 'mismatch' WHEN k = 4 THEN 'unchecked'
+                 WHEN k = 2 THEN CASE WHEN modified = f.modified THEN 'resolved' ELSE 'mismatch' END
+                 WHEN tag = f.tag THEN 'resolved' ELSE 'mismatch' END AS state
+  FROM m
+)
+SELECT record_id, canonical, date, state, f.record_id AS response_id,
+       CASE WHEN state = 'resolved' THEN array_to_string(list_sort(
+         ['content-type: text/html', 'content-length: ' || length(f.html), 'age: 1'] || CASE WHEN k = 2
+           THEN ['etag: ' || f.tag, 'last-modified: ' || modified, 'cache-control: max-age=60', 'date: later']
+           ELSE ['etag: W/' || tag, 'last-modified: ' || f.modified, 'cache-control: max-age=600', 'x-served: cache']
+         END), '; ') END AS headers,
+       CASE WHEN state = 'resolved' THEN sha256(f.html) END AS payload_sha256
+FROM s
+"""
+
 OP1_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -202,4 +289,4 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_embedding_dedup": OP2_SQL, "op5_chat_formatting": OP5_SQL, "op10_decontamination": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_embedding_dedup": OP2_SQL, "op5_chat_formatting": OP5_SQL, "op7_warc_revisits": OP7_SQL, "op10_decontamination": OP10_SQL}
