@@ -15,6 +15,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _local_fallback: dict[str, str] = {}
+_open_scopes: list[list[Workspace]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -50,6 +51,8 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str = "run"):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/convroute/{name}-{uuid.uuid4().hex}"
+        if _open_scopes:
+            _open_scopes[-1].append(self)
 
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}"
@@ -69,3 +72,14 @@ class Workspace:
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def temporary_workspaces() -> Iterator[None]:
+    """Drop every workspace made inside, once a result that derives from them is stored elsewhere."""
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for workspace in _open_scopes.pop():
+            workspace.drop()
