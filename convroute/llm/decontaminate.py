@@ -370,6 +370,33 @@ def contamination(
     return found.select(F.col("key").alias(id_column), "n_words", covered("spans").alias("n_hit"), "spans", "items")
 
 
+def contaminated() -> Column:
+    """At least one word in twenty lies in a benchmark window."""
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
+def without_contaminated(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    config: IndexConfig = IndexConfig(),
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """The rows of ``documents`` that are not contaminated.
+
+    Rows are told apart by 128 bits of hash of id and text; rows that are equal in both go or stay together.
+    """
+    own = [f"c{i}" for i in range(len(documents.columns))]
+    rows = documents.toDF(*own)
+    id_name, text_name = (own[documents.columns.index(name)] for name in (id_column, text_column))
+    rows = rows.withColumns(
+        {"k1": F.xxhash64(id_name, text_name), "k2": F.xxhash64(text_name, id_name, F.lit(1))}
+    )
+    found = contamination(rows.withColumn("key", F.struct("k1", "k2")), benchmark, config, "key", text_name)
+    gone = found.where(contaminated()).select("key.k1", "key.k2")
+    return rows.join(gone, ["k1", "k2"], "left_anti").select(*own).toDF(*documents.columns)
+
+
 def covered(spans: str) -> Column:
     """Words inside at least one of the ordered spans."""
     none = F.lit(0).cast("long")

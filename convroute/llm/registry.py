@@ -34,11 +34,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
-def toxicity_scores(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, score) of ``documents``, fitted on the labelled rows that are not held out."""
+def toxicity_scores(spark: SparkSession, documents: DataFrame, sf_dir: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, score, carried columns) of ``documents``, fitted on their labelled rows that are not held out."""
     learn = table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0)
-    model = toxicity.fit(table(spark, sf_dir, "documents"), learn.select("doc_id", "toxic"), "toxic")
-    return toxicity.score(documents, model)
+    model = toxicity.fit(documents, learn.select("doc_id", "toxic"), "toxic")
+    return toxicity.score(documents, model, carry=carry)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,11 +130,6 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def contaminated() -> Column:
-    """At least one word in twenty lies in a benchmark window."""
-    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
-
-
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -143,7 +138,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        contaminated().alias("contaminated"),
+        decontaminate.contaminated().alias("contaminated"),
     )
 
 

@@ -83,15 +83,13 @@ def _fingerprints(words: Words, config: SimHashConfig) -> np.ndarray:
     return out
 
 
-def fingerprints(
-    df: DataFrame, config: SimHashConfig = SimHashConfig(), id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """(id, fingerprint) of every row, as a signed 64-bit number."""
+def fingerprints(df: DataFrame, config: SimHashConfig, keys: dict[str, str], text_column: str) -> DataFrame:
+    """(keys, fingerprint) of every row, as a signed 64-bit number. ``keys``: new name to column."""
 
     def make() -> Callable[[pa.Array], list[pa.Array]]:
         return lambda texts: [pa.array(_fingerprints(split_words(texts, _TABLE), config).view(np.int64))]
 
-    return map_texts(df, {id_column: id_column}, text_column, [StructField("fingerprint", LongType())], make)
+    return map_texts(df, keys, text_column, [StructField("fingerprint", LongType())], make)
 
 
 # --- Trees ----------------------------------------------------------------------------------------
@@ -280,22 +278,45 @@ def links(points: DataFrame, config: SimHashConfig = SimHashConfig()) -> DataFra
     return routed.repartition(max(1, shards), "shard").mapInArrow(match, "a long, b long")
 
 
+def _grouped(df: DataFrame, config: SimHashConfig, keys: dict[str, str], text_column: str) -> DataFrame:
+    """(keys, fingerprint, group, component_id) of every row; ``id`` is one of the keys."""
+    workspace = Workspace(df.sparkSession, "simhash")
+    stored = workspace.save(fingerprints(df, config, keys, text_column), "fingerprints")
+    points = workspace.save(stored.groupBy("fingerprint").agg(F.min("id").alias("least")), "points")
+    found = smallest_reachable(links(points, config), "simhash-components")
+    labelled = points.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
+        "fingerprint", "least", F.coalesce("component", "fingerprint").alias("group")
+    )
+    smallest = labelled.groupBy("group").agg(F.min("least").alias("component_id"))
+    named = labelled.join(smallest, "group").select("fingerprint", "group", "component_id")
+    return stored.join(named, "fingerprint").select(*keys, "fingerprint", "group", "component_id")
+
+
 def near_duplicates(
     df: DataFrame, config: SimHashConfig = SimHashConfig(), id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """(id, fingerprint, component_id) of every row: the smallest id that links reach, its own included."""
-    workspace = Workspace(df.sparkSession, "simhash")
-    stored = workspace.save(fingerprints(df, config, id_column, text_column), "fingerprints")
-    points = workspace.save(
-        stored.groupBy("fingerprint").agg(F.min(id_column).alias("least")), "points"
-    )
-    found = smallest_reachable(links(points, config), "simhash-components")
-    labelled = points.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "least", F.coalesce("component", "fingerprint").alias("component")
+    found = _grouped(df, config, {"id": id_column}, text_column)
+    return found.select(F.col("id").alias(id_column), "fingerprint", "component_id")
+
+
+def one_of_each_group(
+    df: DataFrame, config: SimHashConfig = SimHashConfig(), id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The rows of ``df`` less all but one of each group: the one of the smallest id.
+
+    Rows are told apart by 128 bits of hash of id and text; of rows that are equal in both, one stays.
+    """
+    own = [f"c{i}" for i in range(len(df.columns))]
+    rows = df.toDF(*own)
+    id_name, text_name = (own[df.columns.index(name)] for name in (id_column, text_column))
+    rows = rows.withColumns(
+        {"k1": F.xxhash64(id_name, text_name), "k2": F.xxhash64(text_name, id_name, F.lit(1))}
     )
-    smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = labelled.join(smallest, "component").select("fingerprint", "component_id")
-    return stored.join(named, "fingerprint").select(id_column, "fingerprint", "component_id")
+    groups = _grouped(rows, config, {"id": id_name, "k1": "k1", "k2": "k2"}, text_name)
+    first = F.min(F.struct(F.col("id").isNull().alias("without"), "id", "k1", "k2")).alias("kept")
+    kept = groups.groupBy("group").agg(first).select("kept.k1", "kept.k2")
+    return rows.join(kept, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select(*own).toDF(*df.columns)
 
 
 def as_hex(fingerprint: str) -> Column:

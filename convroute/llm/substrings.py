@@ -237,7 +237,7 @@ def _counted(strings: DataFrame, config: WindowConfig) -> DataFrame:
     )
 
 
-def _removed(joined: DataFrame, carried: list[str]) -> DataFrame:
+def _removed(joined: DataFrame, carried: list[str], untouched: bool) -> DataFrame:
     fields = [joined.schema[name] for name in ("id", *carried)]
     schema = StructType(
         [
@@ -268,6 +268,9 @@ def _removed(joined: DataFrame, carried: list[str]) -> DataFrame:
                 # Each word brings a blank along; the last one goes.
                 texts = [raw[a : max(a, b - 1)].decode() for a, b in zip(cut[:-1], cut[1:], strict=True)]
                 removed = np.concatenate([[0], np.cumsum(gone)])[words.first]
+                if untouched:
+                    whole = part.column("text").to_pylist()
+                    texts = [t if n else w for t, w, n in zip(texts, whole, np.diff(removed).tolist(), strict=True)]
                 arrays = [part.column(f.name) for f in fields]
                 arrays += [
                     pa.array(words.counts, pa.int64()),
@@ -285,11 +288,12 @@ def remove_repeats(
     id_column: str = "doc_id",
     text_column: str = "text",
     carry: tuple[str, ...] = (),
+    untouched: bool = False,
 ) -> DataFrame:
     """(id, carried columns, n_words, n_removed, kept_text) of every row.
 
     A word goes if some window that covers it begins at another place too, in this document or another.  Kept words
-    are joined by one blank.
+    are joined by one blank; with ``untouched``, texts that lose nothing stay as they are.
     """
     documents = _keyed(df, id_column, text_column, carry)
     stored = Workspace(df.sparkSession, "super-kmers").save(super_kmers(documents, config), "places")
@@ -332,7 +336,7 @@ def remove_repeats(
     none = F.array().cast("array<struct<begin:bigint,end:bigint>>")
     joined = documents.join(ranges, [*_KEYS], "left").withColumn("ranges", F.coalesce("ranges", none))
     carried = [f"carried{i}" for i in range(len(carry))]
-    result = _removed(joined, carried)
+    result = _removed(joined, carried, untouched)
     return result.select(
         F.col("id").alias(id_column),
         *[F.col(ours).alias(name) for ours, name in zip(carried, carry, strict=True)],

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
 from convroute.llm.ngrams import Gram, hashed, hashed_stems, indicators, labelled_features, read_sample
@@ -118,8 +119,9 @@ def score(
     config: FtrlConfig = FtrlConfig(),
     id_column: str = "doc_id",
     text_column: str = "text",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(id, score): probability of label 1 for each row."""
+    """(id, score, carried columns): probability of label 1 for each row."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def make() -> Callable[[pa.Array], list[pa.Array]]:
@@ -138,4 +140,9 @@ def score(
 
         return compute
 
-    return map_texts(documents, {id_column: id_column}, text_column, [StructField("score", DoubleType())], make)
+    carried = {f"carried{i}": name for i, name in enumerate(carry)}
+    fields = [StructField("score", DoubleType())]
+    scored = map_texts(documents, {"id": id_column} | carried, text_column, fields, make)
+    return scored.select(
+        F.col("id").alias(id_column), "score", *[F.col(ours).alias(name) for ours, name in carried.items()]
+    )
