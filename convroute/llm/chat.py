@@ -134,13 +134,14 @@ class Codec:
         return "".join(parts) + self.decode(values[begin:])
 
 
-_codecs: dict[ChatConfig, Codec] = {}
+_codecs: dict[tuple[str, int | None], Codec] = {}
 
 
 def codec(config: ChatConfig) -> Codec:
-    if config not in _codecs:
-        _codecs[config] = Codec(config)
-    return _codecs[config]
+    key = config.vocabulary, config.first_reserved
+    if key not in _codecs:
+        _codecs[key] = Codec(config)
+    return _codecs[key]
 
 
 def _encoded(conversations: DataFrame, config: ChatConfig) -> DataFrame:

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -95,8 +96,7 @@ def fingerprints(df: DataFrame, config: SimHashConfig, keys: dict[str, str], tex
 # --- Trees ----------------------------------------------------------------------------------------
 
 
-@dataclass(frozen=True)
-class Node:
+class Node(NamedTuple):
     """A vantage point; points closer than ``radius`` belong to ``near``. Leaves are shard numbers."""
 
     vantage: np.uint64
@@ -169,7 +169,7 @@ def routes(tree: Node | int, points: np.ndarray, reach: int) -> Iterator[tuple[i
     stack = [(tree, np.arange(len(points)), np.zeros(0, np.int64))]
     while stack:
         node, own, guests = stack.pop()
-        if not isinstance(node, Node):
+        if isinstance(node, int):
             yield node, own, guests
         elif len(own) or len(guests):
             d_own, d_guests = bits_apart(points[own], node.vantage), bits_apart(points[guests], node.vantage)

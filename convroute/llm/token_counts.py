@@ -57,7 +57,7 @@ def prefix_counts(df: DataFrame, vocabulary: str, id_column: str = "doc_id", tex
     return map_texts(df, {id_column: id_column}, text_column, fields, make)
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def tokens_before(increments: pd.Series, position: pd.Series) -> pd.Series:
     """Tokens of the prefix of ``position`` bytes (a character border); beyond the end, of the whole text."""
     return pd.Series(
@@ -72,7 +72,7 @@ def tokens_before(increments: pd.Series, position: pd.Series) -> pd.Series:
 def within_budget(budget: int) -> Callable[[Column, Column], Column]:
     """A function of (prefix_increments, text): bytes of the longest prefix of at most ``budget`` tokens."""
 
-    @F.pandas_udf("long")
+    @F.pandas_udf(LongType())
     def longest(increments: pd.Series, text: pd.Series) -> pd.Series:
         out = []
         for x, t in zip(increments, text, strict=True):
