@@ -16,7 +16,6 @@ Null and empty texts are the end token alone.  Repeated rows are packed as often
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -26,9 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
-from tokenizers import Tokenizer
 
-from convroute.llm.byte_bpe import UnitValues
+from convroute.llm.byte_bpe import Encoder
 from convroute.llm.words import slices
 
 
@@ -38,7 +36,7 @@ class PackingConfig:
     end_token: int = 0
     #: Penalties of a cut inside a document, in tokens of padding.
     sentence_penalty: int = 4
-    elsewhere_penalty: int = 24
+    elsewhere_penalty: int = 12
     #: Distance of the cuts tried inside sentences.
     grid: int = 32
     #: Tokens solved at once.
@@ -52,22 +50,16 @@ class PackingConfig:
 #: Sequence numbers of one task.
 _TASK_RANGE = 1 << 40
 
-_encoders: dict[str, tuple[UnitValues, np.ndarray]] = {}
+_encoders: dict[str, tuple[Encoder, np.ndarray]] = {}
 
 
-def _encoder(vocabulary: str) -> tuple[UnitValues, np.ndarray]:
-    """Token ids of texts, and for each id whether it ends a sentence; kept as long as the Python worker."""
+def _encoder(vocabulary: str) -> tuple[Encoder, np.ndarray]:
+    """The encoder, and for each id whether it ends a sentence; kept as long as the Python worker."""
     if vocabulary not in _encoders:
-        tokenizer = Tokenizer.from_file(vocabulary)
-
-        def ids(units: list[str]) -> list[bytes]:
-            encoded = tokenizer.encode_batch_fast(units, add_special_tokens=False)
-            return [np.asarray(e.ids, "<u4").tobytes() for e in encoded]
-
-        size = tokenizer.get_vocab_size(with_added_tokens=True)
+        encoder = Encoder(vocabulary)
         # The vocabulary shows a line feed as U+010A.
-        ends = np.array([(tokenizer.id_to_token(i) or "").endswith((".", "!", "?", "Ċ")) for i in range(size)])
-        _encoders[vocabulary] = UnitValues(ids), ends
+        ends = np.array([encoder.token(i).endswith((".", "!", "?", "\u010a")) for i in range(encoder.size)])
+        _encoders[vocabulary] = encoder, ends
     return _encoders[vocabulary]
 
 
@@ -77,24 +69,22 @@ def best_cuts(places: np.ndarray, penalties: np.ndarray, length: int) -> list[in
     ``places`` ascend and leave no gap over ``length``; the last is the end of the stream.  The path may stop at
     any place within ``length`` of the end; what is left there is not a window yet.
     """
-    at = places.tolist()
-    penalty = penalties.tolist()
+    stops, penalty = [0, *places.tolist()], [0, *penalties.tolist()]
     # A cut's cost plus its place: the window before it adds length - (place - previous place) and the penalty.
-    value, previous = [0], [-1]
-    queue: deque[int] = deque([0])
-    stops = [0, *at]
+    value, previous = [0] * len(stops), [-1] * len(stops)
+    queue: list[int] = [0]
+    head = 0
     for j in range(1, len(stops)):
         reach = stops[j] - length
-        while stops[queue[0]] < reach:
-            queue.popleft()
-        i = queue[0]
-        v = value[i] + length + penalty[j - 1]
-        value.append(v)
-        previous.append(i)
-        while queue and value[queue[-1]] >= v:
+        while stops[queue[head]] < reach:
+            head += 1
+        previous[j] = best = queue[head]
+        value[j] = v = value[best] + length + penalty[j]
+        while len(queue) > head and value[queue[-1]] >= v:
             queue.pop()
         queue.append(j)
     tail = [j for j in range(len(stops)) if stops[-1] - stops[j] < length]
+    # What is left after the last cut leads the next block and costs nothing yet.
     j = min(tail, key=lambda k: (value[k] - stops[k], -k))
     path = []
     while j > 0:
@@ -199,7 +189,7 @@ def pack(
     schema = StructType([key_field, *map(StructField, names, kinds)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, ends_sentence = _encoder(vocabulary)
+        encoder, ends_sentence = _encoder(vocabulary)
         end = np.array([config.end_token], np.uint32)
         packer = _Packer(config, ends_sentence, TaskContext.get().partitionId() * _TASK_RANGE)
         key_type = None
@@ -214,9 +204,8 @@ def pack(
             key_type = batch.schema.types[0]
             for part in slices(batch, "__text"):
                 keys = part.column(0).to_pylist()
-                encoded = encode.of(part.column("__text").fill_null("").to_pylist())
-                for key, raw in zip(keys, encoded, strict=True):
-                    for rows in packer.add(key, np.concatenate([np.frombuffer(raw, "<u4"), end])):
+                for key, text in zip(keys, part.column("__text").to_pylist(), strict=True):
+                    for rows in packer.add(key, np.concatenate([encoder.ids(text or ""), end])):
                         if rows:
                             yield table(rows)
         for rows in packer.finish():
