@@ -14,8 +14,6 @@ _FIRST = "__first_row"
 _OFFSET = "__offset"
 # Spark's monotonically_increasing_id keeps the row number within a task in its lower 33 bits.
 _ROW_BITS = 33
-# Offset rows hold a path or number and two longs: at most about 100 MB at this count.
-MAX_BROADCAST_OFFSETS = 500_000
 
 
 def dense_positions(
@@ -23,7 +21,7 @@ def dense_positions(
 ) -> DataFrame:
     """Number rows 0..n-1 by ``group`` order and, within a group, by the order rows are in now.
 
-    A group's rows must sit together in one task (a file split, a sorted partition).  The rows are stored
+    A group's rows must sit together in one task (a sorted partition).  The rows are stored
     once with their row marker, because a marker must not change when a lost task runs again; the offsets
     then come from one count per group, so the bulk of the data is not shuffled for numbering.
     """
@@ -36,9 +34,7 @@ def dense_positions(
         F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias(_OFFSET),
     )
     offsets = workspace.save(offsets, f"{name}-offsets")
-    # One row per file split or partition.  Beyond the bound Spark picks the join by size on its own.
-    if offsets.count() <= MAX_BROADCAST_OFFSETS:
-        offsets = F.broadcast(offsets)
+    # One row per partition; Spark picks the join by their size.
     same_group = [F.col(g) == F.col(f"__{g}") for g in group]
     return (
         stored.join(offsets, on=same_group, how="inner")

@@ -6,7 +6,7 @@ integer arithmetic on thread and turn that any SQL engine repeats exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,9 +76,6 @@ PLATFORMS = ("instagram", "facebook", "tiktok", "x", "")
 SENTIMENTS = ("negative", "neutral", "positive")
 RAW_SENTIMENTS = ("NEGATIVE", "LABEL_1", "Positive", "neg", "Neutral", "pos")
 
-# Longest run of turns that one nested thread record holds; a longer conversation becomes several records.
-RECORD_TURNS = 64
-
 
 def _pick(values: tuple[str, ...], index: Column) -> Column:
     return F.element_at(tx.strings(values), (index % len(values) + 1).cast("int"))
@@ -131,18 +128,44 @@ def raw_sentiments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def threads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested thread records ``(conv_id, part, seed_id, platform, customer_name, messages)``.
+def threads(flat: DataFrame, turns_per_record: int = 256, context_turns: int = 2) -> DataFrame:
+    """Nested records of flat messages: a thread's first, and continuations of longer threads.
 
-    Records hold at most ``RECORD_TURNS`` turns, so no group collects an unbounded number of messages.
+    Returns ``(conv_id, seed_id, platform, customer_name, messages, first_turn, prior)``.  How many turns a record
+    holds bounds its row and changes nothing that is read from it: a continuation carries the turns before it.
     """
-    flat = messages(spark, sf_dir).withColumn("part", F.floor(F.col("turn_index") / RECORD_TURNS))
+    part = F.floor(F.col("turn_index") / turns_per_record)
+    lent = F.col("turn_index") % turns_per_record >= turns_per_record - context_turns
+    parts = F.explode(F.when(lent, F.array(part, part + 1)).otherwise(F.array(part)))
+    spread = flat.withColumn("__part", parts).withColumn("__own", F.col("__part") == part)
     turn = F.struct("turn_index", F.col("author").alias("from"), "text")
-    grouped = flat.groupBy(F.col("thread_idx").alias("conv_id"), "part", "seed_id", "platform", "customer_name").agg(
-        F.array_sort(F.collect_list(turn)).alias("turns")
+    grouped = (
+        spread.groupBy(F.col("thread_idx").alias("conv_id"), "__part", "seed_id", "platform", "customer_name")
+        .agg(
+            F.array_sort(F.collect_list(F.when(F.col("__own"), turn))).alias("__turns"),
+            F.array_sort(F.collect_list(F.when(~F.col("__own"), turn))).alias("__prior"),
+        )
+        .where(F.size("__turns") > 0)
+    )
+    body = lambda turns: F.transform(turns, lambda t: F.struct(t["from"].alias("from"), t["text"].alias("text")))
+    return grouped.select(
+        "conv_id",
+        "seed_id",
+        "platform",
+        "customer_name",
+        body("__turns").alias("messages"),
+        (F.col("__part") * turns_per_record).cast("bigint").alias("first_turn"),
+        body("__prior").alias("prior"),
     )
-    body = F.transform("turns", lambda t: F.struct(t["from"].alias("from"), t["text"].alias("text")))
-    return grouped.withColumn("messages", body).drop("turns")
+
+
+def write_threads(nested: DataFrame, path: str) -> None:
+    """JSON lines in order of conversation; every record names its thread by its position in the file."""
+    file = F.format_string("%06d", F.spark_partition_id()).alias("file")
+    ordered = nested.repartitionByRange("conv_id").select("*", file)
+    position = F.dense_rank().over(Window.partitionBy("file").orderBy("conv_id")) - 1
+    lines = ordered.withColumn("thread", position.cast("bigint")).sortWithinPartitions("file", "conv_id", "first_turn")
+    lines.drop("conv_id").write.partitionBy("file").json(path)
 
 
 def length_scorer():

@@ -5,9 +5,10 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from convroute.config import RoutingConfig
-from convroute.operators import merge
+from convroute.operators import context, merge
 from convroute.operators.standin import fill_with_standin
 from convroute.plans import sample
 from convroute.plans.run import local_stages
@@ -75,6 +76,39 @@ def test_missing_keys_and_broken_lines_fail(spark, tmp_path, bad):
         src.flatten_threads(numbered(spark, tmp_path)).collect()
 
 
+@pytest.mark.parametrize("size", [7, 256])
+def test_long_threads_are_one_thread(spark, tmp_path, size):
+    """Threads of 150 and 10,000 turns in records of bounded size read like undivided ones."""
+    lengths = {3: 150, 4: 1, 8: 10_000}
+    flat = spark.createDataFrame(
+        [(f"{c}:{t}", c, c % 90, t, "x", "brand" if t % 3 else "customer", None if t % 7 == 5 else f"turn {t}", f"cust_{c}")
+         for c, n in lengths.items() for t in range(n)],
+        "id string, thread_idx long, seed_id long, turn_index long, platform string, author string, text string, "
+        "customer_name string",
+    )
+    nested = sample.threads(flat, turns_per_record=size).cache()
+    assert nested.select(F.max(F.size("messages"))).first()[0] == size
+    got = src.flatten_threads(nested.withColumnRenamed("conv_id", "thread_idx"))
+    want = context.with_context(flat).withColumn("text", F.coalesce("text", F.lit("")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
+
+    sample.write_threads(nested, str(tmp_path / "json"))
+    numbered_rows = numbered(spark, tmp_path / "json").groupBy("thread_idx", "seed_id").agg(F.sum(F.size("messages")))
+    assert sorted(map(tuple, numbered_rows.collect())) == [(0, 3, 150), (1, 4, 1), (2, 8, 10_000)]
+
+
+def test_parquet_numbering_stores_no_copy(spark, tmp_path):
+    rows = [(i, "", "", []) for i in range(500)]
+    schema = "seed_id long, platform string, customer_name string, messages array<struct<`from`:string,text:string>>"
+    spark.createDataFrame(rows, schema).repartitionByRange(4, "seed_id").sortWithinPartitions("seed_id").write.parquet(
+        str(tmp_path / "pq")
+    )
+    workspace = Workspace(spark, "t")
+    found = src.number_threads(src.read_threads(spark, str(tmp_path / "pq"), format="parquet"), workspace)
+    assert all(r.thread_idx == r.seed_id for r in found.collect())
+    assert [p.name for p in Path(workspace.path).iterdir()] == ["threads-offsets"]
+
+
 def test_first_threads(spark, sf_small):
     m = sample.messages(spark, sf_small)
     assert src.first_threads(m, 3).select("thread_idx").distinct().count() == 3
