@@ -79,8 +79,11 @@ NEGATION_MARKERS = (
 NEGATION_WINDOW = 20
 
 # Terms of the offline stand-in for the batch classifier.
+# The stand-in takes the first label one of whose terms occurs, else the default.
 STANDIN_REFUND_TERMS = ("refund", "استرجاع", "استرداد")
 STANDIN_COMPLAINT_TERMS = ("سيء", "بارد", "rude", "disappointed")
+STANDIN_RULES = (("refund_request", STANDIN_REFUND_TERMS), ("complaint", STANDIN_COMPLAINT_TERMS))
+STANDIN_DEFAULT = "order_inquiry"
 
 # --- Fixed values: patterns (Java regex) --------------------------------------------------------
 # Digits, word characters and white space are spelt as explicit Unicode classes: Java's own \d, \w

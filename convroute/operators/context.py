@@ -19,6 +19,8 @@ def with_context(messages: DataFrame, config: RoutingConfig = RoutingConfig()) -
     (0, 1, 2, ...), so the frame is a range on the position and needs no look beyond the next chunk.
     """
     turns, size = config.context_turns, config.chunk_turns
+    if turns > size:
+        raise ValueError("context_turns must not exceed chunk_turns: context comes from the chunk before at most")
     chunk = F.floor(F.col("turn_index") / size).cast("bigint")
     lent = F.col("turn_index") % size >= size - turns
     spread = messages.withColumn("__home", chunk).withColumn(

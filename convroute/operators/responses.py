@@ -16,7 +16,7 @@ def _index(item: Column) -> Column:
     value = F.variant_get(item, "$.i", "variant")
     kind = F.schema_of_variant(value)
     digits = F.translate(
-        F.regexp_replace(F.try_variant_get(item, "$.i", "string"), r"^[\s\p{Z}]+|[\s\p{Z}]+\z", ""),
+        F.regexp_replace(F.try_variant_get(item, "$.i", "string"), r"^[\s\p{Z}]+|(?<![\s\p{Z}])[\s\p{Z}]+\z", ""),
         "٠١٢٣٤٥٦٧٨٩",
         "0123456789",
     )

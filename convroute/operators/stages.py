@@ -27,16 +27,6 @@ LABEL_COLUMNS = ("label", "confidence", "source", "reason")
 ScorerFactory = Callable[[], Callable[[Sequence[str]], Sequence[tuple[str, float]]]]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a processor-bound stage at least one partition per core.
-
-    Only inputs with fewer splits than cores are shuffled, such as one file with a single row group; large
-    inputs have more splits than cores and pass unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def route(messages: DataFrame, config: RoutingConfig = RoutingConfig()) -> DataFrame:
     """Stage 1.  Adds the signals, the four label columns and ``router_reason``.
 

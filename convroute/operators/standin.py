@@ -16,11 +16,7 @@ from convroute.operators.stages import is_undecided
 
 def _label(text: str) -> str:
     lower = text.lower()
-    if any(t in lower for t in lx.STANDIN_REFUND_TERMS):
-        return "refund_request"
-    if any(t in lower for t in lx.STANDIN_COMPLAINT_TERMS):
-        return "complaint"
-    return "order_inquiry"
+    return next((label for label, terms in lx.STANDIN_RULES if any(t in lower for t in terms)), lx.STANDIN_DEFAULT)
 
 
 def offline_classifier() -> Callable[[str, Sequence[str]], Reply]:
