@@ -5,28 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from convroute.config import CUSTOMER, Precedence
+from convroute.config import CUSTOMER, LABELS, Precedence
 
 THREAD_COLUMNS = ("thread_idx", "seed_id", "platform", "customer_name")
 
 
-def label_bit(label: Column, precedence: Precedence) -> Column:
-    """One bit per label, the lowest bit for the label that takes precedence; null for other labels."""
-    chain = None
-    for rank, name in enumerate(precedence.value):
-        condition = label == name
-        chain = F.when(condition, 1 << rank) if chain is None else chain.when(condition, 1 << rank)
-    return chain
+def label_bit(label: Column) -> Column:
+    """One bit per label, by its place in ``LABELS``; null for other labels.  No precedence yet."""
+    return F.coalesce(*[F.when(label == name, F.lit(1 << place)) for place, name in enumerate(LABELS)])
 
 
-def partial_summary(labelled: DataFrame, precedence: Precedence = Precedence.DOCUMENTED) -> DataFrame:
+def partial_summary(labelled: DataFrame) -> DataFrame:
     """Mergeable per-thread state: message count, set of labels as bits, any low confidence.
 
     The state is three fixed-width numbers, so Spark keeps it in a hash map, combines before the shuffle
     and a thread with very many messages costs no more than any other.  The thread's own columns are the
-    same on all its messages and serve as keys.
+    same on all its messages and serve as keys.  Partials add up: each message may be in one of them only.
     """
-    bit = label_bit(F.col("label"), precedence)
+    bit = label_bit(F.col("label"))
     low = bit.isNotNull() & (F.col("confidence") == "low")
     state = labelled.where(F.col("author") == CUSTOMER).groupBy(*THREAD_COLUMNS).agg(
         F.count(bit).alias("n_customer_messages"),
@@ -46,8 +42,7 @@ def merge_partials(partials: DataFrame) -> DataFrame:
 
 def finish_summary(state: DataFrame, precedence: Precedence = Precedence.DOCUMENTED) -> DataFrame:
     seen = [
-        F.when(F.col("label_bits").bitwiseAND(1 << rank) != 0, F.lit(name))
-        for rank, name in enumerate(precedence.value)
+        F.when(F.col("label_bits").bitwiseAND(1 << LABELS.index(name)) != 0, F.lit(name)) for name in precedence.value
     ]
     return state.select(
         *THREAD_COLUMNS,
@@ -60,4 +55,4 @@ def finish_summary(state: DataFrame, precedence: Precedence = Precedence.DOCUMEN
 
 def thread_summary(labelled: DataFrame, precedence: Precedence = Precedence.DOCUMENTED) -> DataFrame:
     """One row per thread with a labelled customer message.  Works on streams too.  Sort at the sink."""
-    return finish_summary(partial_summary(labelled, precedence), precedence)
+    return finish_summary(partial_summary(labelled), precedence)

@@ -6,6 +6,9 @@ they continue from their checkpoint.
 
 from __future__ import annotations
 
+import time
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +18,7 @@ from convroute.config import Precedence, RoutingConfig
 from convroute.operators import merge, requests, responses, rollup
 from convroute.operators.numbering import assign_batches
 from convroute.operators.requests import ClassifierFactory
+from convroute.operators.stages import ScorerFactory
 from convroute.plans.run import local_stages
 from convroute.sinks.result_log import append_slice
 from convroute.sources.result_log import read_log
@@ -34,9 +38,10 @@ def start_routing(
     checkpoint: str,
     config: RoutingConfig = RoutingConfig(),
     scores: DataFrame | None = None,
+    scorer: ScorerFactory | None = None,
 ) -> StreamingQuery:
     """Label arriving messages by the local stages.  Stateless: each message is judged by itself."""
-    staged = local_stages(messages, config, scores=scores)
+    staged = local_stages(messages, config, scorer=scorer, scores=scores)
     return (
         staged.writeStream.format("parquet")
         .option("path", out_path)
@@ -46,61 +51,132 @@ def start_routing(
     )
 
 
+# --- Model stage ----------------------------------------------------------------------------------
+
+
+def _numbered(spark: SparkSession, folder: str, kind: str) -> list[str]:
+    """Subfolders ``kind=<number>`` of a folder, in order of number."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    numbers = sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{kind}="))
+    done = [n for n in numbers if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{folder}/{kind}={n}/_SUCCESS"))]
+    return [f"{folder}/{kind}={n}" for n in done]
+
+
+def _left_open(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """What the latest round left to ask again: every round writes all of it."""
+    rounds = _numbered(spark, f"{folder}/open", "round")
+    return spark.read.schema(schema).parquet(rounds[-1]) if rounds else spark.createDataFrame([], schema)
+
+
+def failed_messages(spark: SparkSession, state_path: str) -> DataFrame | None:
+    """Messages given up after ``attempts`` failures, with their errors; None if there are none."""
+    rounds = _numbered(spark, f"{state_path}/failed", "round")
+    return spark.read.option("mergeSchema", True).parquet(*rounds) if rounds else None
+
+
+def model_costs(spark: SparkSession, state_path: str) -> DataFrame | None:
+    """Calls, tokens and cost per model and round."""
+    rounds = _numbered(spark, f"{state_path}/meter", "round")
+    return spark.read.parquet(*rounds) if rounds else None
+
+
 def start_model_stage(
     open_messages: DataFrame,
     classifier: ClassifierFactory,
     log_path: str,
     checkpoint: str,
     config: RoutingConfig = RoutingConfig(),
+    state_path: str | None = None,
 ) -> StreamingQuery:
     """Classify arriving undecided messages, which carry their context, and append to the result log.
 
-    A micro-batch writes its own slice of the log.  A repeated micro-batch replaces its slice, so rows are
-    neither lost nor doubled; rows another slice already holds are not asked again.
+    A micro-batch writes its own slice of the log, which a repeat replaces.  Messages whose call failed or that the
+    budget left out are written below ``state_path`` (by default next to the log) and asked again by the next
+    micro-batch, and by the next start even if no file has arrived.  After ``config.attempts`` failures a message
+    goes to ``failed_messages``.  So every message is in the log, open, or visibly failed; answers are never lost
+    when the job stops in between, as what the log already answers is not asked again.  ``model_costs`` has the
+    calls and costs; no round starts once they have reached the budget.
     """
+    spark = open_messages.sparkSession
     model = config.first_pass_model
     fingerprint = config.fingerprint(model)
-
-    def classify(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        slice_name = f"stream-{batch_id}"
-        workspace = Workspace(spark, f"stream-{batch_id}")
-        others = read_log(spark, log_path).where(F.col("slice") != slice_name)
-        todo = merge.pending(batch, others, fingerprint)
-        batched = assign_batches(todo, config.batch_size, workspace)
-        called = requests.classify_requests(
-            requests.build_requests(batched, config), classifier, config.max_concurrency
+    state = state_path or f"{log_path.rstrip('/')}-state"
+    stored_schema = T.StructType([*open_messages.schema.fields, T.StructField("attempt", T.IntegerType())])
+
+    def classify(batch: DataFrame, slice_name: str, workspace: Workspace) -> None:
+        own = batch.sparkSession
+        number = time.time_ns()
+        again = _left_open(own, state, stored_schema)
+        both = batch.withColumn("attempt", F.lit(0)).unionByName(again.select(*stored_schema.names))
+        # A repeated micro-batch meets messages that its first try has left open already.
+        both = both.groupBy(*merge.KEY).agg(F.max_by(F.struct(*stored_schema.names), "attempt").alias("m")).select("m.*")
+        asked_of = requests.with_asked(both, config)
+        reach = asked_of.agg(F.min("thread_idx"), F.max("thread_idx")).first()
+        # Only the log's row groups that can hold these threads are read.
+        others = read_log(own, log_path).where(
+            (F.col("slice") != slice_name) & F.col("thread_idx").between(reach[0], reach[1])
         )
-        stored = workspace.save(called, "replies", requests.ARROW_ROWS)
-        append_slice(
-            responses.merge_replies(responses.parse_replies(stored)), log_path, fingerprint, slice_name
+        todo = workspace.save(merge.pending(asked_of, others, fingerprint), "todo")
+        spent = model_costs(own, state)
+        spent_usd = (spent.agg(F.sum("cost")).first()[0] or 0.0) if spent is not None else 0.0
+        n = todo.count()
+        if n and Decimal(spent_usd) >= Decimal(config.budget_usd):
+            todo.drop("asked").write.parquet(f"{state}/open/round={number}")
+            return
+        batched = assign_batches(todo, config.batch_size, workspace)
+        tasks = requests.call_tasks(-(-n // config.batch_size), config)
+        called = requests.classify_requests(requests.build_requests(batched, config), classifier, tasks)
+        replies = workspace.save(called.withColumn("model", F.lit(model)), "replies", requests.ARROW_ROWS)
+        parsed = responses.parse_replies(replies)
+        append_slice(responses.merge_replies(parsed), log_path, fingerprint, slice_name)
+        requests.cost_meter(replies, config).coalesce(1).write.parquet(f"{state}/meter/round={number}")
+        lost = parsed.where("not parsed").select(
+            F.explode("members").alias("m"), F.coalesce("error", F.lit("unreadable reply")).alias("error")
         )
-        workspace.drop()
-
+        failed = todo.drop("asked").join(lost.select("m.thread_idx", "m.turn_index", "error"), list(merge.KEY))
+        failed = workspace.save(failed.withColumn("attempt", F.col("attempt") + 1), "failed")
+        given_up = F.col("attempt") >= config.attempts
+        failed.where(given_up).write.parquet(f"{state}/failed/round={number}")
+        failed.where(~given_up).drop("error").write.parquet(f"{state}/open/round={number}")
+
+    def micro_batch(batch: DataFrame, batch_id: int) -> None:
+        workspace = Workspace(batch.sparkSession, f"stream-{batch_id}")
+        try:
+            classify(batch, f"stream-{batch_id}", workspace)
+        finally:
+            workspace.drop()
+
+    if not _left_open(spark, state, stored_schema).isEmpty():
+        workspace = Workspace(spark, "stream-start")
+        try:
+            classify(spark.createDataFrame([], open_messages.schema), f"start-{time.time_ns()}", workspace)
+        finally:
+            workspace.drop()
     return (
-        open_messages.writeStream.foreachBatch(classify)
+        open_messages.writeStream.foreachBatch(micro_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def start_thread_summary(
-    labelled: DataFrame,
-    partials_path: str,
-    checkpoint: str,
-    precedence: Precedence = Precedence.DOCUMENTED,
-) -> StreamingQuery:
+# --- Thread summary -------------------------------------------------------------------------------
+
+
+def start_thread_summary(labelled: DataFrame, partials_path: str, checkpoint: str) -> StreamingQuery:
     """Keep thread summaries up to date without streaming state.
 
     Each micro-batch writes the mergeable state of the threads it touched into a folder of its own, which
     a repeat replaces.  ``read_thread_summary`` merges these rows; nothing grows with the number of threads
-    in memory.
+    in memory.  Rows are labels under no precedence, so they can be read under any.  Every message may arrive once:
+    one that arrives again with another label counts twice.
     """
 
     def write_partials(batch: DataFrame, batch_id: int) -> None:
-        partial = rollup.partial_summary(batch, precedence)
-        partial.write.mode("overwrite").parquet(f"{partials_path}/batch_id={batch_id}")
+        rollup.partial_summary(batch).write.mode("overwrite").parquet(f"{partials_path}/batch={batch_id}")
 
     return (
         labelled.writeStream.foreachBatch(write_partials)
@@ -110,7 +186,29 @@ def start_thread_summary(
     )
 
 
+def _partials(spark: SparkSession, partials_path: str) -> tuple[list[str], int]:
+    """The latest compacted folder and the batches after it, and the number of the last of all."""
+    number = lambda path: int(path.rsplit("=", 1)[1])
+    compacted = _numbered(spark, partials_path, "upto")[-1:]
+    upto = number(compacted[0]) if compacted else -1
+    later = [path for path in _numbered(spark, partials_path, "batch") if number(path) > upto]
+    return compacted + later, max([upto, *map(number, later)])
+
+
+def compact_partials(spark: SparkSession, partials_path: str) -> None:
+    """Merge the partial rows of all finished micro-batches into one row per thread.
+
+    Run it between starts of ``start_thread_summary``.  Readers see the merged folder once it is complete; what it
+    replaces may be deleted after that, and is not read any more.
+    """
+    folders, last = _partials(spark, partials_path)
+    if len(folders) > 1:
+        merged = rollup.merge_partials(spark.read.parquet(*folders))
+        merged.write.mode("overwrite").parquet(f"{partials_path}/upto={last}")
+
+
 def read_thread_summary(
     spark: SparkSession, partials_path: str, precedence: Precedence = Precedence.DOCUMENTED
 ) -> DataFrame:
-    return rollup.finish_summary(rollup.merge_partials(spark.read.parquet(partials_path)), precedence)
+    folders, _ = _partials(spark, partials_path)
+    return rollup.finish_summary(rollup.merge_partials(spark.read.parquet(*folders)), precedence)

@@ -1,12 +1,14 @@
 """Incremental jobs: equal to batch, and safe to stop, repeat and restart."""
 
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
 
-from convroute.config import RoutingConfig
+from convroute.config import Precedence, RoutingConfig
 from convroute.operators import context, merge, rollup
+from convroute.operators.requests import Reply
 from convroute.operators.standin import fill_with_standin, offline_classifier
 from convroute.plans import sample
 from convroute.plans.run import local_stages
@@ -79,6 +81,66 @@ def test_model_stage_survives_failure_and_repeats(spark, open_messages, tmp_path
     uncommit(checkpoint, 2)
     start(offline_classifier).awaitTermination()
     assert rows(read_log(spark, log)) == want
+    assert incremental.failed_messages(spark, f"{log}-state").count() == 0
+
+
+def test_failed_calls_are_asked_again(spark, open_messages, tmp_path):
+    """A classifier that is down, then recovers: after restarts every message is in the log or given up."""
+    source, log, checkpoint, down = (str(tmp_path / n) for n in ("in", "log", "check", "down"))
+    open_messages.coalesce(1).write.parquet(source)
+    schema = spark.read.parquet(source).schema
+    Path(down).touch()
+
+    def flaky():
+        answer = offline_classifier()
+
+        def classify(prompt, texts):
+            if Path(down).exists():
+                raise RuntimeError("down")
+            return answer(prompt, texts)
+
+        return classify
+
+    def start(config=CONFIG):
+        stream = incremental.read_stream(spark, source, schema)
+        incremental.start_model_stage(stream, flaky, log, checkpoint, config).awaitTermination()
+        return rows(read_log(spark, log))
+
+    assert start() == []
+    # Nothing is asked while the budget is spent, and nothing is lost.
+    assert start(replace(CONFIG, budget_usd="0")) == []
+    Path(down).unlink()
+    want = rows(fill_with_standin(open_messages))
+    assert start() == want and start() == want
+    costs = incremental.model_costs(spark, f"{log}-state").collect()
+    assert sum(r.calls for r in costs) == 10 and sum(r.cost for r in costs) > 0
+
+
+def test_a_message_is_given_up_in_plain_sight(spark, open_messages, tmp_path):
+    source, log, checkpoint = (str(tmp_path / n) for n in ("in", "log", "check"))
+    open_messages.limit(7).coalesce(1).write.parquet(source)
+    schema = spark.read.parquet(source).schema
+
+    def broken():
+        return lambda prompt, texts: Reply("not json")
+
+    for _ in range(CONFIG.attempts + 1):
+        stream = incremental.read_stream(spark, source, schema)
+        incremental.start_model_stage(stream, broken, log, checkpoint, CONFIG).awaitTermination()
+    given_up = incremental.failed_messages(spark, f"{log}-state")
+    assert given_up.count() == 7 and {r.error for r in given_up.collect()} == {"unreadable reply"}
+    assert read_log(spark, log).count() == 0
+
+
+def test_routing_with_a_scorer(spark, sf_check, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    sample.conversations(spark, sf_check).write.parquet(source)
+    stream = incremental.read_stream(spark, source, sample.CONVERSATION_SCHEMA)
+    incremental.start_routing(
+        sample.as_messages(stream), out, checkpoint, CONFIG, scorer=sample.length_scorer
+    ).awaitTermination()
+    batch = local_stages(sample.messages(spark, sf_check), CONFIG, scorer=sample.length_scorer)
+    assert rows(spark.read.parquet(out)) == rows(batch)
 
 
 def test_thread_summary_without_state(spark, sf_check, tmp_path):
@@ -102,6 +164,15 @@ def test_thread_summary_without_state(spark, sf_check, tmp_path):
     uncommit(checkpoint, max(int(p.name) for p in (Path(checkpoint) / "commits").iterdir() if p.name.isdigit()))
     assert advance() == want
 
+    # The same partials under the other precedence, before and after compaction.
+    other = rollup.thread_summary(labelled, Precedence.LABEL_ORDER)
+    for _ in range(2):
+        summary = incremental.read_thread_summary(spark, partials, Precedence.LABEL_ORDER)
+        assert rows(summary, summary.columns) == rows(other, other.columns)
+        incremental.compact_partials(spark, partials)
+        assert advance() == want
+    assert len(list(Path(partials).glob("upto=*"))) == 1
+
 
 def test_thread_summary_as_a_streaming_aggregate(spark, sf_small, tmp_path):
     labelled = fill_with_standin(local_stages(sample.messages(spark, sf_small), CONFIG))
