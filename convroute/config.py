@@ -70,15 +70,22 @@ class RoutingConfig:
     budget_usd: str = "0.50"
     # Messages of one thread that share a window task; longer threads are split into such chunks.
     chunk_turns: int = 4096
-    # Concurrent classifier calls; None keeps the partitioning Spark chose.
-    max_concurrency: int | None = 8
+    # Classifier calls of one task: tasks grow with the batches, and a lost task repeats so many calls at most.
+    # How many run at once is the cluster's or the classifier's to limit.
+    calls_per_task: int = 100
+    # Batches of the first slice, before any real cost is known, and of any later slice.
+    first_slice: int = 8
+    most_slice: int = 100_000
+    # How often a failed batch is asked again by the incremental form.
+    attempts: int = 3
     # Free text that callers change when their classifier or its instructions change.
     classifier_version: str = "1"
 
-    def fingerprint(self, model: str) -> str:
-        """Identity of what a classifier was asked; log rows made under another one are not reused."""
+    def fingerprint(self, model: str, source: str = "api") -> str:
+        """Identity of who was asked and how; log rows made under another one are not reused."""
         asked = {
             "model": model,
+            "source": source,
             "batch_size": self.batch_size,
             "context_turns": self.context_turns,
             "max_message_chars": self.max_message_chars,

@@ -33,6 +33,16 @@ def union_results(*parts: DataFrame) -> DataFrame:
     return out
 
 
+def latest(first: DataFrame, *later: DataFrame) -> DataFrame:
+    """One row per message out of tables that each hold a message once: that of the last table that has it.
+
+    Only keys of the later tables, which are far smaller, are looked up.
+    """
+    for part in later:
+        first = first.join(part.select(*KEY), list(KEY), "left_anti").unionByName(part)
+    return first
+
+
 def last_wins(rows: DataFrame, order: str | Column = "pass_no") -> DataFrame:
     """Keep one row per message: the one of the latest pass.  Combines before it shuffles."""
     order = F.col(order) if isinstance(order, str) else order
@@ -67,9 +77,16 @@ def refine_candidates(labelled: DataFrame) -> DataFrame:
 
 
 def pending(messages: DataFrame, log: DataFrame, fingerprint: str) -> DataFrame:
-    """Messages without a row in the result log of the same run settings."""
-    done = log.where(F.col("fingerprint") == fingerprint).select(*KEY)
-    return messages.join(done, list(KEY), "left_anti")
+    """Messages without an answer to the same question under the same run settings.  They carry ``asked``."""
+    done = log.where(F.col("fingerprint") == fingerprint).select(*KEY, "asked")
+    return messages.join(done, [*KEY, "asked"], "left_anti")
+
+
+def answered(messages: DataFrame, log: DataFrame, fingerprint: str) -> DataFrame:
+    """The latest answer to each of these messages, if its question is still the same."""
+    wanted = messages.select(*KEY, "asked").distinct()
+    rows = log.where(F.col("fingerprint") == fingerprint).join(wanted, [*KEY, "asked"], "left_semi")
+    return last_wins(rows, F.struct("sequence", "slice")).withColumnRenamed("frm", "author")
 
 
 def undecided(staged: DataFrame) -> DataFrame:

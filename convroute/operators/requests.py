@@ -21,7 +21,7 @@ CHARS_PER_TOKEN = 4
 # Requests in one Arrow batch.
 ARROW_ROWS = 64
 
-MEMBER_COLUMNS = ("id", "thread_idx", "seed_id", "turn_index", "platform", "author")
+MEMBER_COLUMNS = ("id", "thread_idx", "seed_id", "turn_index", "platform", "author", "asked")
 
 
 @dataclass(frozen=True)
@@ -38,16 +38,23 @@ class Reply:
 ClassifierFactory = Callable[[], Callable[[str, Sequence[str]], Reply]]
 
 
-def prompt_line(config: RoutingConfig) -> Column:
-    """The lines of one message.  Only the message is cut to length, never its context."""
+def question(config: RoutingConfig) -> Column:
+    """What is asked about one message.  Only the message is cut to length, never its context."""
     message = F.substring(
         F.regexp_replace(tx.strip(F.col("text")), "\n", " "), 1, config.max_message_chars
     )
     shown = F.when(message == "", F.lit(EMPTY_MESSAGE)).otherwise(message)
-    return F.concat(
-        F.lit("["), F.col("local_i"), F.lit("] context: "), context_block(F.col("context")),
-        F.lit("\n    message: "), shown,
-    )
+    return F.concat(F.lit("context: "), context_block(F.col("context")), F.lit("\n    message: "), shown)
+
+
+def with_asked(messages: DataFrame, config: RoutingConfig = RoutingConfig()) -> DataFrame:
+    """Add ``asked``, a hash of the question: an answer holds for a message only while its question is the same."""
+    return messages.withColumn("asked", F.sha2(question(config), 256))
+
+
+def prompt_line(config: RoutingConfig) -> Column:
+    """The lines of one message."""
+    return F.concat(F.lit("["), F.col("local_i"), F.lit("] "), question(config))
 
 
 def build_requests(batched: DataFrame, config: RoutingConfig = RoutingConfig()) -> DataFrame:
@@ -57,7 +64,7 @@ def build_requests(batched: DataFrame, config: RoutingConfig = RoutingConfig())
     """
     member = F.struct(*[F.col(c) for c in MEMBER_COLUMNS])
     entry = F.struct("local_i", prompt_line(config).alias("line"), "text", member.alias("member"))
-    grouped = batched.groupBy("batch").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    grouped = with_asked(batched, config).groupBy("batch").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     return grouped.select(
         "batch",
         F.size("entries").alias("n_messages"),
@@ -87,8 +94,10 @@ def with_cost(calls: DataFrame, config: RoutingConfig = RoutingConfig()) -> Data
     The price table has one row per model name known to the configuration, so it is broadcast; other
     models take the default price.
     """
-    rows = ", ".join(f"('{model}', '{price_in}', '{price_out}')" for model, price_in, price_out in config.prices)
-    prices = calls.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS prices(model, price_in, price_out)")
+    priced = F.array(*[F.struct(*map(F.lit, row)) for row in config.prices]).cast(
+        "array<struct<model:string,price_in:string,price_out:string>>"
+    )
+    prices = calls.sparkSession.range(1).select(F.inline(priced))
     default_in, default_out = config.default_price
 
     def per_token(column: str, default: str) -> Column:
@@ -153,14 +162,18 @@ def budget_plan(
 REPLY_TYPE = "struct<body:string,prompt_tokens:bigint,output_tokens:bigint,thinking_tokens:bigint,error:string>"
 
 
-def classify_requests(
-    requests: DataFrame, factory: ClassifierFactory, max_concurrency: int | None = None
-) -> DataFrame:
-    """Call the classifier once per batch and add its reply.
+def call_tasks(batches: int, config: RoutingConfig = RoutingConfig()) -> int:
+    """Tasks for so many calls."""
+    return max(1, -(-batches // config.calls_per_task))
 
-    Only prompt and texts go to Python.  A call that raises leaves a null body and its error, and the rest
-    of the run goes on.  Store the result before using it twice: calls cost money and may vary.  Store it
-    with few ``arrow_rows``, since a request carries the text of a whole batch and its context.
+
+def classify_requests(requests: DataFrame, factory: ClassifierFactory, tasks: int | None = None) -> DataFrame:
+    """Call the classifier once per batch: ``batch, n_messages, members`` and the reply.
+
+    Only prompt and texts go to Python, and neither is in the result.  A call that raises leaves a null body and its
+    error, and the rest of the run goes on.  Store the result before using it twice: calls cost money and may vary.
+    Store it with few ``arrow_rows``, since a request carries the text of a whole batch and its context.  ``tasks``
+    spreads the calls (see ``call_tasks``); None keeps the partitions as they are.
     """
 
     @F.pandas_udf(REPLY_TYPE)
@@ -179,7 +192,7 @@ def classify_requests(
             )
 
     replied = replied.asNondeterministic()
-    spread = requests.repartition(max_concurrency, "batch") if max_concurrency else requests
-    return spread.withColumn("__reply", replied("prompt", "texts")).select(
-        *requests.columns, "__reply.*"
-    )
+    # Ranges of batches: each task has about as many calls.
+    spread = requests.repartitionByRange(tasks, "batch") if tasks and tasks > 1 else requests
+    kept = [c for c in requests.columns if c not in ("prompt", "texts")]
+    return spread.withColumn("__reply", replied("prompt", "texts")).select(*kept, "__reply.*")

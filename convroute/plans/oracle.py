@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from convroute import lexicon as lx
 from convroute.config import DOCUMENTED_ORDER, LABELS
-from convroute.plans.sample import PHRASES, PLATFORMS, RAW_SENTIMENTS, RECORD_TURNS, SENTIMENTS
+from convroute.plans.sample import PHRASES, PLATFORMS, RAW_SENTIMENTS, SENTIMENTS
 
 SPACE = r"\s\x0b\p{Z}\x{85}\x{1c}-\x{1f}"
 WORD = r"\p{L}\p{N}_"
@@ -285,19 +285,16 @@ def queries() -> dict[str, str]:
             FROM routed WHERE router_label IS NULL)"""
     refined = f"""SELECT id, {STANDIN} AS label, 'low' AS confidence, 'api_refine' AS source,
         'api_classified' AS reason FROM msg JOIN final USING (id) WHERE final.confidence = 'low'"""
-    records = f"""SELECT *, turn_index // {RECORD_TURNS} AS part FROM msg"""
-    flat = f"""
-      SELECT (thread_idx * 1000000 + part) || ':' || (turn_index % {RECORD_TURNS}) AS id,
-        thread_idx * 1000000 + part AS thread_idx, seed_id, turn_index % {RECORD_TURNS} AS turn_index, platform, author,
-        text, customer_name,
-        CASE WHEN turn_index % {RECORD_TURNS} = 0 THEN '(first message in thread)'
+    flat = """
+      SELECT id, thread_idx, seed_id, turn_index, platform, author, text, customer_name,
+        CASE WHEN turn_index = 0 THEN '(first message in thread)'
           ELSE concat_ws(' | ', lag(line, 2) OVER w, lag(line, 1) OVER w) END AS context_block
-      FROM (SELECT *, author || ': ' || coalesce(text, 'None') AS line FROM records)
-      WINDOW w AS (PARTITION BY thread_idx, part ORDER BY turn_index)"""
+      FROM (SELECT *, author || ': ' || coalesce(text, 'None') AS line FROM msg)
+      WINDOW w AS (PARTITION BY thread_idx ORDER BY turn_index)"""
     ingest = """
-      SELECT row_number() OVER (ORDER BY conv, part) - 1 AS thread_idx, seed_id, platform, customer_name, n_messages
-      FROM (SELECT thread_idx AS conv, part, any_value(seed_id) AS seed_id, any_value(platform) AS platform,
-        any_value(customer_name) AS customer_name, count(*)::INTEGER AS n_messages FROM records GROUP BY 1, 2)"""
+      SELECT row_number() OVER (ORDER BY conv) - 1 AS thread_idx, seed_id, platform, customer_name, n_messages
+      FROM (SELECT thread_idx AS conv, any_value(seed_id) AS seed_id, any_value(platform) AS platform,
+        any_value(customer_name) AS customer_name, count(*)::INTEGER AS n_messages FROM msg GROUP BY 1)"""
     meter = """
       SELECT model, count(*) AS calls, sum(tin)::BIGINT AS in_tok, sum(tout)::BIGINT AS out_tok,
         (sum(CASE model WHEN 'gemini-3.5-flash' THEN tin * 75 + tout * 450 ELSE tin * 30 + tout * 250 END)::DOUBLE
@@ -333,8 +330,8 @@ def queries() -> dict[str, str]:
     local = f"SELECT {', '.join('m.id' if c == 'id' else c for c in _LABEL_COLS.split(', '))} FROM msg m LEFT JOIN local_rows USING (id)"
 
     return {
-        "ingest_threads": _with(ingest, "msg", extra={"records": records}),
-        "flatten_messages": _with(flat, "msg", extra={"records": records}),
+        "ingest_threads": _with(ingest, "msg"),
+        "flatten_messages": _with(flat, "msg"),
         "read_result_log": _with(log, "final"),
         "author_split": _with(
             "SELECT author, count(*) AS n_messages FROM msg WHERE author IN ('customer', 'brand') GROUP BY author", "msg"
@@ -394,6 +391,8 @@ def queries() -> dict[str, str]:
         ),
         "labels_output": _with(_OUTPUT, "final"),
         "labels_csv_roundtrip": _with(_OUTPUT, "final"),
+        "full_run": _with(_OUTPUT, "final"),
+        "written_summary": _with(_summary(DOCUMENTED_ORDER), "final"),
         "thread_summary": _with(_summary(DOCUMENTED_ORDER), "final"),
         "thread_summary_label_order": _with(_summary(LABELS), "final"),
         "label_distribution": _with(distribution, "final"),

@@ -15,7 +15,7 @@ from convroute.functions.signals import with_signals
 from convroute.operators import audits, authors, context, merge, numbering, requests, responses, rollup, stages
 from convroute.operators.standin import fill_with_standin, offline_classifier
 from convroute.plans import sample
-from convroute.plans.run import local_stages
+from convroute.plans.run import local_stages, model_pass, run_routing
 from convroute.sinks import tables
 from convroute.sinks.result_log import append_slice, log_rows, write_json_log
 from convroute.sources import threads as thread_source
@@ -102,16 +102,14 @@ def _refined(labelled: DataFrame) -> DataFrame:
 def ingest_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     workspace = Workspace(spark, "ingest")
     path = workspace.folder("json")
-    nested = sample.threads(spark, sf_dir)
-    nested.orderBy("conv_id", "part").drop("conv_id", "part").write.json(path)
+    sample.write_threads(sample.threads(sample.messages(spark, sf_dir)), path)
     read = thread_source.number_threads(thread_source.read_threads(spark, path), workspace)
-    return read.withColumn("n_messages", F.size("messages")).drop("messages")
+    whole = read.groupBy("thread_idx", "seed_id", "platform", "customer_name")
+    return whole.agg(F.sum(F.size("messages")).cast("int").alias("n_messages"))
 
 
 def flatten_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Each nested record is a thread of its own; its number is made from conversation and part.
-    number = (F.col("conv_id") * 1_000_000 + F.col("part")).alias("thread_idx")
-    nested = sample.threads(spark, sf_dir).select(number, "seed_id", "platform", "customer_name", "messages")
+    nested = sample.threads(sample.messages(spark, sf_dir)).withColumnRenamed("conv_id", "thread_idx")
     flat = thread_source.flatten_threads(nested, CONFIG)
     return flat.withColumn("context_block", context.context_block(F.col("context"))).drop("context")
 
@@ -152,7 +150,7 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def signals_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = stages.spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return with_signals(docs.withColumn("text", F.coalesce("text", F.lit("")))).drop("text")
 
 
@@ -237,7 +235,7 @@ def budget_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     workspace = Workspace(spark, "model")
     built = requests.build_requests(_batched(spark, sf_dir, workspace), CONFIG)
-    called = requests.classify_requests(built, offline_classifier, CONFIG.max_concurrency)
+    called = requests.classify_requests(built, offline_classifier)
     stored = workspace.save(called, "replies", requests.ARROW_ROWS)
     rows = responses.merge_replies(responses.parse_replies(stored))
     return rows.select("id", "batch", "label", "confidence", "source", "reason")
@@ -264,10 +262,12 @@ def resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     ran = requests.budget_plan(calls, SMALL_BUDGET).where("runs").select("batch")
     finished = fill_with_standin(batched.join(ran, "batch", "left_semi"))
     log = workspace.folder("log")
-    append_slice(finished, log, fingerprint, "stopped")
+    append_slice(requests.with_asked(finished, CONFIG), log, fingerprint, "stopped")
     # Rows of a run under other settings do not count as done.
-    append_slice(fill_with_standin(batched), log, CONFIG.fingerprint(REFINE_MODEL), "other")
-    return merge.pending(batched, read_log(spark, log), fingerprint).select("id", "batch")
+    other = CONFIG.fingerprint(REFINE_MODEL)
+    append_slice(requests.with_asked(fill_with_standin(batched), CONFIG), log, other, "other")
+    asked = requests.with_asked(batched, CONFIG)
+    return merge.pending(asked, read_log(spark, log), fingerprint).select("id", "batch")
 
 
 def refine_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,7 +275,35 @@ def refine_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def refine_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _refined(_labelled(spark, sf_dir)).select("id", "label", "confidence", "source", "reason")
+    """Low-confidence messages of the first pass through batches, classifier and log again."""
+    workspace = Workspace(spark, "refine-pass")
+    with_context = context.with_context(sample.messages(spark, sf_dir), CONFIG)
+    labelled = fill_with_standin(local_stages(with_context, CONFIG, scores=sample.scores(spark, sf_dir)))
+    done = model_pass(
+        workspace.save(merge.refine_candidates(labelled), "candidates"), offline_classifier, CONFIG.refine_model,
+        "api_refine", workspace.folder("log"), CONFIG, workspace,
+    )
+    return done.rows.select("id", "label", "confidence", "source", "reason")
+
+
+def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run, with classifier, slices and log, written and read back as its two datasets."""
+    workspace = Workspace(spark, "full-run")
+    messages = context.with_context(sample.messages(spark, sf_dir), CONFIG)
+    run = run_routing(
+        messages, offline_classifier, workspace.folder("log"), CONFIG, scores=sample.scores(spark, sf_dir)
+    )
+    out = workspace.folder("out")
+    tables.write_outputs(run.labels, run.thread_summary, out)
+    return spark.read.parquet(f"{out}/labels")
+
+
+def written_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second dataset that ``write_outputs`` leaves."""
+    labelled = Workspace(spark, "written").save(_labelled(spark, sf_dir), "labelled")
+    out = Workspace(spark, "outputs").folder("out")
+    tables.write_outputs(merge.labels_output(labelled), rollup.thread_summary(labelled), out)
+    return spark.read.parquet(f"{out}/thread_summary")
 
 
 # --- Merged results -------------------------------------------------------------------------------
@@ -290,8 +318,8 @@ def all_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merge_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = Workspace(spark, "merge").save(_labelled(spark, sf_dir), "labelled")
-    rows = merge.union_results(merge.results(labelled), merge.results(_refined(labelled)))
-    return merge.last_wins(rows).select("id", "label", "confidence", "source", "reason")
+    rows = merge.latest(merge.results(labelled), merge.results(_refined(labelled)))
+    return rows.select("id", "label", "confidence", "source", "reason")
 
 
 def labels_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,7 +405,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         signals, signals_documents, router_stage, residual_after_router, sentiment_scores, normalise_sentiment,
         sentiment_stage, residual_after_sentiment, offline_model_labels, brand_rows, assign_batches, batch_prompts,
         batch_cost, budget_plan, model_stage, merge_responses, response_quality, resume_pending, refine_candidates,
-        refine_pass, all_results, merge_last_wins, labels_output, labels_csv_roundtrip, thread_summary,
+        refine_pass, full_run, written_summary, all_results, merge_last_wins, labels_output, labels_csv_roundtrip, thread_summary,
         thread_summary_label_order, label_distribution, stage_coverage, reason_breakdown, seed_collision_audit,
         incremental_triage, incremental_model_stage, incremental_thread_summary,
     )

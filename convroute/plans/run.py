@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import math
 import uuid
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,12 +21,50 @@ from convroute.sources.threads import first_threads
 from convroute.workspace import Workspace
 
 
+@dataclass(frozen=True)
+class ModelPass:
+    """What one classifier pass did: rows, replies (None without calls), money spent so far, and requests."""
+
+    rows: DataFrame
+    replies: DataFrame | None
+    spent_usd: Decimal
+    requests: DataFrame
+
+    @property
+    def failed_batches(self) -> DataFrame:
+        """``batch, n_messages, error``: batches whose call failed or whose reply is not JSON."""
+        if self.replies is None:
+            return self.requests.limit(0).select("batch", "n_messages", F.lit("").alias("error"))
+        parsed = responses.parse_replies(self.replies).where("not parsed")
+        return parsed.select("batch", "n_messages", F.coalesce("error", F.lit("unreadable reply")).alias("error"))
+
+    @property
+    def unrun_batches(self) -> DataFrame:
+        """``batch, n_messages``: batches that the budget left out."""
+        asked = self.requests.select("batch", "n_messages")
+        return asked if self.replies is None else asked.join(self.replies.select("batch"), "batch", "left_anti")
+
+
 @dataclass(frozen=True)
 class RoutingRun:
+    """Results of a run.  ``passes`` tell what it did not finish; see ``unfinished``."""
+
     labelled: DataFrame
     cost_meter: DataFrame | None
     config: RoutingConfig
     workspace: Workspace
+    passes: tuple[ModelPass, ...]
+
+    @property
+    def unfinished(self) -> DataFrame:
+        """``pass_no, batch, n_messages, error``: failed batches with their errors, unrun ones with a null."""
+        parts = []
+        for number, done in enumerate(self.passes):
+            parts += [
+                done.failed_batches.withColumn("pass_no", F.lit(number)),
+                done.unrun_batches.withColumns({"error": F.lit(None).cast("string"), "pass_no": F.lit(number)}),
+            ]
+        return reduce(DataFrame.unionByName, parts).select("pass_no", "batch", "n_messages", "error")
 
     @property
     def labels(self) -> DataFrame:
@@ -62,6 +100,13 @@ def local_stages(
     return stages.without_signals(staged)
 
 
+def _next_slice(left_usd: Decimal, cost_per_batch: Decimal, config: RoutingConfig) -> int:
+    """Batches whose cost, at what batches have cost so far, takes half of the money left."""
+    if cost_per_batch <= 0:
+        return config.most_slice
+    return max(1, min(config.most_slice, int(left_usd / (2 * cost_per_batch))))
+
+
 def model_pass(
     todo: DataFrame,
     classifier: ClassifierFactory,
@@ -71,47 +116,48 @@ def model_pass(
     config: RoutingConfig,
     workspace: Workspace,
     spent_usd: Decimal = Decimal(0),
-    batches_per_slice: int = 1_000_000,
-) -> tuple[DataFrame, DataFrame | None, Decimal]:
-    """Classify messages in batches; returns their rows, the replies and the money spent so far.
-
-    Rows already logged under the same settings are not asked again.  Calls run in slices of batches and
-    each slice is logged before the next starts, so a lost job repeats one slice at most.  Batches beyond
-    the planned budget do not run, nor do later slices once real costs have reached it.
+) -> ModelPass:
+    """Classify messages in batches.
+
+    Messages whose question is already answered in the log under the same settings are not asked again, and only
+    answers to these messages are returned.  Calls run in slices of batches, and each is logged before the next
+    starts, so a lost job repeats one slice at most.  The first slice is small; each later one is planned to cost
+    half of the money left, by the real costs so far.  No slice starts once the budget is spent, so spending
+    exceeds it by the cost of one slice at most, and by that of one batch if costs per batch stay the same.
     """
     spark = todo.sparkSession
-    fingerprint = config.fingerprint(model)
+    fingerprint = config.fingerprint(model, source)
     name = f"{source}-{uuid.uuid4().hex[:8]}"
-    open_rows = merge.pending(todo, read_log(spark, log_path), fingerprint)
+    asked_of = requests.with_asked(todo, config)
+    open_rows = workspace.save(merge.pending(asked_of, read_log(spark, log_path), fingerprint), f"{name}-open")
     batched = assign_batches(open_rows, config.batch_size, workspace, f"{name}-batched")
     asked = workspace.save(
-        requests.build_requests(batched, config).sortWithinPartitions("batch"), f"{name}-requests"
+        requests.build_requests(batched, config).repartitionByRange("batch").sortWithinPartitions("batch"),
+        f"{name}-requests",
     )
     n_batches = asked.count()
-    calls = requests.estimate_tokens(asked).select(
-        "batch", F.lit(model).alias("model"), "prompt_tokens", "output_tokens", "thinking_tokens"
-    )
-    planned = requests.budget_plan(calls, config, str(spent_usd)).where("runs").select("batch")
-
-    replies = None
-    for number in range(math.ceil(n_batches / batches_per_slice)):
-        if spent_usd >= Decimal(config.budget_usd):
-            break
-        first = number * batches_per_slice
-        in_slice = F.col("batch").between(first, first + batches_per_slice - 1)
-        part = asked.where(in_slice).join(planned.where(in_slice), "batch", "left_semi")
-        called = requests.classify_requests(part, classifier, config.max_concurrency)
-        called = called.withColumn("model", F.lit(model))
-        stored = workspace.save(called, f"{name}-replies-{number}", requests.ARROW_ROWS)
+
+    slices: list[DataFrame] = []
+    budget, began, first, size = Decimal(config.budget_usd), spent_usd, 0, config.first_slice
+    while first < n_batches and spent_usd < budget:
+        size = min(size, n_batches - first)
+        part = asked.where(F.col("batch").between(first, first + size - 1))
+        called = requests.classify_requests(part, classifier, requests.call_tasks(size, config))
+        stored = workspace.save(
+            called.withColumn("model", F.lit(model)), f"{name}-replies/slice={len(slices)}", requests.ARROW_ROWS
+        )
         rows = responses.merge_replies(responses.parse_replies(stored), source)
-        append_slice(rows, log_path, fingerprint, f"{name}-{number}")
-        replies = stored if replies is None else replies.unionByName(stored)
+        append_slice(rows, log_path, fingerprint, f"{name}-{len(slices):06d}")
+        slices.append(stored)
         cost = requests.with_cost(stored, config).agg(F.sum("cost")).first()[0]
         spent_usd += cost or Decimal(0)
+        first += size
+        size = _next_slice(budget - spent_usd, (spent_usd - began) / first, config)
 
-    logged = read_log(spark, log_path).where(F.col("fingerprint") == fingerprint)
-    rows = merge.last_wins(logged, "slice").withColumnRenamed("frm", "author")
-    return rows, replies, spent_usd
+    # One table of all slices: the plan does not grow with their number.
+    replies = spark.read.schema(slices[0].schema).parquet(workspace.folder(f"{name}-replies")) if slices else None
+    rows = merge.answered(asked_of, read_log(spark, log_path), fingerprint)
+    return ModelPass(rows, replies, spent_usd, asked)
 
 
 def run_routing(
@@ -123,12 +169,12 @@ def run_routing(
     scores: DataFrame | None = None,
     refine: bool = False,
     limit: int | None = None,
-    batches_per_slice: int = 1_000_000,
 ) -> RoutingRun:
     """Label every message, or those of the first ``limit`` threads.  ``messages`` carry their ``context`` (see ``flatten_threads``/``with_context``).
 
-    Local stages are stored before the classifier pass reads them, so scoring is not repeated.  Context is
-    kept only on rows that may still be sent to a classifier.  Drop ``workspace`` when done with the result.
+    Local stages are stored before the classifier pass reads them, so scoring is not repeated; so are the final
+    labels, which all reports read.  Context is kept only on rows that may still be sent to a classifier.  Look at
+    ``unfinished`` for batches that failed or that the budget left out, and drop ``workspace`` when done.
     """
     spark = messages.sparkSession
     workspace = Workspace(spark, "run")
@@ -137,18 +183,18 @@ def run_routing(
     staged = staged.withColumn("context", F.when(may_ask, F.col("context")))
     staged = workspace.save(staged, "staged", stages.ARROW_ROWS)
 
-    rows, replies, spent = model_pass(
-        merge.undecided(staged), classifier, config.first_pass_model, "api", log_path, config, workspace,
-        batches_per_slice=batches_per_slice,
-    )
-    labelled = merge.attach_labels(staged, rows)
+    first = model_pass(
+        merge.undecided(staged), classifier, config.first_pass_model, "api", log_path, config, workspace
+    )
+    passes = [first]
+    labelled = workspace.save(merge.attach_labels(staged, first.rows), "labelled")
     if refine:
-        again, more, spent = model_pass(
+        again = model_pass(
             merge.refine_candidates(labelled), classifier, config.refine_model, "api_refine", log_path, config,
-            workspace, spent, batches_per_slice,
+            workspace, first.spent_usd,
         )
-        labelled = merge.attach_labels(labelled, again)
-        if more is not None:
-            replies = more if replies is None else replies.unionByName(more)
-    meter = None if replies is None else requests.cost_meter(replies, config)
-    return RoutingRun(labelled.drop("context"), meter, config, workspace)
+        passes.append(again)
+        labelled = workspace.save(merge.attach_labels(labelled, again.rows), "refined")
+    replies = [done.replies for done in passes if done.replies is not None]
+    meter = requests.cost_meter(reduce(DataFrame.unionByName, replies), config) if replies else None
+    return RoutingRun(labelled.drop("context"), meter, config, workspace, tuple(passes))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -22,31 +24,34 @@ RESULT_SCHEMA = T.StructType(
     ]
 )
 
-# What a Parquet log adds: the run's fingerprint and the name of the write.
+# What a Parquet log adds: a hash of the question, a number that later writes exceed, the run's fingerprint and the
+# name of the write.
 LOG_SCHEMA = T.StructType(
-    RESULT_SCHEMA.fields + [T.StructField("fingerprint", T.StringType()), T.StructField("slice", T.StringType())]
+    [
+        *RESULT_SCHEMA.fields,
+        T.StructField("asked", T.StringType()),
+        T.StructField("sequence", T.LongType()),
+        T.StructField("fingerprint", T.StringType()),
+        T.StructField("slice", T.StringType()),
+    ]
 )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _or_empty(spark: SparkSession, schema: T.StructType, read: Callable[[], DataFrame]) -> DataFrame:
     try:
-        spark.read.format("binaryFile").load(path)
-        return True
+        return read()
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            return False
+            return spark.createDataFrame([], schema)
         raise
 
 
 def read_json_log(spark: SparkSession, path: str) -> DataFrame:
     """Read a JSON-lines log; blank, malformed and cut-off lines are skipped, a missing log is empty."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], RESULT_SCHEMA)
-    return spark.read.schema(RESULT_SCHEMA).option("mode", "DROPMALFORMED").json(path)
+    reader = spark.read.schema(RESULT_SCHEMA).option("mode", "DROPMALFORMED")
+    return _or_empty(spark, RESULT_SCHEMA, lambda: reader.json(path))
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """Read the Parquet log that ``sinks.result_log`` appends to; a missing log is empty."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], LOG_SCHEMA)
-    return spark.read.schema(LOG_SCHEMA).parquet(path)
+    return _or_empty(spark, LOG_SCHEMA, lambda: spark.read.schema(LOG_SCHEMA).parquet(path))

@@ -79,6 +79,7 @@ def test_run_equals_stages_in_place(spark, inputs, tmp_path):
     other = replace(CONFIG, batch_size=50)
     run_routing(messages, counting(calls), str(tmp_path / "log"), other, scores=scores)
     assert sorted(asked(calls)[5:]) == [21, 50, 50]
+    assert run.unfinished.count() == 0
     run.workspace.drop()
 
 
@@ -86,12 +87,15 @@ def test_slices_and_budget_stop_then_resume(spark, inputs, tmp_path):
     messages, scores, expected = inputs
     calls, log = str(tmp_path / "calls"), str(tmp_path / "log")
     poor = replace(CONFIG, budget_usd="0.003")
-    stopped = run_routing(messages, counting(calls), log, poor, scores=scores, batches_per_slice=1)
+    poor = replace(poor, first_slice=1)
+    stopped = run_routing(messages, counting(calls), log, poor, scores=scores)
     done = sum(asked(calls))
     assert 0 < done < 121 and stopped.labelled.where("source = 'api'").count() == done
     blanks = [r for r in output(stopped) if r[5] == "customer" and r[7] == ""]
     assert len(blanks) == 121 - done and all(r[7:] == ("", "", "", "") for r in blanks)
-    resumed = run_routing(messages, counting(calls), log, CONFIG, scores=scores, batches_per_slice=2)
+    left = stopped.unfinished.collect()
+    assert sum(r.n_messages for r in left) == 121 - done and all(r.error is None for r in left)
+    resumed = run_routing(messages, counting(calls), log, replace(CONFIG, first_slice=2), scores=scores)
     assert output(resumed) == expected and sum(asked(calls)) == 121
 
 
@@ -101,6 +105,7 @@ def test_failed_batches_stay_blank_and_are_asked_again(spark, inputs, tmp_path):
     run = run_routing(messages, counting(calls, fail_size=21), log, CONFIG, scores=scores)
     missing = run.labelled.where("author = 'customer' and label is null").count()
     assert missing == 21
+    assert [(r.pass_no, r.n_messages, r.error) for r in run.unfinished.collect()] == [(0, 21, "refused")]
     later = run_routing(messages, counting(calls), log, CONFIG, scores=scores)
     assert output(later) == expected
     assert sum(asked(calls)) == 121 + missing
@@ -121,6 +126,64 @@ def test_refine_changes_only_low_confidence_rows(spark, inputs, tmp_path):
     assert {r["model"] for r in run.cost_meter.collect()} == {"gemini-3.5-flash-lite", "gemini-3.5-flash"}
 
 
+def test_dear_calls_stop_at_the_budget(spark, inputs, tmp_path):
+    """Real costs twelve times the estimate: spending passes the budget by one slice at most."""
+    messages, scores, _ = inputs
+
+    def dear():
+        answer = offline_classifier()
+
+        def classify(prompt, texts):
+            r = answer(prompt, texts)
+            return replace(r, prompt_tokens=r.prompt_tokens + 1300, thinking_tokens=2000)
+
+        return classify
+
+    config = replace(CONFIG, batch_size=5, budget_usd="0.030", first_slice=2)
+    run = run_routing(messages, dear, str(tmp_path / "log"), config, scores=scores)
+    meter = run.cost_meter.first()
+    assert 0.030 <= meter["cost"] < 0.030 + 1.5 * meter["cost"] / meter["calls"]
+    assert run.unfinished.count() == 25 - meter["calls"] > 0
+
+
+def test_a_changed_message_is_asked_again(spark, inputs, tmp_path):
+    messages, scores, _ = inputs
+    calls, log = str(tmp_path / "calls"), str(tmp_path / "log")
+    run_routing(messages, counting(calls), log, CONFIG, scores=scores)
+    one = merge.undecided(local_stages(messages, CONFIG, scores=scores)).orderBy("id").first()
+    same = (F.col("thread_idx") == one["thread_idx"]) & (F.col("turn_index") == one["turn_index"])
+    # The new text stays undecided by the local stages, and the stand-in calls it a complaint.
+    changed = messages.withColumn("text", F.when(same, "ok noted disappointed not").otherwise(F.col("text")))
+    again = run_routing(changed, counting(calls), log, CONFIG)
+    fresh = run_routing(changed, offline_classifier, str(tmp_path / "other"), CONFIG)
+    assert output(again) == output(fresh)
+
+
+def test_threads_that_moved_keep_no_foreign_labels(spark, inputs, tmp_path):
+    messages, _, _ = inputs
+    log = str(tmp_path / "log")
+    run_routing(messages, offline_classifier, log, CONFIG)
+    moved = messages.withColumn("thread_idx", (F.col("thread_idx") + 1) % 100).withColumn(
+        "id", F.concat_ws(":", "thread_idx", "turn_index")
+    )
+    again = run_routing(moved, offline_classifier, log, CONFIG)
+    assert output(again) == output(run_routing(moved, offline_classifier, str(tmp_path / "other"), CONFIG))
+
+
+def test_a_stage_added_later_wins_over_the_log(spark, inputs, tmp_path):
+    messages, scores, expected = inputs
+    log = str(tmp_path / "log")
+    run_routing(messages, offline_classifier, log, CONFIG)
+    assert output(run_routing(messages, offline_classifier, log, CONFIG, scores=scores)) == expected
+
+
+def test_one_model_for_both_passes(spark, inputs, tmp_path):
+    messages, scores, _ = inputs
+    config = replace(CONFIG, refine_model=CONFIG.first_pass_model)
+    run = run_routing(messages, offline_classifier, str(tmp_path / "log"), config, scores=scores, refine=True)
+    assert run.labelled.where("source = 'api_refine'").count() == 126
+
+
 def test_without_sentiment_and_with_a_scorer(spark, inputs, tmp_path, sf_check):
     messages, _, _ = inputs
     plain = run_routing(messages, offline_classifier, str(tmp_path / "a"), CONFIG)
