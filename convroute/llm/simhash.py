@@ -10,12 +10,11 @@ point than its radius go one way, the others the other way.  By the triangle ine
 such points are also sent to the other side as queries.  Inside a shard the same bounds prune a tree of its own down
 to small leaves, where all pairs are compared by their bits.  So the links found are exact.
 
-The tree's depth follows the number of points (a shard holds about ``shard_points``), so a task's share does not
-grow; its nodes, at most ``sample_points``, are all that is broadcast.  A shard that holds more than its share
-because its points lie close together is split again by the tree inside the task.  Links are cut down to a spanning
-forest where they are found: within a shard no more links than points leave the task.  Fingerprints of random texts
-lie about 32 bits apart, so the bounds prune weakly at the top and a point is a query in several shards; the README
-gives figures.
+A shard holds about ``shard_points`` points of its own, and its guests are divided into parts of about
+``guest_points``, so a task's share does not grow; the tree's nodes, at most ``sample_points``, are all that is
+broadcast.  Links are cut down to a spanning forest where they are found: no more links than points leave a task.
+Fingerprints of random texts lie about 32 bits apart, so the bounds prune weakly at the top and a point is a guest in
+many shards; the README gives figures.
 
 Rows with null or empty texts have fingerprint zero and are linked like any other.  Repeated rows share a
 fingerprint.  Null ids take part but are never the name of a component unless it has no other.
@@ -36,7 +35,7 @@ from pyspark.sql.types import LongType, StructField
 
 from convroute.llm.components import smallest_reachable
 from convroute.llm.tables import map_texts
-from convroute.llm.words import Words, blank_separated, split_words
+from convroute.llm.words import Words, blank_separated, mixed, split_words
 from convroute.workspace import Workspace
 
 
@@ -45,8 +44,9 @@ class SimHashConfig:
     shingle: int = 3
     distance: int = 3
     seed: int = 42
-    #: Points of one shard, about.
+    #: Points of one shard, and guests of one of its parts, about.
     shard_points: int = 50_000
+    guest_points: int = 250_000
     #: Points the shared tree is built from.
     sample_points: int = 16_384
     #: Points of a leaf inside a shard.
@@ -109,57 +109,54 @@ def bits_apart(points: np.ndarray, vantage: np.uint64) -> np.ndarray:
     return np.bitwise_count(points ^ vantage).astype(np.int16)
 
 
-def middle_radius(distances: np.ndarray, reach: int) -> int | None:
-    """The radius that splits best: few points within reach of it, and both sides well filled. None: no split."""
-    counts = np.bincount(distances, minlength=66)
-    closer = np.concatenate([[0], np.cumsum(counts)])
-    total = len(distances)
-    best, cost = None, float(total) * total
-    for radius in range(1, 65):
-        near = closer[radius]
-        near_side = closer[min(radius + reach, 65)]
-        far_side = total - closer[max(radius - reach, 0)]
-        if 0 < near < total:
-            # Comparisons left: each side's own points against those sent to it as well.
-            work = float(near) * near_side + float(total - near) * far_side
-            if work < cost:
-                best, cost = radius, work
-    return best
-
-
-def shared_tree(sample: np.ndarray, levels: int, reach: int) -> tuple[Node | int, int]:
-    """A tree over a sample of the points, and its number of shards."""
+def best_radius(distances: np.ndarray, reach: int) -> tuple[int, float] | None:
+    """The radius that leaves the fewest comparisons, and their share of all; None if none leaves fewer."""
+    closer = np.concatenate([[0], np.cumsum(np.bincount(distances, minlength=66))]).astype(np.float64)
+    radius, total = np.arange(1, 65), len(distances)
+    near, with_guests = closer[radius], closer[np.minimum(radius + reach, 65)]
+    work = near * with_guests + (total - near) ** 2
+    work[(near == 0) | (near == total)] = np.inf
+    best = int(work.argmin())
+    return (int(radius[best]), float(work[best]) / total**2) if work[best] < total**2 else None
+
+
+def shared_tree(sample: np.ndarray, most: int, reach: int) -> tuple[Node | int, int]:
+    """A tree over a sample of the points whose shards hold ``most`` of them or fewer, and its number of shards."""
     shards = 0
 
-    def grow(points: np.ndarray, level: int) -> Node | int:
+    def grow(points: np.ndarray) -> Node | int:
         nonlocal shards
-        if level and len(points) >= 8:
-            candidates = points[:: max(1, len(points) // 8)][:8]
-            choices = [(v, middle_radius(bits_apart(points, v), reach)) for v in candidates]
-            choices = [(v, r) for v, r in choices if r is not None]
+        if len(points) > most:
+            choices = []
+            for vantage in points[:: max(1, len(points) // 16)][:16]:
+                found = best_radius(bits_apart(points, vantage), reach)
+                if found:
+                    choices.append((found[1], found[0], vantage))
             if choices:
-                def balance(choice: tuple[np.uint64, int]) -> float:
-                    d = bits_apart(points, choice[0])
-                    return float(np.sum(np.abs(d - choice[1] + 0.5) < reach) / len(d) + abs(np.mean(d < choice[1]) - 0.5))
-
-                vantage, radius = min(choices, key=balance)
+                _, radius, vantage = min(choices)
                 near = bits_apart(points, vantage) < radius
-                return Node(vantage, radius, grow(points[near], level - 1), grow(points[~near], level - 1))
+                return Node(vantage, radius, grow(points[near]), grow(points[~near]))
         shards += 1
         return shards - 1
 
-    return grow(sample, levels), shards
+    return grow(sample), shards
 
 
 def sides(
-    own: np.ndarray, guests: np.ndarray, d_own: np.ndarray, d_guests: np.ndarray, radius: int, reach: int
+    own: np.ndarray,
+    guests: np.ndarray,
+    d_own: np.ndarray,
+    d_guests: np.ndarray,
+    radius: int,
+    reach: int,
+    within: bool = True,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Own points and guests of the near side, then of the far side, by the triangle bounds.
 
-    A pair across the radius is met on the near side, with its far point as a guest.
+    A pair of own points across the radius is met on the near side, with its far point as a guest.
     """
     near = d_own < radius
-    across = own[~near & (d_own < radius + reach)]
+    across = own[~near & (d_own < radius + reach)] if within else own[:0]
     yield own[near], np.concatenate([guests[d_guests < radius + reach], across])
     yield own[~near], guests[d_guests >= radius - reach]
 
@@ -178,24 +175,24 @@ def routes(tree: Node | int, points: np.ndarray, reach: int) -> Iterator[tuple[i
 
 
 def linked_pairs(
-    points: np.ndarray, own: np.ndarray, guests: np.ndarray, reach: int, leaf: int
+    points: np.ndarray, own: np.ndarray, guests: np.ndarray, reach: int, leaf: int, within: bool = True
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of places at most ``reach`` bits apart, own with own and own with guests, in portions."""
+    """Pairs of places at most ``reach`` bits apart, own with guests and (``within``) own with own, in portions."""
     stack = [(own, guests)]
     while stack:
         own, guests = stack.pop()
-        if not len(own):
+        if not len(own) or not (within or len(guests)):
             continue
         if len(own) > leaf:
             vantage = points[own[len(own) // 2]]
             d_own, d_guests = bits_apart(points[own], vantage), bits_apart(points[guests], vantage)
-            radius = middle_radius(d_own, reach)
-            if radius is not None:
-                stack += sides(own, guests, d_own, d_guests, radius, reach)
+            found = best_radius(d_own, reach)
+            if found:
+                stack += sides(own, guests, d_own, d_guests, found[0], reach, within)
                 continue
         for a in range(0, len(own), leaf):
             block = own[a : a + leaf]
-            others = np.concatenate([own[a:], guests])
+            others = np.concatenate([own[a:], guests]) if within else guests
             for b in range(0, len(others), 65_536):
                 other = others[b : b + 65_536]
                 close = np.bitwise_count(points[block][:, None] ^ points[other][None, :]) <= reach
@@ -232,42 +229,47 @@ def links(points: DataFrame, config: SimHashConfig = SimHashConfig()) -> DataFra
     """(a, b): links that connect what pairs within ``distance`` connect. ``points`` has distinct fingerprints."""
     spark = points.sparkSession
     total = points.count()
-    sample = (
-        points.orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(config.sample_points).toPandas()["fingerprint"]
-    )
-    levels = max(0, int(np.ceil(np.log2(max(1, total) / config.shard_points))))
-    tree, shards = shared_tree(sample.to_numpy(np.int64).view(np.uint64), levels, config.distance)
-    shared = spark.sparkContext.broadcast(tree)
+    rows = points.orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(config.sample_points)
+    sample = rows.toPandas()["fingerprint"].to_numpy(np.int64).view(np.uint64)
+    each = max(1.0, total / max(1, len(sample)))
+    tree, shards = shared_tree(sample, max(8, int(config.shard_points / each)), config.distance)
+    parts = np.ones(shards, np.int64)
+    for shard, _, guests in routes(tree, sample, config.distance):
+        parts[shard] = max(1, int(np.ceil(len(guests) * each / config.guest_points)))
+    shared = spark.sparkContext.broadcast((tree, parts))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, parts = shared.value
         for batch in batches:
-            own = batch.column("fingerprint").to_numpy().view(np.uint64)
-            for shard, mine, guests in routes(shared.value, own, config.distance):
-                at = np.concatenate([mine, guests])
-                home = np.arange(len(at)) < len(mine)
+            points = batch.column("fingerprint").to_numpy().view(np.uint64)
+            for shard, own, guests in routes(tree, points, config.distance):
+                n = int(parts[shard])
+                # A shard's own points go to all of its parts, a guest to one.
+                at = np.concatenate([np.tile(own, n), guests])
+                home = np.arange(len(at)) < n * len(own)
+                part = np.concatenate([np.repeat(np.arange(n), len(own)), mixed(points[guests]) % np.uint64(n)])
+                columns = [np.full(len(at), shard), part.astype(np.int64), points[at].view(np.int64), home]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), shard), pa.int64()), pa.array(own[at].view(np.int64)), pa.array(home)],
-                    names=["shard", "fingerprint", "home"],
+                    [pa.array(c) for c in columns], names=["shard", "part", "fingerprint", "home"]
                 )
 
-    routed = points.select("fingerprint").mapInArrow(route, "shard long, fingerprint long, home boolean")
-
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        cells: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
         for batch in batches:
-            shard = batch.column("shard").to_numpy()
+            shard, part = batch.column("shard").to_numpy(), batch.column("part").to_numpy()
             values = batch.column("fingerprint").to_numpy().view(np.uint64)
             home = batch.column("home").to_numpy(zero_copy_only=False)
-            for number in np.unique(shard).tolist():
-                here = shard == number
-                parts.setdefault(number, []).append((values[here & home], values[here & ~home]))
-        for found in parts.values():
+            for cell in set(zip(shard.tolist(), part.tolist(), strict=True)):
+                here = (shard == cell[0]) & (part == cell[1])
+                cells.setdefault(cell, []).append((values[here & home], values[here & ~home]))
+        for cell, found in cells.items():
             own, guests = (np.sort(np.concatenate(x)) for x in zip(*found, strict=True))
             both = np.concatenate([own, guests])
-            forest = Forest(len(both))
             places = np.arange(len(both))
-            pairs = linked_pairs(both, places[: len(own)], places[len(own) :], config.distance, config.leaf_points)
-            for a, b in pairs:
+            forest = Forest(len(both))
+            for a, b in linked_pairs(
+                both, places[: len(own)], places[len(own) :], config.distance, config.leaf_points, cell[1] == 0
+            ):
                 forest.add(a, b)
             if forest.links:
                 a, b = np.array(forest.links).T
@@ -275,7 +277,8 @@ def links(points: DataFrame, config: SimHashConfig = SimHashConfig()) -> DataFra
                     [pa.array(both[a].view(np.int64)), pa.array(both[b].view(np.int64))], names=["a", "b"]
                 )
 
-    return routed.repartition(max(1, shards), "shard").mapInArrow(match, "a long, b long")
+    routed = points.select("fingerprint").mapInArrow(route, "shard long, part long, fingerprint long, home boolean")
+    return routed.repartition(int(parts.sum()), "shard", "part").mapInArrow(match, "a long, b long")
 
 
 def _grouped(df: DataFrame, config: SimHashConfig, keys: dict[str, str], text_column: str) -> DataFrame:
