@@ -38,9 +38,10 @@ from convroute.workspace import Workspace
 @dataclass(frozen=True)
 class QuantiserConfig:
     cosine: float = 0.95
-    most_lists: int = 4096
-    #: Sample rows for each list, and iterations of the fits.
+    most_lists: int = 16_384
+    #: Sample rows for each list, numbers in the whole sample at most, and iterations of the fits.
     rows_per_list: int = 40
+    sample_numbers: int = 1 << 24
     rounds: int = 8
     subspaces: int = 8
     codewords: int = 64
@@ -80,9 +81,9 @@ class Quantiser:
         """For each vector and list, whether the list's border is within ``slack``."""
         squared = self.squared(units)
         home = squared.argmin(1)
-        apart = np.sqrt(_squared_distances(self.centroids, self.centroids))
-        apart[apart == 0] = np.inf
-        border = (squared - squared[np.arange(len(home)), home][:, None]) / (2 * apart[home])
+        apart = np.sqrt(_squared_distances(self.centroids[home], self.centroids))
+        apart[np.arange(len(home)), home] = np.inf
+        border = (squared - squared[np.arange(len(home)), home][:, None]) / (2 * np.maximum(apart, 1e-12))
         return border <= slack
 
 
@@ -243,11 +244,6 @@ def _matched(cells: DataFrame, quantiser: Quantiser, config: QuantiserConfig) ->
     return cells.mapInArrow(run, "point long, links long, linked long")
 
 
-def _pieces(counts: DataFrame, size: int) -> dict[int, int]:
-    """Into how many parts each list is split: one row per list reaches the driver."""
-    return {row[0]: -(-row[1] // size) for row in counts.collect()}
-
-
 def near_duplicates(
     df: DataFrame,
     config: QuantiserConfig = QuantiserConfig(),
@@ -272,7 +268,8 @@ def near_duplicates(
 
     total = points.count()
     lists = int(min(config.most_lists, max(1, 2 ** round(np.log2(max(1, total)) / 2))))
-    sample = points.orderBy("k1", "k2").limit(lists * config.rows_per_list).select("vector").toPandas()["vector"]
+    most = min(lists * config.rows_per_list, max(1, config.sample_numbers // dimension))
+    sample = points.orderBy("k1", "k2").limit(most).select("vector").toPandas()["vector"]
     own = _units(pa.array(sample.map(bytes), pa.binary())) if len(sample) else np.zeros((0, dimension))
     quantiser = fit(own, lists, config)
     shared = spark.sparkContext.broadcast(quantiser)
@@ -315,33 +312,36 @@ def near_duplicates(
     queries = workspace.save(
         points.select("point", "vector").mapInArrow(probed, "list long, point long, vector binary"), "queries"
     )
-    rows = _pieces(members.groupBy("list").count(), config.cell_members)
-    columns = _pieces(queries.groupBy("list").count(), config.cell_queries)
-
-    def place(pieces: dict[int, int]) -> Column:
-        most = F.create_map(*[F.lit(x) for pair in pieces.items() for x in pair]) if pieces else None
-        parts = F.coalesce(F.element_at(most, F.col("list")), F.lit(1)) if pieces else F.lit(1)
-        return F.pmod(F.xxhash64("point"), parts.cast("long"))
+    # Into how many rows of members and columns of queries each list is split; one row per list.
+    parts = (
+        members.groupBy("list")
+        .agg(F.ceil(F.count(F.lit(1)) / config.cell_members).alias("rows"))
+        .join(queries.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / config.cell_queries).alias("columns")), "list", "full")
+        .select("list", F.coalesce("rows", F.lit(1)).alias("rows"), F.coalesce("columns", F.lit(1)).alias("columns"))
+    )
+    parts = F.broadcast(workspace.save(parts, "parts"))
+    cell = (F.col("list") * (1 << 40) + F.col("row") * (1 << 20) + F.col("column")).alias("cell")
+    shown = ("member", "list", "point", "vector", "copies", "codes", "remainder")
 
-    def every(pieces: dict[int, int]) -> Column:
-        most = F.create_map(*[F.lit(x) for pair in pieces.items() for x in pair]) if pieces else None
-        parts = F.coalesce(F.element_at(most, F.col("list")), F.lit(1)) if pieces else F.lit(1)
-        return F.explode(F.sequence(F.lit(0).cast("long"), parts.cast("long") - 1))
+    def place(count: str) -> Column:
+        return F.pmod(F.xxhash64("point"), count)
 
-    def cell(row: str, column: str) -> Column:
-        return F.col("list") * F.lit(1 << 40) + F.col(row) * F.lit(1 << 20) + F.col(column)
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
 
-    shown = ("cell", "member", "list", "point", "vector", "copies", "codes", "remainder")
     member_cells = (
-        members.withColumn("row", place(rows)).withColumn("column", every(columns))
-        .withColumn("cell", cell("row", "column")).withColumn("member", F.lit(True)).select(*shown)
-    )
+        members.join(parts, "list")
+        .withColumns({"row": place("rows"), "member": F.lit(True)})
+        .withColumn("column", every("columns"))
+        .select(cell, *shown)
+    )
+    no_code = {"copies": F.lit(0).cast("long"), "codes": F.lit(None).cast("binary"), "remainder": F.lit(0.0)}
     query_cells = (
-        queries.withColumn("column", place(columns)).withColumn("row", every(rows))
-        .withColumn("cell", cell("row", "column")).withColumn("member", F.lit(False))
-        .withColumns({"copies": F.lit(0).cast("long"), "codes": F.lit(None).cast("binary"),
-                      "remainder": F.lit(0.0)}).select(*shown)
-    )
+        queries.join(parts, "list")
+        .withColumns({"column": place("columns"), "member": F.lit(False), **no_code})
+        .withColumn("row", every("rows"))
+        .select(cell, *shown)
+    )
     cells = (
         member_cells.unionByName(query_cells).repartition("cell").sortWithinPartitions("cell", F.desc("member"), "point")
     )
