@@ -85,7 +85,7 @@ def labelled_features(
     sample = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
-        .agg(F.max(F.col(label).cast("int")).alias("__label"))
+        .agg(F.max((F.col(label) > 0).cast("int")).alias("__label"))
         .withColumn("__order", F.xxhash64("doc_id"))
         .orderBy("__order", "doc_id")
         .limit(rows)
