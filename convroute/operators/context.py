@@ -16,7 +16,8 @@ def with_context(messages: DataFrame, config: RoutingConfig = RoutingConfig()) -
     Run it before any filter on author.  One shuffle.  Window tasks hold ``chunk_turns`` turns of a
     thread, not the whole thread, so a thread with a large share of all messages is spread out; the last
     turns of a chunk are copied into the next one to serve as context there.  Turns are positions
-    (0, 1, 2, ...), so the frame is a range on the position and needs no look beyond the next chunk.
+    (0, 1, 2, ...), so the frame is a range on the position and needs no look beyond the next chunk; a missing or
+    repeated turn fails the job instead of losing context.
     """
     turns, size = config.context_turns, config.chunk_turns
     if turns > size:
@@ -27,10 +28,17 @@ def with_context(messages: DataFrame, config: RoutingConfig = RoutingConfig()) -
         "__chunk",
         F.explode(F.when(lent, F.array(F.col("__home"), F.col("__home") + 1)).otherwise(F.array("__home"))),
     )
-    prior = Window.partitionBy("thread_idx", "__chunk").orderBy("turn_index").rangeBetween(-turns, -1)
+    ordered = Window.partitionBy("thread_idx", "__chunk").orderBy("turn_index")
+    prior = ordered.rangeBetween(-turns, -1)
     line = F.concat(F.coalesce("author", F.lit("None")), F.lit(": "), F.coalesce("text", F.lit("None")))
+    found = F.collect_list(line).over(prior)
+    if turns:
+        before = F.coalesce(F.lag("turn_index").over(ordered), F.lit(-1))
+        gap = (F.col("__chunk") == F.col("__home")) & (before != F.col("turn_index") - 1)
+        told = F.concat(F.lit("no turn just before "), F.concat_ws(":", "thread_idx", "turn_index"))
+        found = F.when(gap, F.raise_error(told)).otherwise(found)
     return (
-        spread.withColumn("context", F.collect_list(line).over(prior))
+        spread.withColumn("context", found)
         .where(F.col("__chunk") == F.col("__home"))
         .drop("__chunk", "__home")
     )

@@ -8,6 +8,20 @@ from pyspark.sql import functions as F
 from convroute.config import LABELS
 
 FALLBACK_LABEL = "order_inquiry"
+
+# JSON schema of a reply, for classifiers that can be held to one.
+REPLY_SCHEMA = {
+    "type": "array",
+    "items": {
+        "type": "object",
+        "properties": {
+            "i": {"type": "integer"},
+            "label": {"type": "string", "enum": list(LABELS)},
+            "conf": {"type": "string", "enum": ["high", "low"]},
+        },
+        "required": ["i", "label", "conf"],
+    },
+}
 ITEM_TYPE = "array<struct<i:bigint,label:string,conf:string>>"
 
 

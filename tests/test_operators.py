@@ -1,13 +1,14 @@
 """Context, numbering, requests, replies, merging, budget and audits on small fixtures."""
 
 import random
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from convroute.config import RoutingConfig
+from convroute.config import LABELS, RoutingConfig
 from convroute.operators import audits, context, merge, numbering, requests, responses, rollup
 from convroute.operators.standin import offline_classifier
 from convroute.plans import sample
@@ -270,3 +271,36 @@ def test_scorer_sees_only_open_texts(spark, sf_small):
             assert r["sentiment"] == ("positive" if not r["text"].strip() else "negative") and r["score"] == 0.5
         else:
             assert r["sentiment"] is None and r["score"] is None
+
+
+def test_gaps_and_repeats_in_turns_fail(spark):
+    schema = "thread_idx long, turn_index long, author string, text string"
+    for turns in ((0, 2), (1, 2), (0, 1, 1), (0, 1, 2, 3, 5)):
+        df = spark.createDataFrame([(4, t, "customer", "x") for t in turns], schema)
+        with pytest.raises(Exception, match="no turn just before 4:"):
+            context.with_context(df, replace(CONFIG, chunk_turns=2)).collect()
+    with pytest.raises(ValueError, match="chunk_turns"):
+        context.with_context(df, replace(CONFIG, chunk_turns=1))
+
+
+def test_reply_schema_names_the_labels():
+    assert responses.REPLY_SCHEMA["items"]["properties"]["label"]["enum"] == list(LABELS)
+
+
+def test_prices_may_hold_any_name(spark):
+    config = replace(CONFIG, prices=(("it's a \"model\"", "2", "4"),))
+    df = spark.createDataFrame(
+        [(0, "it's a \"model\"", 1_000_000, 0, 0)],
+        "batch long, model string, prompt_tokens long, output_tokens long, thinking_tokens long",
+    )
+    assert requests.cost_meter(df, config).first()["cost"] == 2.0
+
+
+def test_tasks_grow_with_calls(spark):
+    assert [requests.call_tasks(n) for n in (0, 1, 100, 101, 100_000)] == [1, 1, 1, 2, 1000]
+    df = spark.range(1000).selectExpr(
+        "id AS batch", "1 AS n_messages", "'p' AS prompt", "array('t') AS texts", "array() AS members"
+    )
+    called = requests.classify_requests(df, offline_classifier, requests.call_tasks(1000))
+    sizes = called.groupBy(F.spark_partition_id()).count().collect()
+    assert "prompt" not in called.columns and len(sizes) == 10 and max(r["count"] for r in sizes) < 300
