@@ -42,7 +42,7 @@ class SupportConfig:
     #: One of so many sample rows serves the calibration instead of the fit.
     calibration_every: int = 4
     sample_rows: int = 20_000
-    sample_features: int = 1 << 25
+    sample_features: int = 1 << 24
 
 
 @dataclass(frozen=True)
@@ -70,16 +70,20 @@ def log_count_ratios(
 
 
 def dual_coordinate_descent(
-    rows: list[tuple[np.ndarray, np.ndarray]], signs: np.ndarray, limits: np.ndarray, size: int, config: SupportConfig
+    row: Callable[[int], tuple[np.ndarray, np.ndarray]],
+    signs: np.ndarray,
+    limits: np.ndarray,
+    size: int,
+    config: SupportConfig,
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias of the hinge-loss model. Rows are (features, values) of unit length; the bias is a feature."""
+    """Weights and bias of the hinge-loss model. ``row`` gives (features, values) of unit length; the bias is a feature."""
     weights, bias = np.zeros(size), 0.0
-    dual = np.zeros(len(rows))
+    dual = np.zeros(len(signs))
     order = np.random.default_rng(7)
     for _ in range(config.passes):
         worst = 0.0
-        for i in order.permutation(len(rows)).tolist():
-            at, value = rows[i]
+        for i in order.permutation(len(signs)).tolist():
+            at, value = row(i)
             slope = signs[i] * (float(weights[at] @ value) + bias) - 1.0
             # The curvature is the squared length of the row: its own and the bias feature's.
             new = min(max(dual[i] - slope / (1.0 + (1.0 if len(at) else 0.0)), 0.0), limits[i])
@@ -129,18 +133,19 @@ def support_vectors(
     fit_rows = np.repeat(~kept_out, np.diff(first))
     fit_first = np.concatenate([[0], np.cumsum(np.diff(first)[~kept_out])])
     ratios = log_count_ratios(fits[0], fit_first, features[fit_rows], size, config.smoothing)
-    rows = []
-    for a, b in zip(first[:-1], first[1:], strict=True):
-        at = features[a:b]
+
+    def row(i: int) -> tuple[np.ndarray, np.ndarray]:
+        at = features[first[i] : first[i + 1]]
         value = ratios[at]
         norm = np.sqrt(value @ value)
-        rows.append((at, value / norm) if norm > 0 else (at[:0], value[:0]))
+        return (at, value / norm) if norm > 0 else (at[:0], value[:0])
+
     signs = np.where(labels == 1, 1.0, -1.0)
     share = np.where(labels == 1, fits[0].mean(), 1 - fits[0].mean())
     limits = config.cost * 0.5 / share
     fit = np.flatnonzero(~kept_out)
-    weights, bias = dual_coordinate_descent([rows[i] for i in fit], signs[fit], limits[fit], size, config)
-    margins = np.array([float(weights[at] @ value) + bias for at, value in (rows[i] for i in place[kept_out])])
+    weights, bias = dual_coordinate_descent(lambda i: row(fit[i]), signs[fit], limits[fit], size, config)
+    margins = np.array([float(weights[at] @ value) + bias for at, value in map(row, place[kept_out])])
     slope, offset = calibrate(margins, fits[1])
     return SupportModel(ratios, weights, bias, slope, offset)
 

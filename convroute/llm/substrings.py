@@ -40,11 +40,11 @@ class WindowConfig:
     window: int = 35
     minimiser: int = 12
     #: Strings of one part of a bucket, about.
-    bucket_rows: int = 4096
+    bucket_rows: int = 1024
     #: Windows of one super-k-mer at most; repetitive texts would make longer ones.
     longest: int = 4096
     #: Rows that one task counts together.
-    counted_rows: int = 20_000
+    counted_rows: int = 2048
 
     def __post_init__(self) -> None:
         if not 1 <= self.minimiser <= self.window:

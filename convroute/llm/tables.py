@@ -28,9 +28,13 @@ def map_texts(
     ``make`` runs once per task and returns the function of one slice of texts (nulls are empty), which gives an
     array for each field.  Only keys and text are read, so other columns may have any name.
     """
-    chosen = df.select(*[F.col(column).alias(name) for name, column in keys.items()], F.col(text).alias("__text"))
+    # A key that is the text itself is not sent twice.
+    source = {name: "__text" if column == text else name for name, column in keys.items()}
+    own = [F.col(column).alias(name) for name, column in keys.items() if column != text]
+    chosen = df.select(*own, F.col(text).alias("__text"))
     fields = list(fields)
-    schema = StructType([*chosen.schema.fields[:-1], *fields])
+    kept = [StructField(name, chosen.schema[column].dataType) for name, column in source.items()]
+    schema = StructType([*kept, *fields])
     names = list(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -38,7 +42,7 @@ def map_texts(
         for batch in batches:
             for part in slices(batch, "__text"):
                 texts = part.column("__text").fill_null("")
-                arrays = [part.column(name) for name in names] + compute(texts)
+                arrays = [part.column(source[name]) for name in names] + compute(texts)
                 yield pa.RecordBatch.from_arrays(arrays, names=[*names, *(f.name for f in fields)])
 
     return chosen.mapInArrow(run, schema)

@@ -40,7 +40,7 @@ class FtrlConfig:
     l2: float = 1.0
     passes: int = 3
     sample_rows: int = 20_000
-    sample_features: int = 1 << 25
+    sample_features: int = 1 << 24
 
 
 @dataclass(frozen=True)
@@ -67,33 +67,34 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def ftrl(labels: np.ndarray, first: np.ndarray, features: np.ndarray, config: FtrlConfig) -> LinearModel:
-    """Fit in row order. The last place of the state is the bias, which has no L1 penalty."""
-    size = 1 << config.bits
-    z, n = np.zeros(size + 1), np.zeros(size + 1)
-    l1 = np.full(size + 1, config.l1)
-    l1[size] = 0.0
-
-    def weights(at: np.ndarray) -> np.ndarray:
-        over = np.abs(z[at]) - l1[at]
-        rate = (config.beta + np.sqrt(n[at])) / config.alpha + config.l2
-        return np.where(over > 0, -np.sign(z[at]) * over / rate, 0.0)
-
-    both = len(labels) and 0 < labels.sum() < len(labels)
-    if not both:
+    """Fit in row order. The bias is one more coordinate, without L1 penalty."""
+    if not len(labels) or labels.min() == labels.max():
         share = (labels.sum() + 1.0) / (len(labels) + 2.0)
         return LinearModel(float(np.log(share / (1 - share))), np.zeros(0, np.int64), np.zeros(0))
-    rows = [np.append(features[a:b], size) for a, b in zip(first[:-1], first[1:], strict=True)]
+    z, n = np.zeros(1 << config.bits), np.zeros(1 << config.bits)
+    z_bias, n_bias = np.zeros(1), np.zeros(1)
+
+    def weights(z: np.ndarray, n: np.ndarray, l1: float) -> np.ndarray:
+        over = np.abs(z) - l1
+        rate = (config.beta + np.sqrt(n)) / config.alpha + config.l2
+        return np.where(over > 0, -np.sign(z) * over / rate, 0.0)
+
+    def moved(z: np.ndarray, n: np.ndarray, w: np.ndarray, gradient: float) -> tuple[np.ndarray, np.ndarray]:
+        after = n + gradient * gradient
+        return z + gradient - (np.sqrt(after) - np.sqrt(n)) / config.alpha * w, after
+
+    bounds = first.tolist()
     for _ in range(config.passes):
-        for at, label in zip(rows, labels.tolist(), strict=True):
-            w = weights(at)
-            gradient = float(_sigmoid(w.sum())) - label
-            before = n[at]
-            after = before + gradient * gradient
-            z[at] += gradient - (np.sqrt(after) - np.sqrt(before)) / config.alpha * w
-            n[at] = after
-    w = weights(np.arange(size + 1))
-    chosen = np.flatnonzero(w[:size])
-    return LinearModel(float(w[size]), chosen, w[chosen])
+        for a, b, label in zip(bounds[:-1], bounds[1:], labels.tolist(), strict=True):
+            at = features[a:b]
+            own_z, own_n = z[at], n[at]
+            w, bias = weights(own_z, own_n, config.l1), weights(z_bias, n_bias, 0.0)
+            gradient = float(_sigmoid(w.sum() + bias[0])) - label
+            z[at], n[at] = moved(own_z, own_n, w, gradient)
+            z_bias, n_bias = moved(z_bias, n_bias, bias, gradient)
+    w = weights(z, n, config.l1)
+    chosen = np.flatnonzero(w)
+    return LinearModel(float(weights(z_bias, n_bias, 0.0)[0]), chosen, w[chosen])
 
 
 def fit(documents: DataFrame, labels: DataFrame, label: str, config: FtrlConfig = FtrlConfig()) -> LinearModel:

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; one longer text is handled alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 BLANK = 0x20
 
