@@ -135,8 +135,10 @@ def sentiment_rules(sentiment: Column, score: Column, config: RoutingConfig) ->
 def standin_label(text: str = "text") -> Column:
     """Offline stand-in for the batch classifier: a label from two term tests on the named column."""
     lower = tx.Searched.inline(f"lower({text})")
-    fitting = [F.when(tx.any_term(lower, terms), label) for label, terms in lx.STANDIN_RULES]
-    return F.coalesce(*fitting, F.lit(lx.STANDIN_DEFAULT))
+    chain = F
+    for label, terms in lx.STANDIN_RULES:
+        chain = chain.when(tx.any_term(lower, terms), label)
+    return chain.otherwise(lx.STANDIN_DEFAULT)
 
 
 def normalised_sentiment(raw_label: Column) -> Column:

@@ -12,7 +12,10 @@ THREAD_COLUMNS = ("thread_idx", "seed_id", "platform", "customer_name")
 
 def label_bit(label: Column) -> Column:
     """One bit per label, by its place in ``LABELS``; null for other labels.  No precedence yet."""
-    return F.coalesce(*[F.when(label == name, F.lit(1 << place)) for place, name in enumerate(LABELS)])
+    chain = F
+    for place, name in enumerate(LABELS):
+        chain = chain.when(label == name, 1 << place)
+    return chain
 
 
 def partial_summary(labelled: DataFrame) -> DataFrame:

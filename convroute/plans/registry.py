@@ -151,6 +151,9 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def signals_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    # Fewer files than cores, as of a small test table, would leave cores idle; large tables are read as they lie.
+    cores = spark.sparkContext.defaultParallelism
+    docs = docs.repartition(cores) if len(docs.inputFiles()) < cores else docs
     return with_signals(docs.withColumn("text", F.coalesce("text", F.lit("")))).drop("text")
 
 
