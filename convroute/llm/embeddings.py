@@ -2,19 +2,21 @@
 
 Equal vectors are one point, however many copies.  Coarse centroids, fitted on a bounded sample, split the points
 into inverted lists; the residual of each point to its centroid is stored as one byte for each subspace, with the
-length of what the code leaves out.  A point queries its own list and every list whose border lies within
-``probe_slack`` link radii of it.  In a list, distances to all codes are sums of one table look-up per subspace,
-the tables being made from the query itself (asymmetric).  The triangle inequality turns such a distance and the
-stored length into a lower bound, so the codes lose no link of a probed list.  What passes is compared by cosine in
-double precision.
-
-A link across a border farther than the slack can be missed.  For a partner in a random direction the distance it
-moves towards a border is about the radius / sqrt(dimension); the default slack is three times that at 64
-dimensions.  Tests measure recall against brute force.
-
-Lists are split into cells of bounded members and queries, so a hot list is many tasks.  Links are not written as
-pairs: a cell gives the number of links of each query, and one link per point to a representative that the cell's
-links reach.  Centroids (``most_lists`` at most) and code books are all that is broadcast.
+length of what the code leaves out.  A point queries its own list and every later list that can hold a partner: one
+whose border lies within the link radius, and whose members' distances to their centroid are within the radius of
+the point's.  Both are triangle inequalities, so no link is lost, whatever the vectors are like.  A link between two
+lists is found from the earlier one and counted for both ends.  In a list, distances to all codes are sums of one
+table look-up per subspace, the tables being made from the query itself (asymmetric).  The triangle inequality turns
+such a distance and the stored length into a lower bound, so the codes lose no link either.  What passes is compared
+by cosine in double precision.
+
+Vectors in random directions of many dimensions have most borders within the radius, so nearly all lists are searched
+and work grows with the square of the points; on vectors that lie in groups or few dimensions few lists are.
+
+Neighbouring small lists stand on one shelf, to which a query goes once.  Shelves are split into cells of bounded
+members and queries, so a hot list is many tasks.  Links are not written as pairs: a cell gives the number of links
+of each point, and one link per point to a representative that the cell's links reach.  Centroids (``most_lists`` at
+most) with their shelves and code books are all that is broadcast.
 
 Vectors that are null, zero, or hold null or non-finite components link with nothing, nor do vectors whose length
 is not the most frequent one.  Repeated rows are copies like any other.  Null ids take part and name no component.
@@ -28,6 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +48,6 @@ class QuantiserConfig:
     rounds: int = 8
     subspaces: int = 8
     codewords: int = 64
-    #: Distance to a list's border, in link radii, up to which it is probed.
-    probe_slack: float = 0.375
     cell_members: int = 2048
     cell_queries: int = 8192
 
@@ -55,6 +56,10 @@ class QuantiserConfig:
         return float(np.sqrt(2 - 2 * self.cosine))
 
 
+#: What rounding may add to a distance of unit vectors.
+SLIP = 1e-6
+
+
 @dataclass(frozen=True)
 class Quantiser:
     centroids: np.ndarray
@@ -77,14 +82,49 @@ class Quantiser:
             left += distance[np.arange(len(part)), codes[:, s]]
         return codes, np.sqrt(np.maximum(left, 0.0))
 
-    def probes(self, units: np.ndarray, slack: float) -> np.ndarray:
-        """For each vector and list, whether the list's border is within ``slack``."""
-        squared = self.squared(units)
-        home = squared.argmin(1)
-        apart = np.sqrt(_squared_distances(self.centroids[home], self.centroids))
-        apart[np.arange(len(home)), home] = np.inf
-        border = (squared - squared[np.arange(len(home)), home][:, None]) / (2 * np.maximum(apart, 1e-12))
-        return border <= slack
+
+@dataclass(frozen=True)
+class Shelves:
+    """Of each list: its shelf, its place in the order of search, and the range of its members' distances to its centroid."""
+
+    shelf: np.ndarray
+    place: np.ndarray
+    nearest: np.ndarray
+    farthest: np.ndarray
+
+    def probes(
+        self, quantiser: Quantiser, units: np.ndarray, home: np.ndarray, lists: np.ndarray, radius: float
+    ) -> np.ndarray:
+        """For each vector and each of ``lists``, whether it is the vector's own or a later one that can hold a partner."""
+        centroids, reach = quantiser.centroids, radius + SLIP
+        squared = _squared_distances(units, centroids[lists])
+        own = ((units - centroids[home]) ** 2).sum(1)
+        apart = np.sqrt(_squared_distances(centroids[home], centroids[lists]))
+        found = squared - own[:, None] <= 2 * apart * reach + SLIP
+        away = np.sqrt(squared)
+        found &= (away <= self.farthest[lists] + reach) & (away >= self.nearest[lists] - reach)
+        found &= self.place[lists][None, :] > self.place[home][:, None]
+        return found | (lists[None, :] == home[:, None])
+
+
+def shelve(centroids: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shelf and place of each list: halves along the longest direction, until a shelf has one list or ``most`` members."""
+    shelf, place = np.zeros(len(counts), np.int64), np.zeros(len(counts), np.int64)
+    left, shelves, places = [np.arange(len(counts))], 0, 0
+    while left:
+        lists = left.pop()
+        if len(lists) == 1 or counts[lists].sum() <= most:
+            shelf[lists], place[lists] = shelves, places + np.arange(len(lists))
+            shelves, places = shelves + 1, places + len(lists)
+            continue
+        own = centroids[lists]
+        one = own[((own - own.mean(0)) ** 2).sum(1).argmax()]
+        other = own[((own - one) ** 2).sum(1).argmax()]
+        order = np.argsort(own @ (other - one), kind="stable")
+        members = np.cumsum(counts[lists[order]])
+        cut = int(np.clip(np.searchsorted(members, members[-1] / 2) + 1, 1, len(lists) - 1))
+        left += [lists[order[cut:]], lists[order[:cut]]]
+    return shelf, place
 
 
 def _squared_distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -187,12 +227,19 @@ def _close(
     return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
 
 
-def _matched(cells: DataFrame, quantiser: Quantiser, config: QuantiserConfig) -> DataFrame:
-    """(point, links, linked): numbers of links of queries, and links of points to representatives."""
-    shared = cells.sparkSession.sparkContext.broadcast(quantiser)
+def _matched(cells: DataFrame, shared: Broadcast, config: QuantiserConfig) -> DataFrame:
+    """(point, links, linked): numbers of links of points, and links of points to representatives."""
+
+    def rows(point: np.ndarray, links: np.ndarray, linked: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array(point, pa.int64()), pa.array(links, pa.int64()), pa.array(linked, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["point", "links", "linked"])
+
+    def counted(points: np.ndarray, links: np.ndarray) -> pa.RecordBatch:
+        some = np.flatnonzero(links)
+        return rows(points[some], links[some], points[some])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        quantiser = shared.value
+        quantiser, shelves = shared.value
         cell: int | None = None
         parts: list[pa.RecordBatch] = []
         members: tuple | None = None
@@ -203,7 +250,8 @@ def _matched(cells: DataFrame, quantiser: Quantiser, config: QuantiserConfig) ->
                 [np.stack([np.frombuffer(x, np.uint8) for x in p.column("codes").to_pylist()]) for p in parts]
             )
             return units, codes, *(
-                np.concatenate([p.column(n).to_numpy() for p in parts]) for n in ("remainder", "point", "copies")
+                np.concatenate([p.column(n).to_numpy() for p in parts])
+                for n in ("remainder", "point", "copies", "list")
             )
 
         for batch in batches:
@@ -213,33 +261,47 @@ def _matched(cells: DataFrame, quantiser: Quantiser, config: QuantiserConfig) ->
             for begin, end in zip([0, *change.tolist()], [*change.tolist(), len(key)], strict=True):
                 part = batch.slice(begin, end - begin)
                 if key[begin] != cell:
+                    if members:
+                        yield counted(members[3], met)
                     cell, parts, members = int(key[begin]), [], None
                 if member[begin]:
                     parts.append(part)
                     continue
                 if not parts:
                     continue
-                members = members or gathered()
-                units, codes, left, points, copies = members
-                centroid = quantiser.centroids[part.column("list")[0].as_py()]
+                if not members:
+                    members = gathered()
+                    # Links of the members that queries of earlier lists found.
+                    met = np.zeros(len(members[0]), np.int64)
+                units, codes, left, points, copies, listed = members
+                lists, starts = np.unique(listed, return_index=True)
+                ends = [*starts[1:].tolist(), len(listed)]
                 for i in range(0, part.num_rows, 512):
                     block = part.slice(i, 512)
-                    own = block.column("point").to_numpy()
-                    a, b = _close(_units(block.column("vector")), units, codes, left, centroid, quantiser, config)
+                    own, home, times = (block.column(n).to_numpy() for n in ("point", "list", "copies"))
+                    queries = _units(block.column("vector"))
+                    probed = shelves.probes(quantiser, queries, home, lists, config.radius)
+                    found = []
+                    for j, (start, end) in enumerate(zip(starts.tolist(), ends, strict=True)):
+                        asking = np.flatnonzero(probed[:, j])
+                        if len(asking):
+                            x, y = _close(
+                                queries[asking], units[start:end], codes[start:end], left[start:end],
+                                quantiser.centroids[lists[j]], quantiser, config,
+                            )
+                            found.append((asking[x], start + y))
+                    a = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in found)])
+                    b = np.concatenate([np.zeros(0, np.int64), *(y for _, y in found)])
                     a, b = a[own[a] != points[b]], b[own[a] != points[b]]
-                    links = np.bincount(a, weights=copies[b], minlength=len(own)).astype(np.int64)
+                    across = home[a] != listed[b]
+                    met += np.bincount(b[across], weights=times[a[across]], minlength=len(met)).astype(np.int64)
+                    yield counted(own, np.bincount(a, weights=copies[b], minlength=len(own)).astype(np.int64))
                     label = _components_of(a, len(own) + b, len(own) + len(points))
                     names = np.concatenate([own, points])
                     tied = np.flatnonzero(label != np.arange(len(label)))
-                    counted = np.flatnonzero(links)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.concatenate([own[counted], names[tied]]), pa.int64()),
-                            pa.array(np.concatenate([links[counted], np.zeros(len(tied), np.int64)]), pa.int64()),
-                            pa.array(np.concatenate([own[counted], names[label[tied]]]), pa.int64()),
-                        ],
-                        names=["point", "links", "linked"],
-                    )
+                    yield rows(names[tied], np.zeros(len(tied), np.int64), names[label[tied]])
+        if members:
+            yield counted(members[3], met)
 
     return cells.mapInArrow(run, "point long, links long, linked long")
 
@@ -280,47 +342,67 @@ def near_duplicates(
                 part = batch.slice(i, 1024)
                 units = _units(part.column("vector"))
                 home = shared.value.squared(units).argmin(1)
-                codes, left = shared.value.encode(units - shared.value.centroids[home])
+                residuals = units - shared.value.centroids[home]
+                codes, left = shared.value.encode(residuals)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(home, pa.int64()),
                         *(part.column(n) for n in ("point", "vector", "copies")),
                         pa.array([c.tobytes() for c in codes], pa.binary()),
                         pa.array(left),
+                        pa.array(np.sqrt((residuals**2).sum(1))),
                     ],
-                    names=["list", "point", "vector", "copies", "codes", "remainder"],
-                )
-
-    def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, 1024):
-                part = batch.slice(i, 1024)
-                at, number = np.nonzero(
-                    shared.value.probes(_units(part.column("vector")), config.probe_slack * config.radius)
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(number, pa.int64()), *(part.column(n).take(pa.array(at)) for n in ("point", "vector"))],
-                    names=["list", "point", "vector"],
+                    names=["list", "point", "vector", "copies", "codes", "remainder", "away"],
                 )
 
     members = workspace.save(
         points.select("point", "vector", "copies").mapInArrow(
-            stored, "list long, point long, vector binary, copies long, codes binary, remainder double"
+            stored, "list long, point long, vector binary, copies long, codes binary, remainder double, away double"
         ),
         "members",
     )
-    queries = workspace.save(
-        points.select("point", "vector").mapInArrow(probed, "list long, point long, vector binary"), "queries"
-    )
-    # Into how many rows of members and columns of queries each list is split; one row per list.
+    # One row per list.
+    size = len(quantiser.centroids)
+    counts, nearest, farthest = np.zeros(size, np.int64), np.full(size, np.inf), np.full(size, -np.inf)
+    for row in members.groupBy("list").agg(F.count(F.lit(1)), F.min("away"), F.max("away")).collect():
+        counts[row[0]], nearest[row[0]], farthest[row[0]] = row[1:]
+    shelves = Shelves(*shelve(quantiser.centroids, counts, config.cell_members), nearest, farthest)
+    index = spark.sparkContext.broadcast((quantiser, shelves))
+
+    def queries(*carried: str) -> DataFrame:
+        """A row for each shelf that a point goes to.  Probed anew for each use: that is cheaper than to store it."""
+
+        def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            quantiser, shelves = index.value
+            order = np.argsort(shelves.place)
+            numbers, starts = np.unique(shelves.shelf[order], return_index=True)
+            step = max(16, min(1024, (1 << 22) // len(order)))
+            for batch in batches:
+                for i in range(0, batch.num_rows, step):
+                    part = batch.slice(i, step)
+                    units, home = _units(part.column("vector")), part.column("list").to_numpy()
+                    found = shelves.probes(quantiser, units, home, order, config.radius)
+                    at, number = np.nonzero(np.logical_or.reduceat(found, starts, axis=1))
+                    rows = pa.array(at)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(numbers[number], pa.int64()), *(part.column(n).take(rows) for n in carried)],
+                        names=["shelf", *carried],
+                    )
+
+        source = members.select("list", "point", "vector", "copies")
+        types = ", ".join(f"{n} {source.schema[n].dataType.simpleString()}" for n in carried)
+        return source.mapInArrow(probed, ", ".join(["shelf long", types]) if types else "shelf long")
+
+    shelf_of_list = spark.createDataFrame(list(enumerate(shelves.shelf.tolist())), "list long, shelf long")
+    # Into how many rows of members and columns of queries each shelf is split; one row per shelf.
+    on_shelves = members.join(F.broadcast(shelf_of_list), "list")
     parts = (
-        members.groupBy("list")
+        on_shelves.groupBy("shelf")
         .agg(F.ceil(F.count(F.lit(1)) / config.cell_members).alias("rows"))
-        .join(queries.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / config.cell_queries).alias("columns")), "list", "full")
-        .select("list", F.coalesce("rows", F.lit(1)).alias("rows"), F.coalesce("columns", F.lit(1)).alias("columns"))
+        .join(queries().groupBy("shelf").agg(F.ceil(F.count(F.lit(1)) / config.cell_queries).alias("columns")), "shelf")
     )
     parts = F.broadcast(workspace.save(parts, "parts"))
-    cell = (F.col("list") * (1 << 40) + F.col("row") * (1 << 20) + F.col("column")).alias("cell")
+    cell = (F.col("shelf") * (1 << 40) + F.col("row") * (1 << 20) + F.col("column")).alias("cell")
     shown = ("member", "list", "point", "vector", "copies", "codes", "remainder")
 
     def place(count: str) -> Column:
@@ -330,22 +412,25 @@ def near_duplicates(
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
 
     member_cells = (
-        members.join(parts, "list")
+        on_shelves.join(parts, "shelf")
         .withColumns({"row": place("rows"), "member": F.lit(True)})
         .withColumn("column", every("columns"))
         .select(cell, *shown)
     )
-    no_code = {"copies": F.lit(0).cast("long"), "codes": F.lit(None).cast("binary"), "remainder": F.lit(0.0)}
+    no_code = {"codes": F.lit(None).cast("binary"), "remainder": F.lit(0.0)}
     query_cells = (
-        queries.join(parts, "list")
+        queries("list", "point", "vector", "copies")
+        .join(parts, "shelf")
         .withColumns({"column": place("columns"), "member": F.lit(False), **no_code})
         .withColumn("row", every("rows"))
         .select(cell, *shown)
     )
     cells = (
-        member_cells.unionByName(query_cells).repartition("cell").sortWithinPartitions("cell", F.desc("member"), "point")
+        member_cells.unionByName(query_cells)
+        .repartition("cell")
+        .sortWithinPartitions("cell", F.desc("member"), "list", "point")
     )
-    found = workspace.save(_matched(cells, quantiser, config), "found")
+    found = workspace.save(_matched(cells, index, config), "found")
     ties = found.where("links = 0").select(F.col("point").alias("a"), F.col("linked").alias("b"))
     component = smallest_reachable(ties, "embedding-components").withColumnRenamed("node", "point")
     numbers = found.groupBy("point").agg(F.sum("links").alias("links"))

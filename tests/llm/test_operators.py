@@ -135,6 +135,25 @@ def test_embeddings_recall_at_the_threshold(spark):
     assert got.n_links.sum() >= 0.98 * links.sum()
 
 
+@pytest.mark.parametrize("kind", ["rank 4", "rank 8", "hot cluster"])
+def test_embeddings_find_every_link_in_many_lists(spark, kind):
+    """Vectors of few or correlated dimensions, where partners lie far across the borders of 64 lists."""
+    rng = np.random.default_rng(9)
+    if kind == "hot cluster":
+        spread = rng.normal(size=(5, 64)) / 8
+        x = rng.normal(size=(4096, 64)) / 8
+        x[:1365] = x[0] + 0.3 * rng.normal(size=(1365, 5)) @ spread
+    else:
+        rank = int(kind[-1])
+        x = rng.normal(size=(4096, rank)) @ rng.normal(size=(rank, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    config = embeddings.QuantiserConfig(cell_members=300, cell_queries=1000)
+    got = embeddings.near_duplicates(df, config).toPandas().set_index("vec_id").sort_index()
+    units = x / np.linalg.norm(x, axis=1)[:, None]
+    links = (units @ units.T >= 0.95).sum(1) - 1
+    assert links.sum() > 1000 and (got.n_links == links).all()
+
+
 def test_one_hot_group_of_vectors(spark):
     rng = np.random.default_rng(5)
     centre = rng.normal(size=64)
