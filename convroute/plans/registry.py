@@ -27,6 +27,8 @@ CONFIG = RoutingConfig()
 FIRST_N_THREADS = 50
 # A budget small enough that both sides of the stop occur on the test tables.
 SMALL_BUDGET = replace(CONFIG, budget_usd="0.003")
+# The stand-in costs nothing, so runs that ask it are not stopped, whatever the size of the table.
+FREE = replace(CONFIG, prices=tuple((model, "0", "0") for model, *_ in CONFIG.prices), default_price=("0", "0"))
 
 
 # --- Shared steps ---------------------------------------------------------------------------------
@@ -283,8 +285,8 @@ def refine_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_context = context.with_context(sample.messages(spark, sf_dir), CONFIG)
     labelled = fill_with_standin(local_stages(with_context, CONFIG, scores=sample.scores(spark, sf_dir)))
     done = model_pass(
-        workspace.save(merge.refine_candidates(labelled), "candidates"), offline_classifier, CONFIG.refine_model,
-        "api_refine", workspace.folder("log"), CONFIG, workspace,
+        workspace.save(merge.refine_candidates(labelled), "candidates"), offline_classifier, FREE.refine_model,
+        "api_refine", workspace.folder("log"), FREE, workspace,
     )
     return done.rows.select("id", "label", "confidence", "source", "reason")
 
@@ -294,7 +296,7 @@ def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     workspace = Workspace(spark, "full-run")
     messages = context.with_context(sample.messages(spark, sf_dir), CONFIG)
     run = run_routing(
-        messages, offline_classifier, workspace.folder("log"), CONFIG, scores=sample.scores(spark, sf_dir)
+        messages, offline_classifier, workspace.folder("log"), FREE, scores=sample.scores(spark, sf_dir)
     )
     out = workspace.folder("out")
     tables.write_outputs(run.labels, run.thread_summary, out)
@@ -385,7 +387,7 @@ def incremental_model_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     arriving = incremental.read_stream(spark, workspace.folder("open"), stored.schema)
     log = workspace.folder("log")
     query = incremental.start_model_stage(
-        arriving, offline_classifier, log, workspace.folder("checkpoint"), CONFIG
+        arriving, offline_classifier, log, workspace.folder("checkpoint"), FREE
     )
     query.awaitTermination()
     return read_log(spark, log).select("id", "label", "confidence", "source", "reason")
