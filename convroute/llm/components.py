@@ -46,5 +46,7 @@ def smallest_reachable(links: DataFrame, name: str = "components") -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components have not settled after {MOST_ROUNDS} rounds")
     nodes = edges.select(F.col("high").alias("node"), F.col("low").alias("component"))
     return nodes.unionByName(nodes.select(F.col("component").alias("node"), "component")).distinct()

@@ -402,6 +402,13 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     assert {r.node: r.component for r in got} == want and len(got) == len(want)
 
 
+def test_unsettled_components_fail(spark, monkeypatch):
+    monkeypatch.setattr("convroute.llm.components.MOST_ROUNDS", 2)
+    links = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+    with pytest.raises(RuntimeError, match="not settled after 2 rounds"):
+        smallest_reachable(links)
+
+
 # --- Decontamination ------------------------------------------------------------------------------
 
 
