@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convroute.llm import chat, decontaminate, embeddings, packing, quality, simhash, substrings, token_counts, toxicity, warc
+from convroute.llm import (
+    chat,
+    decontaminate,
+    embeddings,
+    packing,
+    quality,
+    run_index,
+    simhash,
+    substrings,
+    token_counts,
+    toxicity,
+    warc,
+)
 from convroute.llm.ngrams import remainder
 from convroute.llm.tables import table
 
@@ -153,6 +165,17 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_rows(packing.pack(table(spark, sf_dir, "documents"), VOCABULARY))
 
 
+def op11_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = run_index.remove_earlier_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -164,6 +187,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
+    "op11_run_index": op11_run_index,
 }
 
 OP2_SQL = """
@@ -284,4 +308,42 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_embedding_dedup": OP2_SQL, "op5_chat_formatting": OP5_SQL, "op7_warc_revisits": OP7_SQL, "op10_decontamination": OP10_SQL}
+# Texts as hexadecimal digits, two for each byte.
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(length(hex(encode(coalesce(text, '')))) // 2 AS BIGINT) AS n
+  FROM documents
+), places AS (
+  SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS x FROM (SELECT *, unnest(range(n - 99)) AS p FROM d WHERE n >= 100)
+), later AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY x ORDER BY doc_id, p) AS k FROM places)
+  WHERE k > 1
+), marked AS (
+  SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 100 THEN 0 ELSE 1 END AS opens
+  FROM later
+), numbered AS (
+  SELECT doc_id, p, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM marked
+), spans AS (
+  SELECT doc_id, span, min(p) AS a, max(p) + 100 AS b FROM numbered GROUP BY doc_id, span
+), gaps AS (
+  SELECT doc_id, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS a, a AS b FROM spans
+  UNION ALL SELECT doc_id, max(b), NULL FROM spans GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, n) - a)), '' ORDER BY a) AS k
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id
+), sums AS (
+  SELECT doc_id, count(*) AS n_spans, CAST(sum(b - a) AS BIGINT) AS n_removed FROM spans GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(from_hex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": OP1_SQL,
+    "op2_embedding_dedup": OP2_SQL,
+    "op5_chat_formatting": OP5_SQL,
+    "op7_warc_revisits": OP7_SQL,
+    "op10_decontamination": OP10_SQL,
+    "op11_run_index": OP11_SQL,
+}

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from convroute.llm.words import RunHashes, blank_separated, slices, split_words
+from convroute.llm.words import RunHashes, blank_separated, slices, sliding_least, split_words
 from convroute.workspace import Workspace
 
 
@@ -67,18 +67,6 @@ def _keyed(df: DataFrame, id_column: str, text_column: str, carry: tuple[str, ..
     )
 
 
-def _sliding_least(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Least value of every ``width`` consecutive ones and its leftmost place, by doubling."""
-    least, place, have = values, np.arange(len(values)), 1
-    while have < width:
-        step = min(have, width - have)
-        left = least[: len(least) - step] <= least[step:]
-        place = np.where(left, place[: len(place) - step], place[step:])
-        least = np.minimum(least[: len(least) - step], least[step:])
-        have += step
-    return least, place
-
-
 def super_kmers_of(texts: pa.Array, config: WindowConfig) -> tuple[np.ndarray, ...]:
     """(text, minimiser, first window, windows, repeats) of the super-k-mers of some texts.
 
@@ -90,7 +78,7 @@ def super_kmers_of(texts: pa.Array, config: WindowConfig) -> tuple[np.ndarray, .
         none = np.zeros(0, np.int64)
         return none, none, none, none, none.astype(bool)
     runs = RunHashes(words.data)(words.start[: len(words) - m + 1], words.end[m - 1 :])
-    least, place = _sliding_least(runs, window - m + 1)
+    least, place = sliding_least(runs, window - m + 1)
     text = words.text_of_word()
     inside = text[: len(least)] == text[window - 1 :]
     at = np.flatnonzero(inside)

@@ -164,3 +164,15 @@ class RunHashes:
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mixed((self._sums[end] - self._sums[start]) * self._inverse[start])
+
+
+def sliding_least(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least value of every ``width`` consecutive ones and its leftmost place, by doubling."""
+    least, place, have = values, np.arange(len(values)), 1
+    while have < width:
+        step = min(have, width - have)
+        left = least[: len(least) - step] <= least[step:]
+        place = np.where(left, place[: len(place) - step], place[step:])
+        least = np.minimum(least[: len(least) - step], least[step:])
+        have += step
+    return least, place
