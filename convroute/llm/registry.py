@@ -12,6 +12,7 @@ from convroute.llm import (
     chat,
     decontaminate,
     embeddings,
+    hard_negatives,
     packing,
     quality,
     run_index,
@@ -176,6 +177,12 @@ def op11_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", changed)
+    return hard_negatives.hard_negatives(rows, anchors=F.col("id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -188,6 +195,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
     "op11_run_index": op11_run_index,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 OP2_SQL = """
@@ -339,6 +347,28 @@ SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spa
 FROM d LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+OP12_SQL = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id, positive_score, other AS negative_id, score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op2_embedding_dedup": OP2_SQL,
@@ -346,4 +376,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_warc_revisits": OP7_SQL,
     "op10_decontamination": OP10_SQL,
     "op11_run_index": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }
