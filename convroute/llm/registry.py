@@ -17,6 +17,7 @@ from convroute.llm import (
     quality,
     run_index,
     simhash,
+    spelling,
     substrings,
     token_counts,
     toxicity,
@@ -30,6 +31,7 @@ CHAT = chat.ChatConfig(VOCABULARY)
 TOKEN_LIMIT = 512
 TOXIC_FROM = 0.5
 GOOD_FROM = 0.7
+SLIPS_ONE_IN = 31
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,6 +185,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(rows, anchors=F.col("id") % 50 == 0)
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.with_slips(spelling.runs(table(spark, sf_dir, "documents")), SLIPS_ONE_IN)
+    return spelling.variants(spelling.vocabulary(words))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -196,6 +203,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
     "op11_run_index": op11_run_index,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_spelling": op13_spelling,
 }
 
 OP2_SQL = """
@@ -369,6 +377,53 @@ WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * po
 QUALIFY rank <= 3
 """
 
+# The checksum runs over the bytes of id and run; numbers of runs are found by position, one row for each.
+OP13_SQL = r"""
+WITH RECURSIVE step(b, k, v) AS (
+  SELECT b, 0, CAST(b AS BIGINT) FROM range(256) AS t(b)
+  UNION ALL SELECT b, k + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM step WHERE k < 8
+), crc AS (
+  SELECT list(v ORDER BY b) AS t FROM step WHERE k = 8
+), found AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+  FROM documents
+), runs AS (
+  SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM found GROUP BY ALL
+), hashed AS (
+  SELECT run, n, xor(list_reduce(
+           list_transform(range(0, strlen(id || ':' || run)),
+                          lambda i: CAST('0x' || substr(hex(encode(id || ':' || run)), 2 * i + 1, 2) AS BIGINT)),
+           lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1]), 4294967295), 4294967295) AS h
+  FROM runs, crc
+), words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM hashed
+), v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM words WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cuts AS (
+  SELECT word, i, left(word, i) || substr(word, i + 2) AS rest, n
+  FROM (SELECT *, unnest(range(length(word))) AS i FROM v)
+), near AS (
+  SELECT a.word, b.word AS other FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, v.word FROM cuts c JOIN v ON c.rest = v.word
+  UNION SELECT v.word, c.word FROM cuts c JOIN v ON c.rest = v.word
+), best AS (
+  SELECT near.word, count(*) AS n_near, max(n) AS form_n FROM near JOIN v ON v.word = other GROUP BY near.word
+), forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * v.n THEN form_n END AS form_n FROM v LEFT JOIN best USING (word)
+), named AS (
+  SELECT f.*, (SELECT min(other) FROM near JOIN v ON v.word = other WHERE near.word = f.word AND v.n = f.form_n) AS form
+  FROM forms f
+), follow(word, root) AS (
+  SELECT word, word FROM named
+  UNION ALL SELECT follow.word, named.form FROM follow JOIN named ON named.word = follow.root WHERE named.form IS NOT NULL
+)
+SELECT named.word, named.n, named.n_near, named.form, named.form_n, root
+FROM named JOIN follow USING (word) JOIN named ends ON ends.word = root WHERE ends.form IS NULL
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op2_embedding_dedup": OP2_SQL,
@@ -377,4 +432,5 @@ ORACLE_SQL: dict[str, str] = {
     "op10_decontamination": OP10_SQL,
     "op11_run_index": OP11_SQL,
     "op12_hard_negatives": OP12_SQL,
+    "op13_spelling": OP13_SQL,
 }
