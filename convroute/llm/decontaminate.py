@@ -14,23 +14,23 @@ once, and nothing is shuffled but the term counts (and, for several blocks of ph
 one block of about ``block_words`` words, or one longer document.
 
 Null and empty texts have no words and match nothing; items without words are never found.  Repeated rows are
-searched each for itself; repeated items count by their id.  Null item ids are left out of lists.
+searched each for itself; repeated items count by their id.  An item without an id hits words but is named in no list.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from convroute.llm.words import RunHashes, Words, alphanumeric, slices, split_words
+from convroute.llm.tables import row_keys
+from convroute.llm.words import Words, alphanumeric, slices, split_words, word_hashes
 from convroute.workspace import Workspace
 
 
@@ -57,10 +57,11 @@ class Terms:
         """The number of each word, -1 for words that are no test term."""
         if not len(self) or not len(words):
             return np.full(len(words), -1, np.int32)
-        one = RunHashes(words.data, 0)(words.start, words.end)
+        one = word_hashes(words, 0)
         place = np.minimum(np.searchsorted(self.first, one), len(self) - 1).astype(np.int32)
         found = np.flatnonzero(self.first[place] == one)
-        two = RunHashes(words.data, 1)(words.start[found], words.end[found])
+        chosen = replace(words, start=words.start[found], end=words.end[found])
+        two = word_hashes(chosen, 1)
         out = np.full(len(words), -1, np.int32)
         good = self.second[place[found]] == two
         out[found[good]] = place[found[good]]
@@ -80,11 +81,10 @@ class Phrases:
 
 
 def query_set(items: Iterable[tuple[object, str | None]], window: int) -> tuple[Terms, Phrases]:
-    """All terms and distinct windows of the items."""
-    known = [(item, text) for item, text in items if item is not None]
+    """All terms and distinct windows of the items. Windows of an item without an id are matched but name no item."""
+    known = list(items)
     words = split_words(pa.array([text for _, text in known], pa.string()), alphanumeric())
-    one = RunHashes(words.data, 0)(words.start, words.end)
-    two = RunHashes(words.data, 1)(words.start, words.end)
+    one, two = word_hashes(words, 0), word_hashes(words, 1)
     first, at, inverse = np.unique(one, return_index=True, return_inverse=True)
     seen: set[tuple[object, bytes]] = set()
     owners, starts, parts = [], [0], []
@@ -139,7 +139,10 @@ def build_index(
     text_column: str = "text",
 ) -> DataFrame:
     """One row per block of documents."""
-    chosen = documents.select(F.col(id_column).alias("key"), F.col(text_column).alias("__text"))
+    # The number of the stored partition, which a coalesced task keeps apart.
+    chosen = documents.select(
+        F.col(id_column).alias("key"), F.col(text_column).alias("__text"), F.spark_partition_id().alias("__partition")
+    )
     schema = index_schema(chosen.schema["key"])
     shared = documents.sparkSession.sparkContext.broadcast(terms)
 
@@ -150,7 +153,7 @@ def build_index(
         counts: list[np.ndarray] = []
         numbers: list[np.ndarray] = []
         total = 0
-        number = TaskContext.get().partitionId() << 32
+        number: int | None = None
 
         def block() -> pa.RecordBatch:
             stream = np.concatenate(numbers)
@@ -170,12 +173,14 @@ def build_index(
 
         for batch in batches:
             key_type = batch.schema.types[0]
+            if number is None and batch.num_rows:
+                number = batch.column("__partition")[0].as_py() << 32
             for part in slices(batch, "__text"):
                 words = split_words(part.column("__text"), alphanumeric())
                 keys.append(part.column("key"))
                 counts.append(words.counts)
                 numbers.append(terms.numbers(words))
-                total += len(words)
+                total += len(words) + part.num_rows  # rows without words fill a block too
                 if total >= config.block_words:
                     yield block()
                     number += 1
@@ -312,7 +317,8 @@ def search(index: DataFrame, phrases: Phrases, counts: np.ndarray, near: int | N
                     begins = found - block.starts[documents]
                     for document, begin in zip(documents.tolist(), begins.tolist(), strict=True):
                         spans[document].append((begin, begin + length))
-                        items[document].add(str(phrases.items[i]))
+                        if phrases.items[i] is not None:
+                            items[document].add(str(phrases.items[i]))
                 columns = [
                     pa.array([batch.column("block")[row].as_py()] * len(spans), pa.int64()),
                     pa.array(range(len(spans)), pa.int64()),
@@ -389,9 +395,7 @@ def without_contaminated(
     own = [f"c{i}" for i in range(len(documents.columns))]
     rows = documents.toDF(*own)
     id_name, text_name = (own[documents.columns.index(name)] for name in (id_column, text_column))
-    rows = rows.withColumns(
-        {"k1": F.xxhash64(id_name, text_name), "k2": F.xxhash64(text_name, id_name, F.lit(1))}
-    )
+    rows = rows.withColumns(row_keys(id_name, text_name))
     found = contamination(rows.withColumn("key", F.struct("k1", "k2")), benchmark, config, "key", text_name)
     gone = found.where(contaminated()).select("key.k1", "key.k2")
     return rows.join(gone, ["k1", "k2"], "left_anti").select(*own).toDF(*documents.columns)

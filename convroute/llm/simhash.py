@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
 from convroute.llm.components import smallest_reachable
-from convroute.llm.tables import map_texts
+from convroute.llm.tables import map_texts, row_keys
 from convroute.llm.words import Words, blank_separated, mixed, split_words
 from convroute.workspace import Workspace
 
@@ -313,9 +313,7 @@ def one_of_each_group(
     own = [f"c{i}" for i in range(len(df.columns))]
     rows = df.toDF(*own)
     id_name, text_name = (own[df.columns.index(name)] for name in (id_column, text_column))
-    rows = rows.withColumns(
-        {"k1": F.xxhash64(id_name, text_name), "k2": F.xxhash64(text_name, id_name, F.lit(1))}
-    )
+    rows = rows.withColumns(row_keys(id_name, text_name))
     groups = _grouped(rows, config, {"id": id_name, "k1": "k1", "k2": "k2"}, text_name)
     first = F.min(F.struct(F.col("id").isNull().alias("without"), "id", "k1", "k2")).alias("kept")
     kept = groups.groupBy("group").agg(first).select("kept.k1", "kept.k2")

@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from convroute.llm.words import RunHashes, blank_separated, slices, sliding_least, split_words
+from convroute.llm.tables import row_keys
+from convroute.llm.words import RunHashes, blank_separated, run_hashes, slices, split_words, word_hashes
 from convroute.workspace import Workspace
 
 
@@ -62,9 +63,19 @@ def _keyed(df: DataFrame, id_column: str, text_column: str, carry: tuple[str, ..
         F.col(text_column).alias("text"),
         *[F.col(name).alias(f"carried{i}") for i, name in enumerate(carry)],
     )
-    return chosen.select(
-        F.xxhash64("id", "text").alias("k1"), F.xxhash64("text", "id", F.lit(1)).alias("k2"), *chosen.columns
-    )
+    return chosen.select(*[key.alias(name) for name, key in row_keys("id", "text").items()], *chosen.columns)
+
+
+def _sliding_least(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least value of every ``width`` consecutive ones and its leftmost place, by doubling."""
+    least, place, have = values, np.arange(len(values)), 1
+    while have < width:
+        step = min(have, width - have)
+        left = least[: len(least) - step] <= least[step:]
+        place = np.where(left, place[: len(place) - step], place[step:])
+        least = np.minimum(least[: len(least) - step], least[step:])
+        have += step
+    return least, place
 
 
 def super_kmers_of(texts: pa.Array, config: WindowConfig) -> tuple[np.ndarray, ...]:
@@ -78,7 +89,7 @@ def super_kmers_of(texts: pa.Array, config: WindowConfig) -> tuple[np.ndarray, .
         none = np.zeros(0, np.int64)
         return none, none, none, none, none.astype(bool)
     runs = RunHashes(words.data)(words.start[: len(words) - m + 1], words.end[m - 1 :])
-    least, place = sliding_least(runs, window - m + 1)
+    least, place = _sliding_least(runs, window - m + 1)
     text = words.text_of_word()
     inside = text[: len(least)] == text[window - 1 :]
     at = np.flatnonzero(inside)
@@ -160,8 +171,7 @@ def _count_chunk(table: pa.Table, config: WindowConfig) -> pa.RecordBatch:
     bucket = np.cumsum(bucket)
     row = words.text_of_word()
     at = np.flatnonzero(row[: len(row) - n + 1] == row[n - 1 :])
-    begin, end = words.start[at], words.end[at + n - 1]
-    one, two = RunHashes(words.data, 0)(begin, end), RunHashes(words.data, 1)(begin, end)
+    one, two = (run_hashes(word_hashes(words, which), n)[at] for which in (0, 1))
     row = row[at]
     place = column["first"][row] + at - words.first[row]
     order = np.lexsort((two, one, bucket[row]))

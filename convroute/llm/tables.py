@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -16,6 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_keys(*columns: str) -> dict[str, Column]:
+    """``k1`` and ``k2``: 128 bits of hash of some columns, nulls being values of their own.
+
+    The seeds come first, so that neither number is a function of the other.
+    """
+    parts = [part for name in columns for part in (F.isnull(name), F.col(name))]
+    return {"k1": F.xxhash64(F.lit(1), *parts), "k2": F.xxhash64(F.lit(2), *parts)}
+
+
 def map_texts(
     df: DataFrame,
     keys: dict[str, str],

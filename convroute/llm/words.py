@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: Bytes of text handled at once; one longer text is handled alone.
 SLICE_BYTES = 1 << 19
@@ -166,13 +167,49 @@ class RunHashes:
         return mixed((self._sums[end] - self._sums[start]) * self._inverse[start])
 
 
-def sliding_least(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Least value of every ``width`` consecutive ones and its leftmost place, by doubling."""
-    least, place, have = values, np.arange(len(values)), 1
-    while have < width:
-        step = min(have, width - have)
-        left = least[: len(least) - step] <= least[step:]
-        place = np.where(left, place[: len(place) - step], place[step:])
-        least = np.minimum(least[: len(least) - step], least[step:])
-        have += step
-    return least, place
+#: Longer words are hashed one by one.
+_LONG_WORD = 64
+_SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344)
+
+
+def word_hashes(words: Words, which: int = 0) -> np.ndarray:
+    """64-bit hashes of whole words; two values of ``which`` give independent ones.
+
+    Eight bytes at a time are mixed in by a finaliser, which is not linear: unlike the polynomial of ``RunHashes``,
+    there are no families of words that are known to be equal under every base.
+    """
+    seed = _SEEDS[which]
+    size = words.end - words.start
+    held = np.concatenate([words.data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(words.data) + 1, "<u8", held.data, strides=(1,))
+    masks = np.array([(1 << 8 * n) - 1 for n in range(9)], _U64)
+    out = mixed(size.astype(_U64) ^ _U64(seed))
+    live = np.flatnonzero(size <= _LONG_WORD)
+    for done in range(0, _LONG_WORD, 8):
+        live = live[size[live] > done]
+        if not len(live):
+            break
+        bytes_left = np.minimum(size[live] - done, 8)
+        out[live] = mixed(out[live] ^ (eight[words.start[live] + done] & masks[bytes_left])) + _U64(seed >> 1)
+    for i in np.flatnonzero(size > _LONG_WORD).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(words.data[words.start[i] : words.end[i]], seed=seed)
+    return out
+
+
+def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of all runs of ``length`` words, from the words' hashes: halves are mixed together, pair by pair."""
+
+    def together(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return mixed(left * _U64(0x9E3779B97F4A7C15) ^ mixed(right + _U64(0xC2B2AE3D27D4EB4F)))
+
+    whole, size, power, have = None, 0, hashes, 1
+    while True:
+        if length & have:
+            count = len(hashes) - size - have + 1
+            piece = power[size : size + count] if count > 0 else power[:0]
+            whole = piece if whole is None else together(whole[: len(piece)], piece)
+            size += have
+        if size == length:
+            return whole
+        power = together(power[:-have], power[have:]) if len(power) > have else power[:0]
+        have *= 2

@@ -57,11 +57,12 @@ def contamination(texts, items, window=13):
         for item, body in items:
             terms = benchmark_words(body)
             n = min(window, len(terms))
-            for a in range(max(0, len(terms) - n + 1) if n and item is not None else 0):
+            for a in range(max(0, len(terms) - n + 1) if n else 0):
                 for i in range(len(words) - n + 1):
                     if words[i : i + n] == terms[a : a + n]:
                         hit |= set(range(i, i + n))
-                        found.add(str(item))
+                        if item is not None:
+                            found.add(str(item))
         out.append((len(words), len(hit), sorted(found)))
     return out
 
