@@ -18,8 +18,8 @@ members and queries, so a hot list is many tasks.  Links are not written as pair
 of each point, and one link per point to a representative that the cell's links reach.  Centroids (``most_lists`` at
 most) with their shelves and code books are all that is broadcast.
 
-Vectors that are null, zero, or hold null or non-finite components link with nothing, nor do vectors whose length
-is not the most frequent one.  Repeated rows are copies like any other.  Null ids take part and name no component.
+Vectors that are null, zero, or hold null or non-finite components link with nothing.  Vectors of each length are
+searched among their own, one length after another, with lists and codes of their own.  Repeated rows are copies like any other.  Null ids take part and name no component.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from convroute.llm.components import smallest_reachable
+from convroute.llm.tables import row_keys
 from convroute.workspace import Workspace
 
 
@@ -313,13 +314,25 @@ def near_duplicates(
     vector_column: str = "embedding",
 ) -> DataFrame:
     """(id, n_links, component_id) of every row: other vectors linked directly, smallest id that links reach."""
-    spark = df.sparkSession
-    workspace = Workspace(spark, "embeddings")
-    keys = [F.xxhash64("vector").alias("k1"), F.xxhash64("vector", F.lit(1)).alias("k2")]
+    workspace = Workspace(df.sparkSession, "embeddings")
+    keys = [F.when(F.col("vector").isNotNull(), key).alias(name) for name, key in row_keys("vector").items()]
     vectors = workspace.save(_vectors(df, id_column, vector_column).select("id", "vector", *keys), "vectors")
-    lengths = vectors.where("vector is not null").groupBy(F.length("vector").alias("bytes")).count()
-    common = lengths.orderBy(F.desc("count"), F.desc("bytes")).first()
-    dimension = common["bytes"] // 8 if common else 1
+    # One row per length.
+    lengths = sorted(row[0] for row in vectors.where("vector is not null").select(F.length("vector")).distinct().collect())
+    named = vectors.where("false").select("k1", "k2", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    for length in lengths:
+        named = named.unionByName(_linked(vectors, length // 8, config))
+    return vectors.select("id", "k1", "k2").join(named, ["k1", "k2"], "left").select(
+        F.col("id").alias(id_column),
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        F.when(F.col("n_links").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+
+
+def _linked(vectors: DataFrame, dimension: int, config: QuantiserConfig) -> DataFrame:
+    """(k1, k2, n_links, component_id) of the distinct vectors of one length."""
+    spark = vectors.sparkSession
+    workspace = Workspace(spark, "embeddings")
     points = workspace.save(
         vectors.where(F.length("vector") == 8 * dimension)
         .groupBy("vector", "k1", "k2")
@@ -445,14 +458,4 @@ def near_duplicates(
         )
     )
     smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = labelled.join(smallest, "component").select("k1", "k2", "n_links", "component_id")
-    linked = F.length("vector") == 8 * dimension
-    return (
-        vectors.select("id", "k1", "k2", F.coalesce(linked, F.lit(False)).alias("linked"))
-        .join(named.withColumn("linked", F.lit(True)), ["k1", "k2", "linked"], "left")
-        .select(
-            F.col("id").alias(id_column),
-            F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
-            F.when(F.col("n_links").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-        )
-    )
+    return labelled.join(smallest, "component").select("k1", "k2", "n_links", "component_id")
