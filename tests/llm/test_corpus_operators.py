@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import brute
 import numpy as np
 import odd_rows
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -26,6 +27,8 @@ from convroute.llm import (
 )
 from convroute.llm.byte_bpe import Encoder, PrefixCounts
 from convroute.llm.components import smallest_reachable
+from convroute.llm.tables import row_keys
+from convroute.llm.words import blank_separated, run_hashes, split_words, word_hashes
 
 VOCABULARY = registry.VOCABULARY
 
@@ -101,8 +104,7 @@ def test_embeddings_odd_rows(spark):
 
     def linked(i, j):
         x, y = rows[i][1], rows[j][1]
-        whole = x is not None and y is not None and len(x) == len(y) == 8
-        return whole and brute.cosine(x, y) >= 0.95
+        return x is not None and y is not None and brute.cosine(x, y) >= 0.95
 
     label = brute.components(len(rows), linked)
     names = defaultdict(list)
@@ -502,3 +504,84 @@ def test_empty_tables(spark, documents):
     assert all(r.n_hit == 0 for r in decontaminate.contamination(documents, no_items).collect())
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embeddings.near_duplicates(vectors).collect() == []
+
+
+# --- Hashes and keys ------------------------------------------------------------------------------
+
+
+def thue_morse():
+    """Two words that collide under every polynomial hash modulo a power of two."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_polynomials_confuse(spark):
+    one, other = thue_morse()
+    around = [" ".join(f"{c}{i}" for i in range(17)) for c in "wv"]
+    rows = [(1, f"{around[0]} {one} {around[1]}"), (2, f"{around[0]} {other} {around[1]}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.n_removed for r in substrings.remove_repeats(df).collect()] == [0, 0]
+    items = spark.createDataFrame([(7, one)], "item_id long, text string")
+    found = {r.doc_id: r.n_hit for r in decontaminate.contamination(df, items).collect()}
+    assert found == {1: 1, 2: 0}
+
+
+def test_hashes_of_runs():
+    texts = ["a b c a b c", "x" * 100 + " a b c", "é ab", "", "ab é" + " c" * 9, "x" * 64 + " " + "x" * 65]
+    words = split_words(pa.array(texts), blank_separated(lower=False))
+    plain = [w for t in texts for w in t.split()]
+    for which in (0, 1):
+        hashes = word_hashes(words, which)
+        for length in (1, 2, 3, 5, 7, 12):
+            runs = run_hashes(hashes, length).tolist()
+            names = [tuple(plain[i : i + length]) for i in range(len(plain) - length + 1)]
+            assert len(runs) == len(names) and len(set(runs)) == len(set(names)) == len(set(zip(runs, names)))
+    assert len(run_hashes(word_hashes(words)[:3], 4)) == 0
+
+
+def test_row_keys_are_two_hashes(spark):
+    rows = [(None, "a"), (None, None), (1, None), (1, "a"), (1, "")]
+    df = spark.createDataFrame(rows, "id long, text string").withColumns(row_keys("id", "text"))
+    found = df.withColumn("derived", F.xxhash64("text", F.lit(1))).collect()
+    assert len({r.k1 for r in found}) == len({r.k2 for r in found}) == len(rows)
+    # Chained from the first key, the second would follow from it whenever all other columns are null.
+    for columns in (("id", "text"), ("text",)):
+        again = df.select(*[k.alias(n) for n, k in row_keys(*columns).items()]).collect()
+        steps = spark.createDataFrame([(r.k1,) for r in again], "k long").select(F.xxhash64("k", F.lit(1)), F.xxhash64(F.lit(1), "k"))
+        assert not {r.k2 for r in again} & {x for row in steps.collect() for x in row}
+
+
+def test_packing_behind_a_coalesced_task(spark):
+    df = spark.createDataFrame([(i, "some words to pack " * (i % 70)) for i in range(400)], "doc_id long, text string")
+    rows = packing.pack(df.repartition(4), VOCABULARY).coalesce(1).collect()
+    assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
+    sizes = Counter()
+    for r in rows:
+        sizes[r.sequence_id] += r.length
+    assert max(sizes.values()) <= 1024
+
+
+def test_packing_cuts_at_boundaries(spark, sf_small):
+    """No window ends inside a sentence if a boundary was within a tenth of it, and padding stays small."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").coalesce(1)
+    encoder, ends_sentence = packing._encoder(VOCABULARY)
+    windows = defaultdict(list)
+    for r in packing.pack(docs, VOCABULARY).collect():
+        border = ends_sentence[np.frombuffer(r.ids, "<u4")]
+        border[-1] |= r.start + r.length == r.doc_tokens
+        windows[r.sequence_id].append((r.offset, border))
+    borders = [np.concatenate([b for _, b in sorted(w, key=lambda x: x[0])]) for w in windows.values()]
+    full = [b for b in borders if len(b) & (len(b) - 1) or len(b) == 1024]
+    assert len(full) > 100
+    assert sum(not b[-1] and b[-102:].any() for b in full) <= 0.02 * len(full)
+    assert sum(not b[-1] for b in full) <= 0.1 * len(full)
+    assert sum(1024 - len(b) for b in full) <= 0.05 * 1024 * len(full)
+
+
+def test_blocks_of_texts_without_words(spark):
+    df = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("").alias("text")).coalesce(1)
+    terms, _ = decontaminate.query_set([(1, "a b")], 13)
+    index = decontaminate.build_index(df, terms, decontaminate.IndexConfig(block_words=1000))
+    assert max(len(r["keys"]) for r in index.collect()) <= 2000
