@@ -291,6 +291,9 @@ def queries() -> dict[str, str]:
           ELSE concat_ws(' | ', lag(line, 2) OVER w, lag(line, 1) OVER w) END AS context_block
       FROM (SELECT *, author || ': ' || coalesce(text, 'None') AS line FROM msg)
       WINDOW w AS (PARTITION BY thread_idx ORDER BY turn_index)"""
+    positions = f"""
+      SELECT concat(dense_rank() OVER (ORDER BY thread_idx) - 1, ':', turn_index) AS id, seed_id, platform, author,
+        coalesce(text, '') AS text, customer_name, context_block FROM ({flat})"""
     ingest = """
       SELECT row_number() OVER (ORDER BY conv) - 1 AS thread_idx, seed_id, platform, customer_name, n_messages
       FROM (SELECT thread_idx AS conv, any_value(seed_id) AS seed_id, any_value(platform) AS platform,
@@ -331,6 +334,7 @@ def queries() -> dict[str, str]:
 
     return {
         "ingest_threads": _with(ingest, "msg"),
+        "ingest_json_array": _with(positions, "msg"),
         "flatten_messages": _with(flat, "msg"),
         "read_result_log": _with(log, "final"),
         "author_split": _with(

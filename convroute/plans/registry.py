@@ -110,6 +110,17 @@ def ingest_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.agg(F.sum(F.size("messages")).cast("int").alias("n_messages"))
 
 
+def ingest_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    workspace = Workspace(spark, "ingest-array")
+    path = workspace.folder("json")
+    sample.write_thread_arrays(sample.threads(sample.messages(spark, sf_dir)), path)
+    read = thread_source.read_threads(spark, path, "json_array")
+    flat = thread_source.flatten_threads(thread_source.number_threads(read, workspace), CONFIG)
+    return flat.select(
+        "id", "seed_id", "platform", "author", "text", "customer_name", context.context_block(F.col("context")).alias("context_block")
+    )
+
+
 def flatten_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = sample.threads(sample.messages(spark, sf_dir)).withColumnRenamed("conv_id", "thread_idx")
     flat = thread_source.flatten_threads(nested, CONFIG)
@@ -406,7 +417,7 @@ def incremental_thread_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        ingest_threads, flatten_messages, read_result_log, author_split, first_n_threads, message_context,
+        ingest_threads, ingest_json_array, flatten_messages, read_result_log, author_split, first_n_threads, message_context,
         signals, signals_documents, router_stage, residual_after_router, sentiment_scores, normalise_sentiment,
         sentiment_stage, residual_after_sentiment, offline_model_labels, brand_rows, assign_batches, batch_prompts,
         batch_cost, budget_plan, model_stage, merge_responses, response_quality, resume_pending, refine_candidates,

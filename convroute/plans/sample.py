@@ -6,6 +6,9 @@ integer arithmetic on thread and turn that any SQL engine repeats exactly.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -161,11 +164,33 @@ def threads(flat: DataFrame, turns_per_record: int = 256, context_turns: int = 2
 
 def write_threads(nested: DataFrame, path: str) -> None:
     """JSON lines in order of conversation; every record names its thread by its position in the file."""
+    _numbered_records(nested).write.partitionBy("file").json(path)
+
+
+def write_thread_arrays(nested: DataFrame, path: str) -> None:
+    """The same records, each file one JSON array."""
+    records = _numbered_records(nested)
+    text = records.select(F.to_json(F.struct(*[c for c in records.columns if c != "file"])).alias("value"))
+
+    def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead = "["
+        for batch in batches:
+            lines = []
+            for value in batch.column(0).to_pylist():
+                lines.append(lead + value)
+                lead = ","
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array([lead + "]" if lead == "[" else "]"])], names=["value"])
+
+    text.mapInArrow(bracketed, "value string").write.text(path)
+
+
+def _numbered_records(nested: DataFrame) -> DataFrame:
     file = F.format_string("%06d", F.spark_partition_id()).alias("file")
     ordered = nested.repartitionByRange("conv_id").select("*", file)
     position = F.dense_rank().over(Window.partitionBy("file").orderBy("conv_id")) - 1
     lines = ordered.withColumn("thread", position.cast("bigint")).sortWithinPartitions("file", "conv_id", "first_turn")
-    lines.drop("conv_id").write.partitionBy("file").json(path)
+    return lines.drop("conv_id")
 
 
 def length_scorer():

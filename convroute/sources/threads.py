@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from convroute.config import RoutingConfig
+from convroute.sources.json_array import read_objects
 from convroute.workspace import Workspace
 
 MESSAGE_TYPE = T.StructType([T.StructField("from", T.StringType()), T.StructField("text", T.StringType())])
@@ -37,16 +38,23 @@ def _required(column: str) -> Column:
 def read_threads(spark: SparkSession, path: str, format: str = "json", multi_line: bool = False) -> DataFrame:
     """Read threads with a fixed schema.
 
-    ``format`` is ``json`` (one thread per line, splittable) or ``parquet``.  A file that holds one JSON
-    array needs ``multi_line=True`` and is read by a single task: convert large corpora first.
-    Malformed input and missing required keys fail the job; optional keys default to ''.
+    ``format`` is ``json`` (one thread per line), ``json_array`` (files that each hold one array of threads; also
+    ``json`` with ``multi_line``) or ``parquet``.  All are read in splits.  Malformed input and missing required keys
+    fail the job; optional keys default to ''.
     """
     reader = spark.read.schema(THREAD_SCHEMA)
-    if format == "json":
-        reader = reader.option("multiLine", multi_line).option("mode", "FAILFAST").option("encoding", "UTF-8")
-    raw = reader.format(format).load(path)
-    # Parquet tells each row's place in its file, so numbering needs no copy.
-    place = [F.col("_metadata.row_index").alias("row_index")] if format == "parquet" else []
+    if format == "json_array" or (format == "json" and multi_line):
+        parsed = F.from_json("value", THREAD_SCHEMA, {"mode": "FAILFAST"})
+        raw = read_objects(spark, path).select(parsed.alias("t"), "file_path", "file_block_start", "row_index")
+        raw, place = raw.select("t.*", "file_path", "file_block_start", "row_index"), [F.col("row_index")]
+        source = [F.col("file_path"), F.col("file_block_start")]
+    else:
+        if format == "json":
+            reader = reader.option("mode", "FAILFAST").option("encoding", "UTF-8")
+        raw = reader.format(format).load(path)
+        # Parquet and arrays tell each row's place in its file, so numbering needs no copy.
+        place = [F.col("_metadata.row_index").alias("row_index")] if format == "parquet" else []
+        source = [F.col(f"_metadata.{name}").alias(name) for name in ("file_path", "file_block_start")]
     return raw.select(
         _required("seed_id").alias("seed_id"),
         F.coalesce("platform", F.lit("")).alias("platform"),
@@ -55,8 +63,7 @@ def read_threads(spark: SparkSession, path: str, format: str = "json", multi_lin
         "thread",
         F.coalesce("first_turn", F.lit(0)).cast("bigint").alias("first_turn"),
         F.coalesce("prior", F.array().cast(T.ArrayType(MESSAGE_TYPE))).alias("prior"),
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("file_block_start"),
+        *source,
         *place,
     )
 
@@ -64,7 +71,7 @@ def read_threads(spark: SparkSession, path: str, format: str = "json", multi_lin
 def number_threads(threads: DataFrame, workspace: Workspace) -> DataFrame:
     """Add ``thread_idx``: the 0-based position of the thread over all files in path order.
 
-    Parquet rows know their place in the file, so only one count per file is needed.  Lines of text do not:
+    Rows of Parquet and of JSON arrays know their place in the file, so only one count per file is needed.  Lines of text do not:
     they are stored once with a row marker, and counted per split.  Threads are never shuffled by key.
     """
     begins = (F.col("first_turn") == 0).cast("bigint")
