@@ -405,6 +405,9 @@ def queries() -> dict[str, str]:
             "SELECT source, reason, count(*) AS n_messages FROM final GROUP BY source, reason", "final"
         ),
         "seed_collision_audit": _with(audit, "msg"),
+        "incremental_context": _with(
+            f"SELECT id, n_context::INTEGER AS n_context, {BLOCK} AS context_block FROM ctx", "ctx"
+        ),
         "incremental_triage": _with(local, "brand", extra={"local_rows": LOCAL_ROWS}),
         "incremental_model_stage": _with(f"SELECT {_LABEL_COLS} FROM standin", "standin"),
         "incremental_thread_summary": _with(_summary(DOCUMENTED_ORDER), "final"),

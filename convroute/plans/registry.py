@@ -148,13 +148,16 @@ def first_n_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("id", "thread_idx", "author", "text")
 
 
-def message_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = context.with_context(sample.messages(spark, sf_dir), CONFIG)
+def _context_columns(df: DataFrame) -> DataFrame:
     return df.select(
         "id", F.size("context").alias("n_context"), context.context_block(F.col("context")).alias("context_block")
     )
 
 
+def message_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _context_columns(context.with_context(sample.messages(spark, sf_dir), CONFIG))
+
+
 # --- Stage 1 and 2 --------------------------------------------------------------------------------
 
 
@@ -392,6 +395,17 @@ def incremental_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("id", "label", "confidence", "source", "reason")
 
 
+def incremental_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages dealt over files by hash, so that turns of a thread arrive in any order; two files for each trigger."""
+    workspace = Workspace(spark, "stream-context")
+    dealt = sample.messages(spark, sf_dir).repartition(6, F.xxhash64("id"))
+    stored = workspace.save(dealt, "messages")
+    arriving = incremental.read_stream(spark, workspace.folder("messages"), stored.schema, max_files=2)
+    out = workspace.folder("with-context")
+    incremental.start_context(arriving, out, workspace.folder("checkpoint"), CONFIG).awaitTermination()
+    return _context_columns(spark.read.parquet(out))
+
+
 def incremental_model_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     workspace = Workspace(spark, "stream-model")
     stored = workspace.save(_open_with_context(spark, sf_dir), "open")
@@ -423,6 +437,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         batch_cost, budget_plan, model_stage, merge_responses, response_quality, resume_pending, refine_candidates,
         refine_pass, full_run, written_summary, all_results, merge_last_wins, labels_output, labels_csv_roundtrip, thread_summary,
         thread_summary_label_order, label_distribution, stage_coverage, reason_breakdown, seed_collision_audit,
-        incremental_triage, incremental_model_stage, incremental_thread_summary,
+        incremental_triage, incremental_context, incremental_model_stage, incremental_thread_summary,
     )
 }

@@ -1,6 +1,6 @@
 """Incremental routing with Structured Streaming.
 
-All three jobs run with ``availableNow`` by default: start them again whenever new files have arrived and
+Jobs run with ``availableNow`` by default: start them again whenever new files have arrived and
 they continue from their checkpoint.
 """
 
@@ -22,6 +22,7 @@ from convroute.operators.stages import ScorerFactory
 from convroute.plans.run import local_stages
 from convroute.sinks.result_log import append_slice
 from convroute.sources.result_log import read_log
+from convroute.streaming.context import with_arriving_context
 from convroute.workspace import Workspace
 
 
@@ -51,6 +52,28 @@ def start_routing(
     )
 
 
+def start_context(
+    messages: DataFrame,
+    out_path: str,
+    checkpoint: str,
+    config: RoutingConfig = RoutingConfig(),
+    wait_ms: int | None = None,
+) -> StreamingQuery:
+    """Give arriving flat messages their context, as soon as the turns it takes are in; see ``with_arriving_context``.
+
+    With ``wait_ms`` the query goes on until it is stopped, since waiting ends by the clock.
+    """
+    until_stopped = {"processingTime": f"{max(1, (wait_ms or 0) // 2)} milliseconds"}
+    return (
+        with_arriving_context(messages, config, wait_ms)
+        .writeStream.format("parquet")
+        .option("path", out_path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**({"availableNow": True} if wait_ms is None else until_stopped))
+        .start()
+    )
+
+
 # --- Model stage ----------------------------------------------------------------------------------
 
 
