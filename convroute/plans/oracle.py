@@ -410,5 +410,13 @@ def queries() -> dict[str, str]:
         ),
         "incremental_triage": _with(local, "brand", extra={"local_rows": LOCAL_ROWS}),
         "incremental_model_stage": _with(f"SELECT {_LABEL_COLS} FROM standin", "standin"),
+        "incremental_corrections": _with(
+            _summary(DOCUMENTED_ORDER).replace("JOIN final", "JOIN corrected"),
+            "final",
+            extra={
+                "corrected": """SELECT id, CASE WHEN confidence = 'low' THEN 'complaint' ELSE label END AS label,
+                    CASE WHEN confidence = 'low' THEN 'high' ELSE confidence END AS confidence FROM final"""
+            },
+        ),
         "incremental_thread_summary": _with(_summary(DOCUMENTED_ORDER), "final"),
     }

@@ -20,7 +20,7 @@ from convroute.sinks import tables
 from convroute.sinks.result_log import append_slice, log_rows, write_json_log
 from convroute.sources import threads as thread_source
 from convroute.sources.result_log import read_json_log, read_log
-from convroute.streaming import incremental
+from convroute.streaming import corrections, incremental
 from convroute.workspace import Workspace
 
 CONFIG = RoutingConfig()
@@ -428,6 +428,27 @@ def incremental_thread_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.read_thread_summary(spark, partials)
 
 
+def incremental_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of the first pass over several micro-batches, then a later pass that corrects all of low confidence."""
+    workspace = Workspace(spark, "stream-corrections")
+    folder, deltas = workspace.folder("labelled"), workspace.folder("deltas")
+    first = workspace.save(_labelled(spark, sf_dir).withColumn("pass_no", F.lit(1)), "labelled")
+
+    def advance() -> None:
+        arriving = incremental.read_stream(spark, folder, first.schema, max_files=2)
+        corrections.start_summary_with_corrections(
+            arriving, deltas, workspace.folder("checkpoint"), F.col("pass_no"), CONFIG
+        ).awaitTermination()
+
+    advance()
+    corrected = {"label": F.lit("complaint"), "confidence": F.lit("high"), "pass_no": F.lit(2)}
+    # The folder is stored before it is appended to: what is read is a copy.
+    again = workspace.save(first.where("confidence = 'low'").withColumns(corrected), "corrected")
+    again.select(*first.columns).write.mode("append").parquet(folder)
+    advance()
+    return corrections.read_corrected_summary(spark, deltas)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -438,5 +459,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         refine_pass, full_run, written_summary, all_results, merge_last_wins, labels_output, labels_csv_roundtrip, thread_summary,
         thread_summary_label_order, label_distribution, stage_coverage, reason_breakdown, seed_collision_audit,
         incremental_triage, incremental_context, incremental_model_stage, incremental_thread_summary,
+        incremental_corrections,
     )
 }

@@ -23,6 +23,7 @@ from convroute.plans.run import local_stages
 from convroute.sinks.result_log import append_slice
 from convroute.sources.result_log import read_log
 from convroute.streaming.context import with_arriving_context
+from convroute.streaming.folders import numbered_folders
 from convroute.workspace import Workspace
 
 
@@ -77,32 +78,21 @@ def start_context(
 # --- Model stage ----------------------------------------------------------------------------------
 
 
-def _numbered(spark: SparkSession, folder: str, kind: str) -> list[str]:
-    """Subfolders ``kind=<number>`` of a folder, in order of number."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-    numbers = sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{kind}="))
-    done = [n for n in numbers if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{folder}/{kind}={n}/_SUCCESS"))]
-    return [f"{folder}/{kind}={n}" for n in done]
-
-
 def _left_open(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """What the latest round left to ask again: every round writes all of it."""
-    rounds = _numbered(spark, f"{folder}/open", "round")
+    rounds = numbered_folders(spark, f"{folder}/open", "round")
     return spark.read.schema(schema).parquet(rounds[-1]) if rounds else spark.createDataFrame([], schema)
 
 
 def failed_messages(spark: SparkSession, state_path: str) -> DataFrame | None:
     """Messages given up after ``attempts`` failures, with their errors; None if there are none."""
-    rounds = _numbered(spark, f"{state_path}/failed", "round")
+    rounds = numbered_folders(spark, f"{state_path}/failed", "round")
     return spark.read.option("mergeSchema", True).parquet(*rounds) if rounds else None
 
 
 def model_costs(spark: SparkSession, state_path: str) -> DataFrame | None:
     """Calls, tokens and cost per model and round."""
-    rounds = _numbered(spark, f"{state_path}/meter", "round")
+    rounds = numbered_folders(spark, f"{state_path}/meter", "round")
     return spark.read.parquet(*rounds) if rounds else None
 
 
@@ -194,8 +184,8 @@ def start_thread_summary(labelled: DataFrame, partials_path: str, checkpoint: st
 
     Each micro-batch writes the mergeable state of the threads it touched into a folder of its own, which
     a repeat replaces.  ``read_thread_summary`` merges these rows; nothing grows with the number of threads
-    in memory.  Rows are labels under no precedence, so they can be read under any.  Every message may arrive once:
-    one that arrives again with another label counts twice.
+    in memory.  Rows are labels under no precedence, so they can be read under any.  Every message may arrive once;
+    for labels that are corrected later, see ``corrections.start_summary_with_corrections``.
     """
 
     def write_partials(batch: DataFrame, batch_id: int) -> None:
@@ -212,9 +202,9 @@ def start_thread_summary(labelled: DataFrame, partials_path: str, checkpoint: st
 def _partials(spark: SparkSession, partials_path: str) -> tuple[list[str], int]:
     """The latest compacted folder and the batches after it, and the number of the last of all."""
     number = lambda path: int(path.rsplit("=", 1)[1])
-    compacted = _numbered(spark, partials_path, "upto")[-1:]
+    compacted = numbered_folders(spark, partials_path, "upto")[-1:]
     upto = number(compacted[0]) if compacted else -1
-    later = [path for path in _numbered(spark, partials_path, "batch") if number(path) > upto]
+    later = [path for path in numbered_folders(spark, partials_path, "batch") if number(path) > upto]
     return compacted + later, max([upto, *map(number, later)])
 
 
