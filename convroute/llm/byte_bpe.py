@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Callable, Iterable
+from itertools import chain
+from operator import sub
 
 import ahocorasick
 import numpy as np
@@ -38,8 +41,9 @@ PRETOKENS = re.compile(
 #: Contractions that have a shorter prefix which splits into two pre-tokens.
 LONG_CONTRACTIONS = frozenset(("'re", "'ve", "'ll"))
 
-#: Bounds of the tables each Python worker keeps: entries, their characters, and pairs of tokens.
-KEPT_UNITS = 500_000
+#: Bounds of the tables each Python worker keeps: entries of each half, their characters, and pairs of tokens.
+KEPT_UNITS = 300_000
+KEPT_PRETOKENS = 250_000
 KEPT_LENGTH = 48
 KEPT_PAIRS = 500_000
 
@@ -47,21 +51,27 @@ KEPT_PAIRS = 500_000
 class UnitValues:
     """Bytes per text, joined from bytes per unit.
 
-    ``compute`` turns a list of units into one bytes value each.  At most ``KEPT_UNITS`` short units are kept;
-    the table is emptied when full, which costs time but never changes a value.
+    ``compute`` turns a list of units into one bytes value each.  Short units are kept in two tables of at most
+    ``KEPT_UNITS`` entries: a unit found in the older one moves to the newer one, and when that is full it becomes the
+    older one.  So frequent units stay, and what is dropped costs time but never changes a value.
     """
 
     def __init__(self, compute: Callable[[list[str]], Iterable[bytes]]):
         self._compute = compute
         self._after_blank: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def of(self, texts: list[str]) -> list[bytes]:
         if len(self._after_blank) > KEPT_UNITS:
-            self._after_blank.clear()
+            self._older, self._after_blank = self._after_blank, {}
         chunks = [text.split(" ") for text in texts]
         missing: set[str] = set()
         for words in chunks:
             missing.update(set(words).difference(self._after_blank))
+        if self._older:
+            for word in missing.intersection(self._older):
+                self._after_blank[word] = self._older[word]
+            missing.difference_update(self._after_blank)
         fresh = [word for word in missing if word and word[-1] not in WHITE and len(word) <= KEPT_LENGTH]
         self._after_blank.update(zip(fresh, self._compute([" " + word for word in fresh]), strict=True))
         return [self._join(words) for words in chunks]
@@ -158,7 +168,9 @@ class PrefixCounts:
             self._merged[pair] = whole
             self._halves[whole] = pair
         self._beside: dict[tuple[int, int], bool] = {}
+        # Pre-tokens stand alone and beside signs, so their counts are kept too, in two tables like the units.
         self._known: dict[str, list[int]] = {}
+        self._older: dict[str, list[int]] = {}
 
     def _stay_apart(self, left: int, right: int) -> bool:
         """Whether no merge crosses the border of two tokens before both are complete.
@@ -189,32 +201,42 @@ class PrefixCounts:
         known = self._known.get(token)
         if known is not None:
             return known
-        last, counts, beside = [], [], self._beside
-        done = 0
-        for end, (length, number) in self._automaton.iter(token.encode().decode("latin-1")):
+        known = self._older.get(token)
+        if known is None:
+            known = self._walk(token)
+        if len(token) <= KEPT_LENGTH:
+            if len(self._known) > KEPT_PRETOKENS:
+                self._older, self._known = self._known, {}
+            self._known[token] = known
+        return known
+
+    def _walk(self, token: str) -> list[int]:
+        """The dynamic programme over one pre-token."""
+        last: list[int] = []
+        counts: list[int] = []
+        beside, done = self._beside, 0
+        known, add_last, add_count = beside.get, last.append, counts.append
+        raw = token if token.isascii() else token.encode().decode("latin-1")
+        for end, (length, number) in self._automaton.iter(raw):
             if end < done:
                 continue
             start = end - length
             if start >= 0:
                 pair = last[start], number
-                good = beside.get(pair)
+                good = known(pair)
                 if good is None:
                     if len(beside) > KEPT_PAIRS:
                         beside.clear()
                     good = beside[pair] = self._stay_apart(*pair)
                 if not good:
                     continue
-                counts.append(counts[start] + 1)
+                add_count(counts[start] + 1)
             else:
-                counts.append(1)
-            last.append(number)
+                add_count(1)
+            add_last(number)
             done += 1
         if token in LONG_CONTRACTIONS:
             counts[1] = 2
-        if len(token) <= KEPT_LENGTH:
-            if len(self._known) > KEPT_UNITS:
-                self._known.clear()
-            self._known[token] = counts
         return counts
 
     def _ordinary(self, text: str) -> list[int]:
@@ -256,6 +278,10 @@ class PrefixCounts:
     def increments(self, texts: list[str]) -> list[bytes]:
         out = []
         for text in texts:
-            counts = self._ordinary(text) if SPECIAL not in text else self.counts(text)
-            out.append(bytes([(b - a) & 0xFF for a, b in zip([0, *counts], counts, strict=False)]))
+            if text[:1] == " " and text.isascii() and text[1:].isalpha():
+                counts = self._counts(text)  # one pre-token
+            else:
+                counts = self._ordinary(text) if SPECIAL not in text else self.counts(text)
+            # Less the count before; map stops with the shorter one.
+            out.append(array("b", map(sub, counts, chain((0,), counts))).tobytes())
         return out
