@@ -6,8 +6,9 @@ start earlier: in a document before it, or earlier in its own.  Bytes under a re
 1.  Equal texts are one content.  Its first row (least id) speaks for it, the others repeat it whole.
 2.  The anchor of a window is the least hash of the runs of ``anchor`` bytes in it, so equal windows have equal
     anchors.  Consecutive windows of one anchor are a string.  Anchors that occur once are dropped: their windows
-    occur once.  Strings of the others are cut out of the texts and sent to the bucket of their anchor.
-3.  A bucket's strings, in the order of their documents, make one text, of which ``RunIndex`` is built: the runs of its
+    occur once.  Strings of the others are cut out of the texts and sent to the bucket of their anchor.  Until then
+    strings are numbers only, and the texts are shuffled once for all steps.
+3.  Equal strings of a bucket are one.  The others, in the order of their documents, make one text, of which ``RunIndex`` is built: the runs of its
     Burrows-Wheeler transform, with the place of each run's first suffix, of the suffix before it, and the length
     they share.  Inside a run both places move on together and the length falls by one for each byte, so streaming
     over the text gives every place's matching statistics from the samples alone: the longest match with the suffix
@@ -30,28 +31,34 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
-from convroute.llm.words import RunHashes, slices, sliding_least, utf8
+from convroute.llm.words import RunHashes, slices, utf8
 from convroute.workspace import Workspace
 
 
+#: A string is one number: (first window * _LENGTHS + number of windows) * 2 + whether its anchor stands at two places.
+_LENGTHS = 1 << 13
+
+
 @dataclass(frozen=True)
 class IndexConfig:
     #: Bytes of a window and of the runs that anchors are chosen from.
     window: int = 100
-    anchor: int = 32
+    anchor: int = 24
     #: Windows of one string at most; periodic texts would make longer ones.
     longest: int = 4096
     #: Bytes of strings in one index, and in one part of a split bucket, about.
-    index_bytes: int = 1 << 20
+    index_bytes: int = 1 << 18
     part_bytes: int = 1 << 19
 
     def __post_init__(self) -> None:
         if not 1 <= self.anchor <= self.window:
             raise ValueError("anchors must fit into windows")
+        if self.longest >= _LENGTHS:
+            raise ValueError("strings are too long to be packed")
 
 
 # --- The index ------------------------------------------------------------------------------------
@@ -67,13 +74,14 @@ def suffix_order(symbols: np.ndarray, string: np.ndarray, left: np.ndarray) -> n
     its string; equal ones are ordered by string.
     """
     n = len(symbols)
+    string, left = string.astype(np.int32), left.astype(np.int32)
     key = np.zeros(n, np.int64)
     padded = np.concatenate([symbols.astype(np.int64), np.zeros(_FIRST, np.int64)])
     for ahead in range(_FIRST):
         key = key << 9 | np.where(left >= ahead, padded[ahead : ahead + n], 0)
     order = np.argsort(key)
     slots, keys = np.arange(n), key[order]
-    rank = np.empty(n, np.int64)
+    rank = np.empty(n, np.int32)
     have = _FIRST
     while True:
         new = np.ones(len(slots), bool)
@@ -87,7 +95,7 @@ def suffix_order(symbols: np.ndarray, string: np.ndarray, left: np.ndarray) -> n
         at = order[slots]
         later = at + have
         second = np.where(left[at] >= have, rank[np.minimum(later, n - 1)], string[at])
-        keys = rank[at] << 32 | second
+        keys = rank[at].astype(np.int64) << 32 | second
         again = np.argsort(keys)
         order[slots], keys = at[again], keys[again]
         have *= 2
@@ -179,15 +187,22 @@ def strings_of(texts: pa.Array, config: IndexConfig) -> tuple[np.ndarray, ...]:
         none = np.zeros(0, np.int64)
         return none, none, none, none, none.astype(bool)
     start = np.arange(len(data) - m + 1)
-    least, place = sliding_least(RunHashes(data)(start, start + m), window - m + 1)
+    hashes = least = RunHashes(data)(start, start + m)
+    have, width = 1, window - m + 1
+    while have < width:
+        step = min(have, width - have)
+        least = np.minimum(least[: len(least) - step], least[step:])
+        have += step
+    # Where a window begins with its anchor, the next window has its anchor elsewhere.
+    leaves = hashes[: len(least)] == least
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     at = np.flatnonzero(text[: len(least)] == text[window - 1 :])
-    least, place, text = least[at], place[at], text[at]
+    least, leaves, text = least[at], leaves[at], text[at]
     number = at - offsets[text]
     new = np.ones(len(at), bool)
     new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1]) | (number[1:] % config.longest == 0)
     moved = np.zeros(len(at), bool)
-    moved[1:] = ~new[1:] & (place[1:] != place[:-1])
+    moved[1:] = ~new[1:] & leaves[:-1]
     first = np.flatnonzero(new)
     length = np.diff(np.append(first, len(at)))
     repeats = np.add.reduceat(moved.astype(np.int64), first) > 0 if len(first) else np.zeros(0, bool)
@@ -200,41 +215,37 @@ _KEYS = ("k1", "k2")
 def _documents(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(id, text, k1, k2): the keys are 128 bits of a text's SHA-256, as numbers."""
     digest = F.sha2(F.coalesce(F.col(text_column), F.lit("")), 256)
-    half = lambda at: F.conv(F.substring(digest, at, 16), 16, -10).cast("long")
+    def half(at: int) -> Column:
+        # Never null, so that joins add no filter of their own and the texts are shuffled once for all of them.
+        return F.coalesce(F.conv(F.substring(digest, at, 16), 16, -10).cast("long"), F.lit(0).cast("long"))
+
     return df.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), half(1).alias("k1"), half(17).alias("k2")
     )
 
 
-def _places(documents: DataFrame, config: IndexConfig) -> DataFrame:
-    """(id, k1, k2, anchors, firsts, lengths, repeats) of every row whose text has at least one window."""
-    kinds = {"anchors": pa.int64(), "firsts": pa.int64(), "lengths": pa.int32(), "repeats": pa.bool_()}
-    schema = StructType([documents.schema[name] for name in ("id", *_KEYS)])
-    for name, kind in zip(kinds, (LongType(), LongType(), IntegerType(), BooleanType()), strict=True):
-        schema = schema.add(name, ArrayType(kind))
+def _strings(speaking: DataFrame, config: IndexConfig) -> DataFrame:
+    """(anchor, d, packed, weight) of every string; an anchor whose weights sum to more than 1 may hold repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                text, *found = strings_of(part.column("text"), config)
-                owners, begin = np.unique(text, return_index=True)
-                offsets = pa.array(np.append(begin, len(text)), pa.int32())
-                arrays = [part.column(name).take(pa.array(owners)) for name in ("id", *_KEYS)]
-                arrays += [
-                    pa.ListArray.from_arrays(offsets, pa.array(values, kind))
-                    for values, kind in zip(found, kinds.values(), strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+                text, anchor, first, length, repeats = strings_of(part.column("text"), config)
+                weight = np.where(repeats, 2 + length // config.window, 1)
+                arrays = [anchor, part.column("d").to_numpy()[text], (first * _LENGTHS + length) * 2 + repeats, weight]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a, pa.int64()) for a in arrays], names=["anchor", "d", "packed", "weight"]
+                )
 
-    return documents.mapInArrow(run, schema)
+    return speaking.select("d", "text").mapInArrow(run, "anchor long, d long, packed long, weight long")
 
 
 def _cut(found: DataFrame, config: IndexConfig) -> DataFrame:
-    """(anchor, part, parts, id, k1, k2, first, packed): the bytes of each chosen string."""
-    schema = StructType().add("anchor", "long").add("part", "long").add("parts", "long")
+    """(anchor, part, split, inside, id, k1, k2, first, bytes): each chosen string, of a split bucket or not."""
+    schema = StructType().add("anchor", "long").add("part", "long").add("split", "boolean").add("inside", "boolean")
     for name in ("id", *_KEYS):
         schema = schema.add(found.schema[name])
-    schema = schema.add("first", "long").add("packed", "binary")
+    schema = schema.add("first", "long").add("bytes", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -253,12 +264,14 @@ def _cut(found: DataFrame, config: IndexConfig) -> DataFrame:
                 chosen = part.column("chosen")
                 flat = chosen.flatten()
                 owner = np.repeat(np.arange(part.num_rows), np.diff(chosen.offsets.to_numpy()))
-                first, length, parts = (flat.field(n).to_numpy().astype(np.int64) for n in ("first", "length", "parts"))
+                packed, parts = (flat.field(n).to_numpy() for n in ("packed", "parts"))
+                inside, packed = packed % 2 == 1, packed // 2
+                first, length = packed // _LENGTHS, packed % _LENGTHS
                 begin = offsets[owner] + first
                 end = begin + length + config.window - 1
                 raw = data.tobytes()
                 spread = (keys[0][owner] ^ (first * 0x9E3779B1)) & 0x7FFFFFFF
-                arrays = [flat.field("anchor"), pa.array(spread % parts), pa.array(parts)]
+                arrays = [flat.field("anchor"), pa.array(spread % parts), pa.array(parts > 1), pa.array(inside)]
                 arrays += [part.column(name).take(pa.array(owner)) for name in ("id", *_KEYS)]
                 arrays.append(pa.array(first))
                 arrays.append(pa.array([raw[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary()))
@@ -275,48 +288,50 @@ def _mark(table: pa.Table, config: IndexConfig, names: list[str]) -> pa.RecordBa
 
     Rows with a ``key`` are windows of split buckets, each at its first place within the part.
     """
-    column = {name: table.column(name).to_numpy() for name in ("anchor", "part", "parts", *_KEYS, "first")}
-    packed = table.column("packed").combine_chunks()
-    size = np.diff(np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1])
-    raw, offsets = utf8(packed)
     window = config.window
-    ends = np.cumsum(size + 1) - 1
-    begins = ends - size
-    data = np.zeros(int(ends[-1]) + 1, np.uint8)
-    data[np.arange(len(raw)) + np.repeat(np.arange(len(size)), size)] = raw
-
-    # A string that another row of the same document brought already is left out, with all its windows.
-    again = np.zeros(len(size), bool)
-    again[1:] = np.logical_and.reduce([np.diff(column[k]) == 0 for k in ("anchor", "part", *_KEYS, "first")])
-    windows = np.where(again, 0, size - window + 1)
-    row = np.repeat(np.arange(len(size)), windows)
-    place = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows) + begins[row]
-    all_windows = size - window + 1
-    if again.any():
-        every = np.repeat(np.arange(len(size)), all_windows)
-        starts = np.arange(len(every)) - np.repeat(np.cumsum(all_windows) - all_windows, all_windows) + begins[every]
-    else:
-        starts = place
-    index = RunIndex.of(data, ends)
-    first = first_places(index, starts, len(data), window)
-    if again.any():
-        first = first[~again[every]]
-    repeated = first != place
-    at = column["first"][row] + place - begins[row]
+    anchor, k1, k2, starts = (table.column(name).to_numpy() for name in ("anchor", *_KEYS, "first"))
+    split, inside = (table.column(name).to_numpy() for name in ("split", "inside"))
+    strings = table.column("bytes").to_pylist()
+    size = np.fromiter(map(len, strings), np.int64, len(strings))
+
+    # Equal strings are one, the first; all windows of the others start earlier.
+    seen: dict[bytes, int] = {}
+    one = np.fromiter((seen.setdefault(x, i) for i, x in enumerate(strings)), np.int64, len(strings))
+    own = one == np.arange(len(one))
+    copies = np.flatnonzero(~own & ((k1 != k1[one]) | (k2 != k2[one]) | (starts != starts[one])))
+
+    # A string alone in its bucket, with its anchor at one place, holds no window twice.
+    rows = np.flatnonzero(own)
+    new = np.ones(len(rows) + 1, bool)
+    new[1:-1] = np.diff(anchor[rows]) != 0
+    rows = rows[~(new[:-1] & new[1:]) | inside[rows] | split[rows]]
+    row, place, at, repeated = (np.zeros(0, np.int64) for _ in range(4))
+    data = b"".join(strings[i] + b"\x00" for i in rows.tolist())
+    if len(rows):
+        lengths = size[rows]
+        ends = np.cumsum(lengths + 1) - 1
+        begins, windows = ends - lengths, lengths - window + 1
+        number = np.repeat(np.arange(len(rows)), windows)
+        within = np.arange(len(number)) - np.repeat(np.cumsum(windows) - windows, windows)
+        place, row = within + begins[number], rows[number]
+        at = starts[row] + within
+        index = RunIndex.of(np.frombuffer(data, np.uint8), ends)
+        repeated = first_places(index, place, len(data), window) != place
 
     hit = np.flatnonzero(repeated)
     joins = np.zeros(len(hit), bool)
     joins[1:] = (row[hit[1:]] == row[hit[:-1]]) & (at[hit[1:]] - at[hit[:-1]] <= window)
     opens = np.flatnonzero(~joins)
     closes = np.append(opens[1:], len(hit)) - 1 if len(opens) else opens
-    alone = np.flatnonzero(~repeated & (column["parts"][row] > 1))
-    bytes_of = data.tobytes()
-    hashed = [xxhash.xxh3_128_digest(bytes_of[p : p + window]) for p in place[alone].tolist()]
-    rows = np.concatenate([row[hit[opens]], row[alone]])
-    arrays = [table.column(name).combine_chunks().take(pa.array(rows)) for name in ("id", *_KEYS)]
-    arrays.append(pa.array(np.concatenate([at[hit[opens]], at[alone]]), pa.int64()))
-    arrays.append(pa.array(np.concatenate([at[hit[closes]], at[alone]]) + window, pa.int64()))
-    arrays.append(pa.array([None] * len(opens) + hashed, pa.binary()))
+    alone = np.flatnonzero((repeated == 0) & split[row])
+    hashed = [xxhash.xxh3_128_digest(data[p : p + window]) for p in place[alone].tolist()]
+    owner = np.concatenate([copies, row[hit[opens]], row[alone]])
+    arrays = [table.column(name).combine_chunks().take(pa.array(owner)) for name in ("id", *_KEYS)]
+    arrays.append(pa.array(np.concatenate([starts[copies], at[hit[opens]], at[alone]]), pa.int64()))
+    arrays.append(
+        pa.array(np.concatenate([(starts + size)[copies], at[hit[closes]] + window, at[alone] + window]), pa.int64())
+    )
+    arrays.append(pa.array([None] * (len(copies) + len(opens)) + hashed, pa.binary()))
     return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
@@ -332,11 +347,11 @@ def _marked(strings: DataFrame, config: IndexConfig) -> DataFrame:
             anchor, part = (batch.column(name).to_numpy() for name in ("anchor", "part"))
             changes = np.flatnonzero((np.diff(anchor) != 0) | (np.diff(part) != 0)) + 1
             bounds = np.concatenate([[0], changes, [batch.num_rows]]) if batch.num_rows else np.zeros(1, int)
-            sizes = np.cumsum(np.concatenate([[0], np.diff(utf8(batch.column("packed"))[1])]))
+            sizes = np.cumsum(np.concatenate([[0], np.diff(utf8(batch.column("bytes"))[1])]))
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 group = int(anchor[a]), int(part[a])
-                # Parts of buckets stay whole: one that goes on from the batch before belongs to what is held.
-                if weight >= config.index_bytes and group != last:
+                # Parts of buckets stay whole, and two parts of one bucket apart: places are compared in an index.
+                if held and group != last and (weight >= config.index_bytes or group[0] == last[0]):
                     yield _mark(pa.Table.from_batches(held), config, schema.names)
                     held, weight = [], 0
                 held.append(batch.slice(a, b - a))
@@ -355,43 +370,28 @@ def remove_earlier_repeats(
 ) -> DataFrame:
     """(id, n_bytes, n_removed, spans, kept) of every row: removed byte ranges, and the bytes that are left."""
     documents = _documents(df, id_column, text_column)
-    # One row for each content, combined before the shuffle: its copies have the same strings.
-    strings = F.struct("anchors", "firsts", "lengths", "repeats")
-    contents = (
-        _places(documents, config)
-        .groupBy(*_KEYS)
-        .agg(F.min(F.struct("id")).alias("f"), F.first(strings).alias("s"))
-        .select(F.monotonically_increasing_id().alias("d"), *_KEYS, F.col("f.id").alias("first_id"), "s.*")
-    )
-    own = Workspace(df.sparkSession, "run-index").save(contents, "places")
-    each = own.select(
-        "d", F.explode(F.arrays_zip("anchors", "firsts", "lengths", "repeats")).alias("s")
-    ).select(
-        "d",
-        F.col("s.anchors").alias("anchor"),
-        F.col("s.firsts").alias("first"),
-        F.col("s.lengths").alias("length"),
-        F.col("s.repeats").alias("repeats"),
-    )
+    contents = documents.groupBy(*_KEYS).agg(F.min(F.struct("id")).alias("first"))
+    contents = contents.select(F.monotonically_increasing_id().alias("d"), *_KEYS, F.col("first.id").alias("first_id"))
+    contents = Workspace(df.sparkSession, "run-index").save(contents, "contents")
+    # The other condition never holds; it keeps ids out of the join keys, so that all joins share one shuffle of texts.
+    is_first = F.col("id").eqNullSafe(F.col("first_id")) | F.col("d").isNull()
+    strings = _strings(documents.join(contents, [*_KEYS]).where(is_first), config)
+    # A part's strings have about two windows' bytes each.
     repeated = (
-        each.groupBy("anchor")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max("repeats").alias("inside"),
-            F.sum(F.col("length") + (config.window - 1)).alias("bytes"),
-        )
-        .where((F.col("n") > 1) | F.col("inside"))
-        .select("anchor", F.ceil(F.col("bytes") / config.part_bytes).alias("parts"))
+        strings.groupBy("anchor")
+        .agg(F.sum("weight").alias("weight"))
+        .where("weight > 1")
+        .select("anchor", F.ceil(F.col("weight") * (2 * config.window) / config.part_bytes).alias("parts"))
     )
     chosen = (
-        each.select("d", "anchor", "first", "length")
+        strings.select("anchor", "d", "packed")
         .join(repeated, "anchor")
         .groupBy("d")
-        .agg(F.collect_set(F.struct("first", "length", "parts", "anchor")).alias("chosen"))
-        .join(own.select("d", *_KEYS, "first_id"), "d")
-        .drop("d")
+        .agg(F.collect_set(F.struct("packed", "parts", "anchor")).alias("chosen"))
+        .join(contents, "d")
+        .select("d", *_KEYS, "first_id", "chosen")
     )
-    speaking = documents.join(chosen, [*_KEYS]).where(F.col("id").eqNullSafe(F.col("first_id")))
+    speaking = documents.join(chosen, [*_KEYS]).where(is_first)
     marked = _marked(_cut(speaking, config), config)
     # One grouping for both kinds of rows: ranges stand alone, windows meet the same window of other parts.
     group = Window.partitionBy("key", *[F.when(F.col("key").isNull(), F.col(k)) for k in (*_KEYS, "begin")])
@@ -400,13 +400,10 @@ def remove_earlier_repeats(
         F.col("key").isNull() | (place != F.col("least"))
     )
     ranges = gone.groupBy(*_KEYS).agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
-    found = own.select(*_KEYS, "first_id", F.lit(True).alias("whole")).join(ranges, [*_KEYS], "left")
+    found = contents.join(ranges, [*_KEYS], "left")
     none = F.array().cast("array<struct<begin:bigint,end:bigint>>")
-    joined = documents.join(found, [*_KEYS], "left").select(
-        "id",
-        "text",
-        F.coalesce("ranges", none).alias("ranges"),
-        (F.col("whole").isNotNull() & ~F.col("id").eqNullSafe(F.col("first_id"))).alias("copy"),
+    joined = documents.join(found, [*_KEYS]).select(
+        "id", "text", F.coalesce("ranges", none).alias("ranges"), (~is_first).alias("copy")
     )
     return _kept(joined, config).withColumnRenamed("id", id_column)
 
@@ -428,7 +425,7 @@ def _kept(joined: DataFrame, config: IndexConfig) -> DataFrame:
             for part in slices(batch, "text"):
                 data, offsets = utf8(part.column("text"))
                 size = np.diff(offsets)
-                copy = part.column("copy").to_numpy(zero_copy_only=False)
+                copy = part.column("copy").to_numpy(zero_copy_only=False) & (size >= config.window)
                 ranges = part.column("ranges")
                 flat = ranges.flatten()
                 owner = np.repeat(np.arange(part.num_rows), np.diff(ranges.offsets.to_numpy()))
