@@ -52,7 +52,7 @@ class IndexConfig:
     longest: int = 4096
     #: Bytes of strings in one index, and in one part of a split bucket, about.
     index_bytes: int = 1 << 18
-    part_bytes: int = 1 << 19
+    part_bytes: int = 1 << 20
 
     def __post_init__(self) -> None:
         if not 1 <= self.anchor <= self.window:
@@ -376,12 +376,12 @@ def remove_earlier_repeats(
     # The other condition never holds; it keeps ids out of the join keys, so that all joins share one shuffle of texts.
     is_first = F.col("id").eqNullSafe(F.col("first_id")) | F.col("d").isNull()
     strings = _strings(documents.join(contents, [*_KEYS]).where(is_first), config)
-    # A part's strings have about two windows' bytes each.
+    # Strings have about one and a half windows' bytes each.
     repeated = (
         strings.groupBy("anchor")
         .agg(F.sum("weight").alias("weight"))
         .where("weight > 1")
-        .select("anchor", F.ceil(F.col("weight") * (2 * config.window) / config.part_bytes).alias("parts"))
+        .select("anchor", F.ceil(F.col("weight") * (1.5 * config.window) / config.part_bytes).alias("parts"))
     )
     chosen = (
         strings.select("anchor", "d", "packed")
