@@ -76,6 +76,9 @@ class RoutingConfig:
     # Batches of the first slice, before any real cost is known, and of any later slice.
     first_slice: int = 8
     most_slice: int = 100_000
+    # Buckets of merged parts of the result log, and how many new slices are merged at once.
+    log_buckets: int = 64
+    slices_to_merge: int = 32
     # How often a failed batch is asked again by the incremental form.
     attempts: int = 3
     # Free text that callers change when their classifier or its instructions change.

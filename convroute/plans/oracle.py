@@ -384,6 +384,10 @@ def queries() -> dict[str, str]:
             f"SELECT id, batch FROM batched WHERE batch IN (SELECT batch FROM plan WHERE before >= {_BUDGET_UNITS})",
             "stage2", "ctx", extra=_PLAN,
         ),
+        "resume_compacted": _with(
+            f"SELECT id, batch FROM batched WHERE batch IN (SELECT batch FROM plan WHERE before >= {_BUDGET_UNITS})",
+            "stage2", "ctx", extra=_PLAN,
+        ),
         "refine_candidates": _with("SELECT id, label, source, reason FROM final WHERE confidence = 'low'", "final"),
         "refine_pass": _with(refined, "final"),
         "all_results": _with(

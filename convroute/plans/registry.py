@@ -16,7 +16,7 @@ from convroute.operators import audits, authors, context, merge, numbering, requ
 from convroute.operators.standin import fill_with_standin, offline_classifier
 from convroute.plans import sample
 from convroute.plans.run import local_stages, model_pass, run_routing
-from convroute.sinks import tables
+from convroute.sinks import keyed_log, tables
 from convroute.sinks.result_log import append_slice, log_rows, write_json_log
 from convroute.sources import threads as thread_source
 from convroute.sources.result_log import read_json_log, read_log
@@ -289,6 +289,29 @@ def resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.pending(asked, read_log(spark, log), fingerprint).select("id", "batch")
 
 
+def resume_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left to ask, looked up in a log of many slices: most of them merged into runs, the last not yet."""
+    workspace = Workspace(spark, "resume-compacted")
+    fingerprint = SMALL_BUDGET.fingerprint(FIRST_PASS_MODEL)
+    batched = workspace.save(_batched(spark, sf_dir, workspace), "batched-again")
+    calls = requests.estimate_tokens(requests.build_requests(batched, CONFIG)).withColumn(
+        "model", F.lit(FIRST_PASS_MODEL)
+    )
+    calls = calls.select("batch", "model", "prompt_tokens", "output_tokens", "thinking_tokens")
+    ran = requests.budget_plan(calls, SMALL_BUDGET).where("runs").select("batch")
+    answers = fill_with_standin(requests.with_asked(batched, CONFIG))
+    finished = workspace.save(answers.join(ran, "batch", "left_semi"), "finished")
+    log = workspace.folder("log")
+    # Rows of a run under other settings do not count as done.
+    append_slice(answers, log, CONFIG.fingerprint(REFINE_MODEL), "other")
+    for part in range(4):
+        append_slice(finished.where(F.col("batch") % 4 == part), log, fingerprint, f"stopped-{part}")
+        if part in (1, 2):
+            keyed_log.compact(spark, log, buckets=8, fanout=1)
+    asked = requests.with_asked(batched, CONFIG)
+    return keyed_log.pending(asked, log, fingerprint).select("id", "batch")
+
+
 def refine_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.refine_candidates(_labelled(spark, sf_dir)).select("id", "label", "source", "reason")
 
@@ -455,7 +478,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ingest_threads, ingest_json_array, flatten_messages, read_result_log, author_split, first_n_threads, message_context,
         signals, signals_documents, router_stage, residual_after_router, sentiment_scores, normalise_sentiment,
         sentiment_stage, residual_after_sentiment, offline_model_labels, brand_rows, assign_batches, batch_prompts,
-        batch_cost, budget_plan, model_stage, merge_responses, response_quality, resume_pending, refine_candidates,
+        batch_cost, budget_plan, model_stage, merge_responses, response_quality, resume_pending, resume_compacted, refine_candidates,
         refine_pass, full_run, written_summary, all_results, merge_last_wins, labels_output, labels_csv_roundtrip, thread_summary,
         thread_summary_label_order, label_distribution, stage_coverage, reason_breakdown, seed_collision_audit,
         incremental_triage, incremental_context, incremental_model_stage, incremental_thread_summary,

@@ -15,8 +15,8 @@ from convroute.operators import audits, merge, requests, responses, rollup, stag
 from convroute.operators.numbering import assign_batches
 from convroute.operators.requests import ClassifierFactory
 from convroute.operators.stages import ScorerFactory
+from convroute.sinks import keyed_log
 from convroute.sinks.result_log import append_slice
-from convroute.sources.result_log import read_log
 from convroute.sources.threads import first_threads
 from convroute.workspace import Workspace
 
@@ -129,7 +129,8 @@ def model_pass(
     fingerprint = config.fingerprint(model, source)
     name = f"{source}-{uuid.uuid4().hex[:8]}"
     asked_of = requests.with_asked(todo, config)
-    open_rows = workspace.save(merge.pending(asked_of, read_log(spark, log_path), fingerprint), f"{name}-open")
+    keyed_log.compact(spark, log_path, config.log_buckets, at_least=config.slices_to_merge)
+    open_rows = workspace.save(keyed_log.pending(asked_of, log_path, fingerprint), f"{name}-open")
     batched = assign_batches(open_rows, config.batch_size, workspace, f"{name}-batched")
     asked = workspace.save(
         requests.build_requests(batched, config).repartitionByRange("batch").sortWithinPartitions("batch"),
@@ -156,7 +157,7 @@ def model_pass(
 
     # One table of all slices: the plan does not grow with their number.
     replies = spark.read.schema(slices[0].schema).parquet(workspace.folder(f"{name}-replies")) if slices else None
-    rows = merge.answered(asked_of, read_log(spark, log_path), fingerprint)
+    rows = keyed_log.answered(asked_of, log_path, fingerprint)
     return ModelPass(rows, replies, spent_usd, asked)
 
 

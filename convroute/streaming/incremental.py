@@ -20,8 +20,8 @@ from convroute.operators.numbering import assign_batches
 from convroute.operators.requests import ClassifierFactory
 from convroute.operators.stages import ScorerFactory
 from convroute.plans.run import local_stages
+from convroute.sinks import keyed_log
 from convroute.sinks.result_log import append_slice
-from convroute.sources.result_log import read_log
 from convroute.streaming.context import with_arriving_context
 from convroute.streaming.folders import numbered_folders
 from convroute.workspace import Workspace
@@ -79,9 +79,17 @@ def start_context(
 
 
 def _left_open(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """What the latest round left to ask again: every round writes all of it."""
-    rounds = numbered_folders(spark, f"{folder}/open", "round")
-    return spark.read.schema(schema).parquet(rounds[-1]) if rounds else spark.createDataFrame([], schema)
+    """What is left to ask again: the latest round that took the whole queue, and what was put behind it since."""
+    number = lambda path: int(path.rsplit("=", 1)[1])
+    rounds = numbered_folders(spark, f"{folder}/open", "round")[-1:]
+    taken = number(rounds[0]) if rounds else -1
+    rounds += [path for path in numbered_folders(spark, f"{folder}/waiting", "round") if number(path) > taken]
+    return spark.read.schema(schema).parquet(*rounds) if rounds else spark.createDataFrame([], schema)
+
+
+def _spent_usd(spark: SparkSession, folder: str) -> Decimal:
+    spent = model_costs(spark, folder)
+    return Decimal((spent.agg(F.sum("cost")).first()[0] or 0) if spent is not None else 0)
 
 
 def failed_messages(spark: SparkSession, state_path: str) -> DataFrame | None:
@@ -106,12 +114,14 @@ def start_model_stage(
 ) -> StreamingQuery:
     """Classify arriving undecided messages, which carry their context, and append to the result log.
 
-    A micro-batch writes its own slice of the log, which a repeat replaces.  Messages whose call failed or that the
-    budget left out are written below ``state_path`` (by default next to the log) and asked again by the next
-    micro-batch, and by the next start even if no file has arrived.  After ``config.attempts`` failures a message
-    goes to ``failed_messages``.  So every message is in the log, open, or visibly failed; answers are never lost
-    when the job stops in between, as what the log already answers is not asked again.  ``model_costs`` has the
-    calls and costs; no round starts once they have reached the budget.
+    Every try of a micro-batch writes a slice of its own and asks only what no slice answers, so a repeat after a
+    crash neither asks twice nor takes back an answer.  Messages whose call failed or that the budget left out wait
+    below ``state_path`` (by default next to the log) and are asked again by the next micro-batch, and by the next
+    start even if no file has arrived.  While the budget is spent, a micro-batch only puts its own messages behind
+    those that wait: it reads neither them nor the log.  A round that may ask takes the whole queue and writes what it
+    leaves.  After ``config.attempts`` failures a message goes to ``failed_messages``.  So every message is in the
+    log, waiting, or visibly failed.  ``model_costs`` has the calls and costs; no round starts once they have reached
+    the budget.  Slices are merged into the keyed log as they gather (see ``keyed_log``).
     """
     spark = open_messages.sparkSession
     model = config.first_pass_model
@@ -119,32 +129,30 @@ def start_model_stage(
     state = state_path or f"{log_path.rstrip('/')}-state"
     stored_schema = T.StructType([*open_messages.schema.fields, T.StructField("attempt", T.IntegerType())])
 
+    def budget_is_spent(own: SparkSession) -> bool:
+        return _spent_usd(own, state) >= Decimal(config.budget_usd)
+
     def classify(batch: DataFrame, slice_name: str, workspace: Workspace) -> None:
         own = batch.sparkSession
         number = time.time_ns()
+        arrived = batch.withColumn("attempt", F.lit(0))
+        if budget_is_spent(own):
+            arrived.write.parquet(f"{state}/waiting/round={number}")
+            return
+        keyed_log.compact(own, log_path, config.log_buckets, at_least=config.slices_to_merge)
         again = _left_open(own, state, stored_schema)
-        both = batch.withColumn("attempt", F.lit(0)).unionByName(again.select(*stored_schema.names))
+        both = arrived.unionByName(again.select(*stored_schema.names))
         # A repeated micro-batch meets messages that its first try has left open already.
         both = both.groupBy(*merge.KEY).agg(F.max_by(F.struct(*stored_schema.names), "attempt").alias("m")).select("m.*")
         asked_of = requests.with_asked(both, config)
-        reach = asked_of.agg(F.min("thread_idx"), F.max("thread_idx")).first()
-        # Only the log's row groups that can hold these threads are read.
-        others = read_log(own, log_path).where(
-            (F.col("slice") != slice_name) & F.col("thread_idx").between(reach[0], reach[1])
-        )
-        todo = workspace.save(merge.pending(asked_of, others, fingerprint), "todo")
-        spent = model_costs(own, state)
-        spent_usd = (spent.agg(F.sum("cost")).first()[0] or 0.0) if spent is not None else 0.0
+        todo = workspace.save(keyed_log.pending(asked_of, log_path, fingerprint), "todo")
         n = todo.count()
-        if n and Decimal(spent_usd) >= Decimal(config.budget_usd):
-            todo.drop("asked").write.parquet(f"{state}/open/round={number}")
-            return
         batched = assign_batches(todo, config.batch_size, workspace)
         tasks = requests.call_tasks(-(-n // config.batch_size), config)
         called = requests.classify_requests(requests.build_requests(batched, config), classifier, tasks)
         replies = workspace.save(called.withColumn("model", F.lit(model)), "replies", requests.ARROW_ROWS)
         parsed = responses.parse_replies(replies)
-        append_slice(responses.merge_replies(parsed), log_path, fingerprint, slice_name)
+        append_slice(responses.merge_replies(parsed), log_path, fingerprint, f"{slice_name}-{number}")
         requests.cost_meter(replies, config).coalesce(1).write.parquet(f"{state}/meter/round={number}")
         lost = parsed.where("not parsed").select(
             F.explode("members").alias("m"), F.coalesce("error", F.lit("unreadable reply")).alias("error")
@@ -162,10 +170,10 @@ def start_model_stage(
         finally:
             workspace.drop()
 
-    if not _left_open(spark, state, stored_schema).isEmpty():
+    if not budget_is_spent(spark) and not _left_open(spark, state, stored_schema).isEmpty():
         workspace = Workspace(spark, "stream-start")
         try:
-            classify(spark.createDataFrame([], open_messages.schema), f"start-{time.time_ns()}", workspace)
+            classify(spark.createDataFrame([], open_messages.schema), "start", workspace)
         finally:
             workspace.drop()
     return (

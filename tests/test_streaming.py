@@ -12,6 +12,7 @@ from convroute.operators.requests import Reply
 from convroute.operators.standin import fill_with_standin, offline_classifier
 from convroute.plans import sample
 from convroute.plans.run import local_stages
+from convroute.sinks import keyed_log
 from convroute.sources.result_log import read_log
 from convroute.streaming import incremental
 
@@ -132,6 +133,66 @@ def test_a_message_is_given_up_in_plain_sight(spark, open_messages, tmp_path):
     assert read_log(spark, log).count() == 0
 
 
+def test_waiting_messages_are_written_once(spark, open_messages, tmp_path):
+    """Fifty micro-batches while the budget is spent: each writes its own messages only, and none is lost."""
+    source, log, checkpoint = (str(tmp_path / n) for n in ("in", "log", "check"))
+    open_messages.repartition(50, "id").write.option("maxRecordsPerFile", 0).parquet(source)
+    schema = spark.read.parquet(source).schema
+
+    def start(config):
+        stream = incremental.read_stream(spark, source, schema, max_files=1)
+        incremental.start_model_stage(stream, offline_classifier, log, checkpoint, config).awaitTermination()
+
+    spent = replace(CONFIG, budget_usd="0")
+    start(spent)
+    waiting = Path(f"{log}-state", "waiting")
+    rounds = [spark.read.parquet(str(folder)).count() for folder in waiting.iterdir()]
+    assert len(rounds) == len(list(Path(source).glob("*.parquet"))) > 40 and sum(rounds) == open_messages.count()
+    before = sorted(waiting.rglob("*.parquet"))
+    # Another start, and a micro-batch that is repeated, add nothing but that micro-batch.
+    start(spent)
+    assert sorted(waiting.rglob("*.parquet")) == before
+    uncommit(checkpoint, len(rounds) - 1)
+    start(spent)
+    assert len(list(waiting.iterdir())) == len(rounds) + 1
+    want = rows(fill_with_standin(open_messages))
+    start(CONFIG)
+    assert rows(read_log(spark, log)) == want
+    start(CONFIG)
+    assert rows(read_log(spark, log)) == want
+
+
+def test_a_repeat_takes_no_answer_back(spark, open_messages, tmp_path):
+    """A micro-batch that answered waiting messages too is repeated after a crash, with its slices merged."""
+    source, log, checkpoint = (str(tmp_path / n) for n in ("in", "log", "check"))
+    open_messages.repartition(4, "id").write.parquet(source)
+    schema = spark.read.parquet(source).schema
+    files = sorted(Path(source).glob("*.parquet"))
+    held = [file.rename(tmp_path / file.name) for file in files[2:]]
+
+    def start(config):
+        stream = incremental.read_stream(spark, source, schema, max_files=1)
+        incremental.start_model_stage(stream, offline_classifier, log, checkpoint, config).awaitTermination()
+
+    config = replace(CONFIG, slices_to_merge=2, log_buckets=2)
+    start(replace(config, budget_usd="0"))
+    for file in held:
+        file.rename(Path(source, file.name))
+    # The start answers what waits; its rows and those of the micro-batches are merged as they gather.
+    start(config)
+    want = rows(fill_with_standin(open_messages))
+    assert rows(keyed_log.read_compacted(spark, log)) == want
+    last = max(int(p.name) for p in Path(checkpoint, "commits").iterdir() if p.name.isdigit())
+    uncommit(checkpoint, last)
+    start(config)
+    assert rows(keyed_log.read_compacted(spark, log)) == want
+    assert keyed_log.log_parts(spark, log).runs
+    keyed_log.vacuum(spark, log)
+    uncommit(checkpoint, last)
+    start(config)
+    assert rows(keyed_log.read_compacted(spark, log)) == want
+
+
 def test_routing_with_a_scorer(spark, sf_check, tmp_path):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
     sample.conversations(spark, sf_check).write.parquet(source)
