@@ -337,6 +337,13 @@ def queries() -> dict[str, str]:
         "ingest_json_array": _with(positions, "msg"),
         "flatten_messages": _with(flat, "msg"),
         "read_result_log": _with(log, "final"),
+        "result_log_rejects": _with(
+            """SELECT CASE author WHEN 'customer' THEN '{"id": "' || id || '", "lab'
+                WHEN 'brand' THEN '{"id": "' || id || '", "batch": "' || turn_index || 'x"}' ELSE 'id ' || id END AS line,
+              CASE author WHEN 'customer' THEN 'cut off' WHEN 'brand' THEN 'wrong type: batch'
+                ELSE 'not an object' END AS reason FROM msg""",
+            "msg",
+        ),
         "author_split": _with(
             "SELECT author, count(*) AS n_messages FROM msg WHERE author IN ('customer', 'brand') GROUP BY author", "msg"
         ),
@@ -400,6 +407,7 @@ def queries() -> dict[str, str]:
         "labels_output": _with(_OUTPUT, "final"),
         "labels_csv_roundtrip": _with(_OUTPUT, "final"),
         "full_run": _with(_OUTPUT, "final"),
+        "published_outputs": _with(_OUTPUT, "final"),
         "written_summary": _with(_summary(DOCUMENTED_ORDER), "final"),
         "thread_summary": _with(_summary(DOCUMENTED_ORDER), "final"),
         "thread_summary_label_order": _with(_summary(LABELS), "final"),

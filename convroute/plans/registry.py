@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convroute import lexicon as lx
-from convroute.config import FIRST_PASS_MODEL, REFINE_MODEL, Precedence, RoutingConfig
+from convroute.config import BRAND, CUSTOMER, FIRST_PASS_MODEL, REFINE_MODEL, Precedence, RoutingConfig
 from convroute.functions.rules import normalised_sentiment, standin_label
 from convroute.functions.signals import with_signals
 from convroute.operators import audits, authors, context, merge, numbering, requests, responses, rollup, stages
@@ -19,7 +19,7 @@ from convroute.plans.run import local_stages, model_pass, run_routing
 from convroute.sinks import keyed_log, tables
 from convroute.sinks.result_log import append_slice, log_rows, write_json_log
 from convroute.sources import threads as thread_source
-from convroute.sources.result_log import read_json_log, read_log
+from convroute.sources.result_log import read_json_log, read_json_log_rejects, read_log
 from convroute.streaming import corrections, incremental
 from convroute.workspace import Workspace
 
@@ -139,6 +139,20 @@ def read_result_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_log(spark, path).drop("batch")
 
 
+def result_log_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bad lines of a log in which every message has left one beside its good line."""
+    workspace = Workspace(spark, "rejects")
+    path = workspace.folder("json")
+    labelled = workspace.save(_labelled(spark, sf_dir), "labelled")
+    write_json_log(log_rows(merge.results(labelled)), path)
+    cut_off = F.concat(F.lit('{"id": "'), F.col("id"), F.lit('", "lab'))
+    wrong_type = F.concat(F.lit('{"id": "'), F.col("id"), F.lit('", "batch": "'), F.col("turn_index"), F.lit('x"}'))
+    damage = F.when(F.col("author") == CUSTOMER, cut_off).when(F.col("author") == BRAND, wrong_type)
+    lines = F.explode(F.array(F.coalesce(damage, F.concat(F.lit("id "), F.col("id"))), F.lit("")))
+    labelled.select(lines.alias("value")).write.mode("append").text(path)
+    return read_json_log_rejects(spark, path).select("line", "reason")
+
+
 def author_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return authors.author_counts(sample.messages(spark, sf_dir))
 
@@ -348,6 +362,17 @@ def written_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/thread_summary")
 
 
+def published_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels that readers see after local stages, then final labels have been published."""
+    workspace = Workspace(spark, "published")
+    staged = workspace.save(_staged(spark, sf_dir), "staged")
+    out = workspace.folder("out")
+    for labelled in (staged, fill_with_standin(staged)):
+        tables.publish_outputs(merge.labels_output(labelled), rollup.thread_summary(labelled), out)
+    tables.drop_older_outputs(spark, out)
+    return spark.read.parquet(f"{tables.current_outputs(spark, out)}/labels")
+
+
 # --- Merged results -------------------------------------------------------------------------------
 
 
@@ -475,11 +500,11 @@ def incremental_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        ingest_threads, ingest_json_array, flatten_messages, read_result_log, author_split, first_n_threads, message_context,
+        ingest_threads, ingest_json_array, flatten_messages, read_result_log, result_log_rejects, author_split, first_n_threads, message_context,
         signals, signals_documents, router_stage, residual_after_router, sentiment_scores, normalise_sentiment,
         sentiment_stage, residual_after_sentiment, offline_model_labels, brand_rows, assign_batches, batch_prompts,
         batch_cost, budget_plan, model_stage, merge_responses, response_quality, resume_pending, resume_compacted, refine_candidates,
-        refine_pass, full_run, written_summary, all_results, merge_last_wins, labels_output, labels_csv_roundtrip, thread_summary,
+        refine_pass, full_run, written_summary, published_outputs, all_results, merge_last_wins, labels_output, labels_csv_roundtrip, thread_summary,
         thread_summary_label_order, label_distribution, stage_coverage, reason_breakdown, seed_collision_audit,
         incremental_triage, incremental_context, incremental_model_stage, incremental_thread_summary,
         incremental_corrections,

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from convroute.operators.merge import KEY
+from convroute.streaming.folders import numbered_folders
 
 BOM = "﻿"
 
@@ -52,3 +55,42 @@ def write_outputs(labels: DataFrame, summary: DataFrame, path: str, format: str
             write_csv(df, f"{path}/{name}")
         else:
             in_corpus_order(df).write.mode("overwrite").format(format).save(f"{path}/{name}")
+
+
+def publish_outputs(labels: DataFrame, summary: DataFrame, path: str, format: str = "parquet") -> str:
+    """Labels and thread summary as one new version below ``path``; returns its folder.
+
+    Nothing is overwritten: the version becomes the current one by a mark that is written after both tables are
+    complete, so readers of ``current_outputs`` see both tables of one run or both of another, whenever a job dies.
+    """
+    number = time.time_ns()
+    folder = f"{path}/version={number}"
+    write_outputs(labels, summary, folder, format)
+    named = labels.sparkSession.createDataFrame([(f"version={number}", format)], "folder string, format string")
+    named.coalesce(1).write.json(f"{path}/_published/version={number}")
+    return folder
+
+
+def current_outputs(spark: SparkSession, path: str) -> str | None:
+    """The folder that holds ``labels`` and ``thread_summary`` of the latest complete version; None if there is none."""
+    published = numbered_folders(spark, f"{path}/_published", "version")[-1:]
+    return f"{path}/{published[0].rsplit('/', 1)[1]}" if published else None
+
+
+def drop_older_outputs(spark: SparkSession, path: str) -> None:
+    """Delete versions before the current one, and what jobs that died before its publication left.
+
+    Run it when no job reads an older version.
+    """
+    current = current_outputs(spark, path)
+    if current is None:
+        return
+    number = int(current.rsplit("=", 1)[1])
+    jvm = spark.sparkContext._jvm
+    for below in (path, f"{path}/_published"):
+        at = jvm.org.apache.hadoop.fs.Path(below)
+        fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in fs.listStatus(at):
+            name = status.getPath().getName()
+            if name.startswith("version=") and int(name.split("=")[1]) < number:
+                fs.delete(status.getPath(), True)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RESULT_SCHEMA = T.StructType(
@@ -36,6 +37,8 @@ LOG_SCHEMA = T.StructType(
     ]
 )
 
+_CORRUPT = "_corrupt_line"
+
 
 def _or_empty(spark: SparkSession, schema: T.StructType, read: Callable[[], DataFrame]) -> DataFrame:
     try:
@@ -47,11 +50,49 @@ def _or_empty(spark: SparkSession, schema: T.StructType, read: Callable[[], Data
 
 
 def read_json_log(spark: SparkSession, path: str) -> DataFrame:
-    """Read a JSON-lines log; blank, malformed and cut-off lines are skipped, a missing log is empty."""
+    """Read a JSON-lines log; blank, malformed and cut-off lines are skipped, a missing log is empty.
+
+    A line with a value that its column cannot hold is skipped by readers of that column only: Spark parses the columns
+    that are wanted.  ``read_json_log_rejects`` lists all such lines.
+    """
     reader = spark.read.schema(RESULT_SCHEMA).option("mode", "DROPMALFORMED")
     return _or_empty(spark, RESULT_SCHEMA, lambda: reader.json(path))
 
 
+def read_json_log_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line, reason``: the lines that ``read_json_log`` leaves out, blank ones aside.
+
+    Reasons: ``not an object``; ``cut off`` (no closing brace); ``wrong type: <columns>`` (a value that its column
+    cannot hold); ``not JSON``.  All columns are parsed, as a value is only judged by a reader that wants it.
+    """
+    schema = T.StructType([*RESULT_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
+    reader = spark.read.schema(schema).options(mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT)
+    empty = f"file string, {', '.join(f'{f.name} {f.dataType.simpleString()}' for f in schema)}"
+    try:
+        read = reader.json(path).select(F.col("_metadata.file_path").alias("file"), *schema.names)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        read = spark.createDataFrame([], empty)
+    line = F.trim(_CORRUPT)
+    wrong = F.array_compact(
+        F.array(
+            *[
+                F.when(F.col(c).isNull() & F.get_json_object(_CORRUPT, f"$.{c}").isNotNull(), F.lit(c))
+                for c in RESULT_SCHEMA.names
+            ]
+        )
+    )
+    reason = (
+        F.when(~line.startswith("{"), "not an object")
+        .when(~line.endswith("}"), "cut off")
+        .when(F.size(wrong) > 0, F.concat(F.lit("wrong type: "), F.array_join(wrong, ", ")))
+        .otherwise("not JSON")
+    )
+    rejects = read.where(F.col(_CORRUPT).isNotNull() & (line != ""))
+    return rejects.select("file", F.col(_CORRUPT).alias("line"), reason.alias("reason"))
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """Read the Parquet log that ``sinks.result_log`` appends to; a missing log is empty."""
     return _or_empty(spark, LOG_SCHEMA, lambda: spark.read.schema(LOG_SCHEMA).parquet(path))

@@ -167,3 +167,61 @@ def test_workspace_is_below_the_shared_folder(spark):
     assert Path(w.folder("x")).exists()
     w.drop()
     assert not Path(w.path).exists()
+
+
+def test_rejected_lines_have_a_place_and_a_reason(spark, tmp_path):
+    log = tmp_path / "log"
+    assert result_log.read_json_log_rejects(spark, str(log)).isEmpty()
+    log.mkdir()
+    good = '{"id": "1:0", "thread_idx": 1, "turn_index": 0, "label": "spam", "batch": null, "more": [1]}'
+    bad = {
+        '{"id": "1:1", "label": "sp': "cut off",
+        '{"id": "1:2", "batch": "x", "seed_id": {"a": 1}, "label": 5}': "wrong type: seed_id, batch",
+        '{"id" "1:3"}': "not JSON",
+        "plain text": "not an object",
+        "7": "not an object",
+        '"{"': "not an object",
+    }
+    for n, lines in enumerate((list(bad)[:3], list(bad)[3:])):
+        (log / f"part-{n}.json").write_text("\n".join([good, *lines, "", "   ", good]), encoding="utf-8")
+    found = {r.line: (Path(r.file).name, r.reason) for r in result_log.read_json_log_rejects(spark, str(log)).collect()}
+    want = {line: (f"part-{n // 3}.json", reason) for n, (line, reason) in enumerate(bad.items())}
+    assert found == want
+    assert len(result_log.read_json_log(spark, str(log)).collect()) == 4
+
+
+def test_a_pair_is_published_as_one(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    table = lambda n: spark.createDataFrame([(n, 0)], "thread_idx long, turn_index long")
+
+    def pair():
+        folder = tables.current_outputs(spark, out)
+        return folder and [spark.read.parquet(f"{folder}/{t}").first()[0] for t in ("labels", "thread_summary")]
+
+    class Lost(Exception):
+        pass
+
+    real = tables.in_corpus_order
+
+    def dies_at(call):
+        calls = iter(range(9))
+
+        def sort(df):
+            if next(calls) == call:
+                raise Lost
+            return real(df)
+
+        return sort
+
+    assert pair() is None
+    for n, before in ((1, None), (2, [1, 1])):
+        for call in (0, 1):
+            with monkeypatch.context() as broken:
+                broken.setattr(tables, "in_corpus_order", dies_at(call))
+                with pytest.raises(Lost):
+                    tables.publish_outputs(table(9), table(9), out)
+            assert pair() == before
+        tables.publish_outputs(table(n), table(n), out)
+        assert pair() == [n, n]
+    tables.drop_older_outputs(spark, out)
+    assert pair() == [2, 2] and len(list(Path(out).glob("version=*"))) == 1
