@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from convroute.config import RoutingConfig
@@ -10,6 +10,20 @@ from convroute.config import RoutingConfig
 FIRST_MESSAGE = "(first message in thread)"
 
 
+def prior_turns(ordered: WindowSpec, turns: int, at_home: Column) -> Column:
+    """The lines of the ``turns`` turns before each one, over a window of one chunk in order of turns.
+
+    A turn that is ``at_home`` in the chunk and doesn't follow the one before it fails the job.
+    """
+    line = F.concat(F.coalesce("author", F.lit("None")), F.lit(": "), F.coalesce("text", F.lit("None")))
+    found = F.collect_list(line).over(ordered.rangeBetween(-turns, -1))
+    if not turns:
+        return found
+    before = F.coalesce(F.lag("turn_index").over(ordered), F.lit(-1))
+    told = F.concat(F.lit("no turn just before "), F.concat_ws(":", "thread_idx", "turn_index"))
+    return F.when(at_home & (before != F.col("turn_index") - 1), F.raise_error(told)).otherwise(found)
+
+
 def with_context(messages: DataFrame, config: RoutingConfig = RoutingConfig()) -> DataFrame:
     """Add ``context``: the up to ``context_turns`` turns before each message, oldest first, any author.
 
@@ -28,18 +42,11 @@ def with_context(messages: DataFrame, config: RoutingConfig = RoutingConfig()) -
         "__chunk",
         F.explode(F.when(lent, F.array(F.col("__home"), F.col("__home") + 1)).otherwise(F.array("__home"))),
     )
-    ordered = Window.partitionBy("thread_idx", "__chunk").orderBy("turn_index")
-    prior = ordered.rangeBetween(-turns, -1)
-    line = F.concat(F.coalesce("author", F.lit("None")), F.lit(": "), F.coalesce("text", F.lit("None")))
-    found = F.collect_list(line).over(prior)
-    if turns:
-        before = F.coalesce(F.lag("turn_index").over(ordered), F.lit(-1))
-        gap = (F.col("__chunk") == F.col("__home")) & (before != F.col("turn_index") - 1)
-        told = F.concat(F.lit("no turn just before "), F.concat_ws(":", "thread_idx", "turn_index"))
-        found = F.when(gap, F.raise_error(told)).otherwise(found)
+    at_home = F.col("__chunk") == F.col("__home")
+    found = prior_turns(Window.partitionBy("thread_idx", "__chunk").orderBy("turn_index"), turns, at_home)
     return (
         spread.withColumn("context", found)
-        .where(F.col("__chunk") == F.col("__home"))
+        .where(at_home)
         .drop("__chunk", "__home")
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,14 +53,17 @@ def last_wins(rows: DataFrame, order: str | Column = "pass_no") -> DataFrame:
     return rows.groupBy(*KEY).agg(latest).select(*KEY, "__row.*").select(*rows.columns)
 
 
-def attach_labels(staged: DataFrame, model_rows: DataFrame) -> DataFrame:
+def attach_labels(
+    staged: DataFrame, model_rows: DataFrame, attach: Callable[[DataFrame, DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Fill labels from classifier rows, which win over what the message already carries.
 
     All messages stay.  The key is unique on both sides, so no key is hot; only classifier rows take part
-    in the join, the other stages' labels travel with the message.
+    in the join, the other stages' labels travel with the message.  ``attach`` makes the left join by another way
+    than a shuffle of both sides: ``MessageStore.attach_rows``, for messages of a store.
     """
     found = model_rows.select(*KEY, F.struct(*LABEL_COLUMNS).alias("__found"))
-    merged = staged.join(found, list(KEY), "left")
+    merged = staged.join(found, list(KEY), "left") if attach is None else attach(staged, found)
     hit = F.col("__found").isNotNull()
     return merged.withColumns(
         {c: F.when(hit, F.col(f"__found.{c}")).otherwise(F.col(c)) for c in LABEL_COLUMNS}

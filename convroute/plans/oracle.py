@@ -406,6 +406,9 @@ def queries() -> dict[str, str]:
         ),
         "labels_output": _with(_OUTPUT, "final"),
         "labels_csv_roundtrip": _with(_OUTPUT, "final"),
+        "stored_context": _with(f"SELECT id, n_context::INTEGER AS n_context, {BLOCK} AS context_block FROM ctx", "ctx"),
+        "stored_labels": _with(_OUTPUT, "final"),
+        "stored_summary": _with(_summary(DOCUMENTED_ORDER), "final"),
         "full_run": _with(_OUTPUT, "final"),
         "published_outputs": _with(_OUTPUT, "final"),
         "written_summary": _with(_summary(DOCUMENTED_ORDER), "final"),
@@ -413,6 +416,11 @@ def queries() -> dict[str, str]:
         "thread_summary_label_order": _with(_summary(LABELS), "final"),
         "label_distribution": _with(distribution, "final"),
         "stage_coverage": _with(coverage, "final"),
+        "written_label_distribution": _with(distribution, "final"),
+        "written_stage_coverage": _with(coverage, "final"),
+        "incremental_coverage": _with(
+            coverage.replace("JOIN final", "JOIN local_rows"), "brand", extra={"local_rows": LOCAL_ROWS}
+        ),
         "reason_breakdown": _with(
             "SELECT source, reason, count(*) AS n_messages FROM final GROUP BY source, reason", "final"
         ),

@@ -16,7 +16,7 @@ from convroute.operators import audits, authors, context, merge, numbering, requ
 from convroute.operators.standin import fill_with_standin, offline_classifier
 from convroute.plans import sample
 from convroute.plans.run import local_stages, model_pass, run_routing
-from convroute.sinks import keyed_log, tables
+from convroute.sinks import keyed_log, message_store, tables
 from convroute.sinks.result_log import append_slice, log_rows, write_json_log
 from convroute.sources import threads as thread_source
 from convroute.sources.result_log import read_json_log, read_json_log_rejects, read_log
@@ -172,6 +172,39 @@ def message_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _context_columns(context.with_context(sample.messages(spark, sf_dir), CONFIG))
 
 
+STORE_BUCKETS = 16
+
+
+def _store(spark: SparkSession, sf_dir: str, name: str) -> message_store.MessageStore:
+    """Messages, from files in an order of their own, with their scores beside them."""
+    path = Workspace(spark, name).folder("store")
+    store = message_store.write_messages(sample.messages(spark, sf_dir), path, CONFIG, STORE_BUCKETS)
+    return store.add("scores", sample.scores(spark, sf_dir))
+
+
+def _stored_labels(store: message_store.MessageStore) -> DataFrame:
+    """Context, scores, both stages and the stand-in's rows, all where the messages lie."""
+    scored = store.attach(stages.route(store.with_context(CONFIG), CONFIG), "scores")
+    staged = stages.without_signals(stages.apply_sentiment(scored, CONFIG))
+    return merge.attach_labels(staged, fill_with_standin(merge.undecided(staged)), store.attach_rows)
+
+
+def stored_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _context_columns(_store(spark, sf_dir, "stored-context").with_context(CONFIG))
+
+
+def stored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _store(spark, sf_dir, "stored-labels")
+    with message_store.co_located(spark):
+        return Workspace(spark, "labels").save(merge.labels_output(_stored_labels(store)), "labels")
+
+
+def stored_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _store(spark, sf_dir, "stored-summary")
+    with message_store.co_located(spark):
+        return Workspace(spark, "summary").save(rollup.thread_summary(_stored_labels(store)), "thread_summary")
+
+
 # --- Stage 1 and 2 --------------------------------------------------------------------------------
 
 
@@ -181,9 +214,6 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def signals_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    # Fewer files than cores, as of a small test table, would leave cores idle; large tables are read as they lie.
-    cores = spark.sparkContext.defaultParallelism
-    docs = docs.repartition(cores) if len(docs.inputFiles()) < cores else docs
     return with_signals(docs.withColumn("text", F.coalesce("text", F.lit("")))).drop("text")
 
 
@@ -425,6 +455,22 @@ def reason_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audits.reason_breakdown(_labelled(spark, sf_dir))
 
 
+def _counted_while_written(spark: SparkSession, sf_dir: str, name: str) -> audits.ReportCounts:
+    counts = audits.ReportCounts()
+    output = counts.observe(tables.in_corpus_order(_labelled(spark, sf_dir)))
+    merge.labels_output(output).write.parquet(Workspace(spark, name).folder("labels"))
+    return counts
+
+
+def written_label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report that the pass leaves which writes the sorted labels."""
+    return _counted_while_written(spark, sf_dir, "counted-labels").label_distribution(spark)
+
+
+def written_stage_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counted_while_written(spark, sf_dir, "counted-coverage").stage_coverage(spark)
+
+
 def seed_collision_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audits.seed_collision_audit(sample.messages(spark, sf_dir))
 
@@ -443,6 +489,19 @@ def incremental_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("id", "label", "confidence", "source", "reason")
 
 
+def incremental_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage of the local stages from the counts of several micro-batches."""
+    workspace = Workspace(spark, "stream-coverage")
+    stored = workspace.save(sample.messages(spark, sf_dir).repartition(6, F.xxhash64("id")), "messages")
+    arriving = incremental.read_stream(spark, workspace.folder("messages"), stored.schema, max_files=2)
+    out = workspace.folder("out")
+    query = incremental.start_reported_routing(
+        arriving, out, workspace.folder("checkpoint"), CONFIG, sample.scores(spark, sf_dir)
+    )
+    query.awaitTermination()
+    return audits.counted_coverage(incremental.read_report_counts(spark, out))
+
+
 def incremental_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages dealt over files by hash, so that turns of a thread arrive in any order; two files for each trigger."""
     workspace = Workspace(spark, "stream-context")
@@ -501,12 +560,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         ingest_threads, ingest_json_array, flatten_messages, read_result_log, result_log_rejects, author_split, first_n_threads, message_context,
+        stored_context, stored_labels, stored_summary,
         signals, signals_documents, router_stage, residual_after_router, sentiment_scores, normalise_sentiment,
         sentiment_stage, residual_after_sentiment, offline_model_labels, brand_rows, assign_batches, batch_prompts,
         batch_cost, budget_plan, model_stage, merge_responses, response_quality, resume_pending, resume_compacted, refine_candidates,
         refine_pass, full_run, written_summary, published_outputs, all_results, merge_last_wins, labels_output, labels_csv_roundtrip, thread_summary,
-        thread_summary_label_order, label_distribution, stage_coverage, reason_breakdown, seed_collision_audit,
-        incremental_triage, incremental_context, incremental_model_stage, incremental_thread_summary,
+        thread_summary_label_order, label_distribution, stage_coverage, written_label_distribution, written_stage_coverage, reason_breakdown,
+        seed_collision_audit, incremental_triage, incremental_coverage, incremental_context, incremental_model_stage, incremental_thread_summary,
         incremental_corrections,
     )
 }

@@ -47,9 +47,13 @@ class ModelPass:
 
 @dataclass(frozen=True)
 class RoutingRun:
-    """Results of a run.  ``passes`` tell what it did not finish; see ``unfinished``."""
+    """Results of a run.  ``passes`` tell what it did not finish; see ``unfinished``.
+
+    ``counts`` are those of the reports, made by the pass that wrote the final labels.
+    """
 
     labelled: DataFrame
+    counts: audits.ReportCounts
     cost_meter: DataFrame | None
     config: RoutingConfig
     workspace: Workspace
@@ -76,11 +80,11 @@ class RoutingRun:
 
     @property
     def label_distribution(self) -> DataFrame:
-        return audits.label_distribution(self.labelled)
+        return self.counts.label_distribution(self.labelled.sparkSession)
 
     @property
     def stage_coverage(self) -> DataFrame:
-        return audits.stage_coverage(self.labelled)
+        return self.counts.stage_coverage(self.labelled.sparkSession)
 
 
 def local_stages(
@@ -188,14 +192,16 @@ def run_routing(
         merge.undecided(staged), classifier, config.first_pass_model, "api", log_path, config, workspace
     )
     passes = [first]
-    labelled = workspace.save(merge.attach_labels(staged, first.rows), "labelled")
+    counts = audits.ReportCounts()
+    labelled = workspace.save(counts.observe(merge.attach_labels(staged, first.rows)), "labelled")
     if refine:
         again = model_pass(
             merge.refine_candidates(labelled), classifier, config.refine_model, "api_refine", log_path, config,
             workspace, first.spent_usd,
         )
         passes.append(again)
-        labelled = workspace.save(merge.attach_labels(labelled, again.rows), "refined")
+        counts = audits.ReportCounts()
+        labelled = workspace.save(counts.observe(merge.attach_labels(labelled, again.rows)), "refined")
     replies = [done.replies for done in passes if done.replies is not None]
     meter = requests.cost_meter(reduce(DataFrame.unionByName, replies), config) if replies else None
-    return RoutingRun(labelled.drop("context"), meter, config, workspace, tuple(passes))
+    return RoutingRun(labelled.drop("context"), counts, meter, config, workspace, tuple(passes))

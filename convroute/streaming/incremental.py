@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from convroute.config import Precedence, RoutingConfig
-from convroute.operators import merge, requests, responses, rollup
+from convroute.operators import audits, merge, requests, responses, rollup
 from convroute.operators.numbering import assign_batches
 from convroute.operators.requests import ClassifierFactory
 from convroute.operators.stages import ScorerFactory
@@ -53,6 +53,41 @@ def start_routing(
     )
 
 
+def start_reported_routing(
+    messages: DataFrame,
+    out_path: str,
+    checkpoint: str,
+    config: RoutingConfig = RoutingConfig(),
+    scores: DataFrame | None = None,
+    scorer: ScorerFactory | None = None,
+) -> StreamingQuery:
+    """``start_routing`` that leaves the counts of both reports beside the labels, made by the pass that writes them.
+
+    A micro-batch writes ``labels/batch=<id>``, then one row in ``counts/batch=<id>``; a repeat replaces both.
+    """
+
+    def micro_batch(batch: DataFrame, batch_id: int) -> None:
+        counts = audits.ReportCounts()
+        staged = local_stages(batch, config, scorer=scorer, scores=scores)
+        counts.observe(staged).write.mode("overwrite").parquet(f"{out_path}/labels/batch={batch_id}")
+        row = counts.table(batch.sparkSession).coalesce(1)
+        row.write.mode("overwrite").parquet(f"{out_path}/counts/batch={batch_id}")
+
+    return (
+        messages.writeStream.foreachBatch(micro_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_report_counts(spark: SparkSession, out_path: str) -> DataFrame:
+    """One row per finished micro-batch of ``start_reported_routing``: for ``counted_distribution`` and ``counted_coverage``."""
+    folders = numbered_folders(spark, f"{out_path}/counts", "batch")
+    counts = spark.read.schema(audits.COUNTS_SCHEMA)
+    return counts.parquet(*folders) if folders else spark.createDataFrame([], audits.COUNTS_SCHEMA)
+
+
 def start_context(
     messages: DataFrame,
     out_path: str,

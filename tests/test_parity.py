@@ -11,7 +11,7 @@ import __spark_entry__ as entry_points
 from convroute.plans import oracle, registry
 from convroute.streaming import incremental
 
-SURVEYED = 47
+SURVEYED = 53
 
 
 @pytest.fixture(scope="module")
