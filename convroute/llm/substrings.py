@@ -317,20 +317,20 @@ def remove_repeats(
     )
     strings = _strings(documents.join(chosen, [*_KEYS]), config)
     counted = _counted(strings, config)
-    inside = counted.where("times = 0").select(*_KEYS, "begin", "end")
-    across = (
-        counted.where("times > 0")
-        .groupBy("one", "two")
+    # Ranges found inside a part go along under their document's key: else buckets would be counted twice.
+    is_range = F.col("times") == 0
+    by = {ours: F.when(is_range, F.col(key)).otherwise(F.col(ours)) for ours, key in zip(("one", "two"), _KEYS, strict=True)}
+    found = (
+        counted.withColumns(by)
+        .groupBy(is_range.alias("is_range"), "one", "two")
         .agg(
             F.sum("times").alias("n"),
-            F.collect_list(F.when(F.col("times") == 1, F.struct(*_KEYS, "begin", "end"))).alias("owners"),
+            F.collect_list(F.when(F.col("times") <= 1, F.struct(*_KEYS, "begin", "end"))).alias("owners"),
         )
-        .where("n > 1")
+        .where("is_range or n > 1")
         .select(F.inline("owners"))
     )
-    ranges = (
-        inside.unionByName(across).groupBy(*_KEYS).agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
-    )
+    ranges = found.groupBy(*_KEYS).agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
     none = F.array().cast("array<struct<begin:bigint,end:bigint>>")
     joined = documents.join(ranges, [*_KEYS], "left").withColumn("ranges", F.coalesce("ranges", none))
     carried = [f"carried{i}" for i in range(len(carry))]
