@@ -25,6 +25,8 @@ from convroute.workspace import Workspace
 
 CONFIG = RoutingConfig()
 FIRST_N_THREADS = 50
+# A start of a stream whose files grow in number with the table takes them in so many micro-batches.
+MICRO_BATCHES = 6
 # A budget small enough that both sides of the stop occur on the test tables.
 SMALL_BUDGET = replace(CONFIG, budget_usd="0.003")
 # The stand-in costs nothing, so runs that ask it are not stopped, whatever the size of the table.
@@ -542,7 +544,9 @@ def incremental_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = workspace.save(_labelled(spark, sf_dir).withColumn("pass_no", F.lit(1)), "labelled")
 
     def advance() -> None:
-        arriving = incremental.read_stream(spark, folder, first.schema, max_files=2)
+        files = len(spark.read.schema(first.schema).parquet(folder).inputFiles())
+        max_files = max(2, -(-files // MICRO_BATCHES))
+        arriving = incremental.read_stream(spark, folder, first.schema, max_files=max_files)
         corrections.start_summary_with_corrections(
             arriving, deltas, workspace.folder("checkpoint"), F.col("pass_no"), CONFIG
         ).awaitTermination()

@@ -1,7 +1,8 @@
 """Thread summaries that take corrections: a message's later label replaces its earlier one.
 
-State is kept by message, in keys of ``chunk_turns`` turns of a thread: the label that counts now.  What a micro-batch
-changes leaves as signed deltas: the old label of a message less one, the new one plus one.  Deltas of a thread and a
+State is kept by message: the label that counts now.  Its keys are ``BLOCKS`` blocks, to which threads, or chunks of
+``chunk_turns`` turns of longer ones, are dealt by hash, so that Python is called by block and not by thread.  What a
+micro-batch changes leaves as signed deltas: the old label of a message less one, the new one plus one.  Deltas of a thread and a
 label are summed before they are written, into a folder of the micro-batch that a repeat replaces; the state store goes
 back to the same version then, so a repeat changes nothing.  A summary is the sum of all deltas: labels whose count is
 above zero are seen.  Sums can be compacted at any time, and be read under any precedence.
@@ -10,7 +11,7 @@ above zero are seen.  Sums can be compacted at any time, and be read under any p
 from __future__ import annotations
 
 import json
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -24,6 +25,9 @@ from convroute.config import CUSTOMER, LABELS, Precedence, RoutingConfig
 from convroute.operators import rollup
 from convroute.streaming.folders import numbered_folders
 
+# Keys of the state. A micro-batch rewrites the blocks it touches; another number needs a new checkpoint.
+BLOCKS = 4096
+
 
 def apply_labels(known: dict[str, list], arrivals: list[tuple[int, int, str | None, bool]]) -> Counter:
     """Replace labels in ``known`` (turn: [order, label, low]); returns the signed change by (label, low)."""
@@ -51,10 +55,12 @@ def label_deltas(labelled: DataFrame, order: Column, config: RoutingConfig = Rou
     out, and of equal order the later micro-batch wins.  Labels outside the list count as none.
     """
     columns = list(rollup.THREAD_COLUMNS)
+    chunk = F.floor(F.col("turn_index") / config.chunk_turns).cast("bigint")
     rows = labelled.where(F.col("author") == CUSTOMER).select(
-        *columns,
-        F.floor(F.col("turn_index") / config.chunk_turns).cast("bigint").alias("chunk"),
-        F.col("turn_index").cast("bigint").alias("turn"),
+        F.pmod(F.xxhash64(*columns, chunk), F.lit(BLOCKS)).cast("int").alias("block"),
+        # As text, since pandas makes whole numbers beside nulls floating.
+        F.to_json(F.struct(*columns)).alias("thread"),
+        F.col("turn_index").cast("bigint").cast("string").alias("turn"),
         order.cast("bigint").alias("order"),
         F.when(F.col("label").isin(*LABELS), F.col("label")).alias("label"),
         F.coalesce(F.col("confidence") == "low", F.lit(False)).alias("low"),
@@ -62,21 +68,26 @@ def label_deltas(labelled: DataFrame, order: Column, config: RoutingConfig = Rou
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         known = json.loads(state.get[0]) if state.exists else {}
-        arrivals = []
+        arrivals = defaultdict(list)
         for batch in batches:
-            for row in zip(batch["turn"], batch["order"], batch["label"], batch["low"], strict=True):
-                arrivals.append((int(row[0]), int(row[1]), row[2] if isinstance(row[2], str) else None, bool(row[3])))
-        change = apply_labels(known, arrivals)
-        state.update((json.dumps(known),))
-        if change:
-            out = [[*key[: len(columns)], label, n, n if low else 0] for (label, low), n in change.items()]
-            yield pd.DataFrame(out, columns=[*columns, "label", "n", "n_low"])
-
-    fields = [labelled.schema[name] for name in columns]
-    schema = T.StructType([*fields, T.StructField("label", T.StringType())])
-    schema = schema.add("n", "long").add("n_low", "long")
-    return rows.groupBy(*columns, "chunk").applyInPandasWithState(
-        advance, schema, "state string", "append", GroupStateTimeout.NoTimeout
+            values = (batch[name].tolist() for name in ("thread", "turn", "order", "label", "low"))
+            for thread, turn, order, label, low in zip(*values, strict=True):
+                arrivals[thread].append((int(turn), int(order), label if isinstance(label, str) else None, bool(low)))
+        out = [
+            (thread, label, n, n if low else 0)
+            for thread, its in arrivals.items()
+            for (label, low), n in apply_labels(known.setdefault(thread, {}), its).items()
+        ]
+        state.update((json.dumps(known, separators=(",", ":")),))
+        if out:
+            yield pd.DataFrame(out, columns=["thread", "label", "n", "n_low"])
+
+    changes = rows.groupBy("block").applyInPandasWithState(
+        advance, "thread string, label string, n long, n_low long", "state string", "append", GroupStateTimeout.NoTimeout
+    )
+    thread_schema = T.StructType([labelled.schema[name] for name in columns])
+    return changes.select(F.from_json("thread", thread_schema).alias("thread"), "label", "n", "n_low").select(
+        "thread.*", "label", "n", "n_low"
     )
 
 
